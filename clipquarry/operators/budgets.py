@@ -7,12 +7,13 @@ one pass finds that, and the rows are then picked by a plain comparison, which c
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipquarry.operators.prefix import (
-    BROADCAST_ROWS,
+    broadcast_if_small,
     null_safe_join,
     running_total,
     score_totals,
@@ -20,7 +21,34 @@ from clipquarry.operators.prefix import (
 from clipquarry.session import require_batch
 
 
-def running_budget(
+@dataclass(frozen=True)
+class Budget:
+    """Running totals by score, and the lowest score that is within the limit."""
+
+    totals: DataFrame
+    score: str
+    parts: tuple[str, ...]
+    rows: int
+    lowest: object
+    unbounded: bool
+
+    def prune(self, df: DataFrame) -> DataFrame:
+        """Drops what is certainly over budget by comparing the score with a constant. Apply it
+        before dear filters: a later pass then tests only the few rows that can be kept."""
+        if self.unbounded:
+            return df
+        if self.lowest is None:
+            return df.filter(F.lit(False))
+        return df.filter(F.col(self.score) >= F.lit(self.lowest))
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Rows within the budget with their running total."""
+        return null_safe_join(
+            self.prune(df), broadcast_if_small(self.totals, self.rows), [*self.parts, self.score]
+        )
+
+
+def find_budget(
     df: DataFrame,
     score: str,
     amount: str,
@@ -28,11 +56,9 @@ def running_budget(
     parts: Sequence[str] = (),
     limit: int | float | None = None,
     one_task_rows: int | None = None,
-) -> DataFrame:
-    """``SUM(amount) OVER (PARTITION BY parts ORDER BY score DESC)`` with its RANGE frame: rows with
-    one score share one total, so they enter or leave a budget together. With ``limit`` only rows
-    whose total is within it are kept. Null scores come last."""
-    require_batch(df, "running_budget")
+) -> Budget:
+    """One pass over ``df`` for its running totals by score."""
+    require_batch(df, "find_budget")
     totals = score_totals(df, score, F.col(amount), parts)
     totals = running_total(
         totals, [F.col(score).desc_nulls_last()], "_amount", out, parts, one_task_rows
@@ -40,16 +66,34 @@ def running_budget(
     if limit is not None:
         totals = totals.filter(F.col(out) <= limit)
     kept = totals.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("rows"),
         F.min(score).alias("lowest"),
         F.coalesce(F.bool_or(F.col(score).isNull()), F.lit(False)).alias("nulls"),
     ).first()
-    totals = totals.select(*parts, score, out)
-    if limit is not None:
-        df = df.filter(_from_score_up(score, kept["lowest"], kept["nulls"]))
-    if kept["n"] <= BROADCAST_ROWS:
-        totals = F.broadcast(totals)
-    return null_safe_join(df, totals, [*parts, score])
+    # Null scores come last: where they are kept, every score is.
+    return Budget(
+        totals.select(*parts, score, out),
+        score,
+        tuple(parts),
+        kept["rows"],
+        kept["lowest"],
+        limit is None or kept["nulls"],
+    )
+
+
+def running_budget(
+    df: DataFrame,
+    score: str,
+    amount: str,
+    out: str = "running_total",
+    parts: Sequence[str] = (),
+    limit: int | float | None = None,
+    one_task_rows: int | None = None,
+) -> DataFrame:
+    """``SUM(amount) OVER (PARTITION BY parts ORDER BY score DESC)`` with its RANGE frame: rows with
+    one score share one total, so they enter or leave a budget together. With ``limit`` only rows
+    whose total is within it are kept. Null scores come last."""
+    return find_budget(df, score, amount, out, parts, limit, one_task_rows).attach(df)
 
 
 def partitioned_budget(
@@ -111,8 +155,3 @@ def take_within_budget(
     )
     return df.filter(above | (at_edge & (F.struct(*tie_break) <= last_tie)))
 
-
-def _from_score_up(score: str, lowest: object, nulls: bool) -> Column:
-    if nulls:  # nulls come last, so every score above them is kept too
-        return F.lit(True)
-    return F.lit(False) if lowest is None else F.col(score) >= F.lit(lowest)

@@ -27,8 +27,8 @@ def has_path(path: str) -> Column:
     return F.col(path).isNotNull()
 
 
-def has_category(category: str) -> Column:
-    return F.col(f"categories.{category}.count").isNotNull()
+def has_category(count: str) -> Column:
+    return F.col(count).isNotNull()
 
 
 def category_present(df: DataFrame, count: str) -> DataFrame:
@@ -41,7 +41,7 @@ def quality_filter(
     profile: str,
     text: str = "transcript",
     path: str = "transcoded_filepath",
-    category: str = "proper_noun",
+    count: str = "categories.proper_noun.count",
     duration: str = "duration",
 ) -> DataFrame:
     """The clips a profile admits. Tests are ordered from cheap to dear; the first ones reach the
@@ -62,7 +62,7 @@ def quality_filter(
         tests = [
             duration_between(*BASIC_SECONDS, duration),
             has_path(path),
-            has_category(category),
+            has_category(count),
             tx.min_length(text, MIN_CHARACTERS),
             tx.no_music(text),
         ]

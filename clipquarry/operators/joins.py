@@ -1,7 +1,8 @@
 """Joins of selections, later transcripts and file listings with the tables they came from.
 
-No side is broadcast by hint: AQE broadcasts what it has measured to be small, and splits skewed
-partitions of what it has not.
+A selection is stored before it is joined, as it is small next to its table and used twice. Where it
+was counted and found small its keys are broadcast, and the table is thinned by them in the scan's own
+tasks, without a shuffle; beyond that size both sides are shuffled and AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -13,7 +14,14 @@ from pyspark.sql import functions as F
 
 from clipquarry.operators.filters import prefixed
 from clipquarry.operators.ordering import keep_latest, sample_head
-from clipquarry.session import require_batch
+from clipquarry.operators.prefix import BROADCAST_ROWS
+from clipquarry.session import freeze, require_batch
+
+
+def _thinned(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    if stored.count() > BROADCAST_ROWS:
+        return df
+    return df.join(F.broadcast(stored.select(key)), key, "left_semi")
 
 
 def join_back(
@@ -29,7 +37,8 @@ def join_back(
         metrics = selected.select(key, *prefixed(selected, "temp_", [key, text]))
     else:
         metrics = selected.select(key, *columns)
-    return orig.join(metrics, key, "inner")
+    metrics = freeze(metrics)
+    return _thinned(orig, metrics, key).join(metrics, key, "inner")
 
 
 def attach_selection(
@@ -38,7 +47,8 @@ def attach_selection(
     """The original rows of the selected ids with the selection's columns. An id held by several
     rows on both sides gives every pair of them."""
     columns = [c for c in selected.columns if c not in orig.columns] if columns is None else columns
-    return orig.join(selected.select(key, *columns), key, "inner")
+    stored = freeze(selected.select(key, *columns))
+    return _thinned(orig, stored, key).join(stored, key, "inner")
 
 
 def restrict_to_keys(
@@ -49,7 +59,10 @@ def restrict_to_keys(
     order_by: Sequence[Column | str] | Column | str | None = None,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys``, optionally only the first ``cap`` of them."""
-    return sample_head(df.join(keys.select(key), key, "left_semi"), cap, order_by or key)
+    stored = freeze(keys.select(key).distinct())
+    small = stored.count() <= BROADCAST_ROWS
+    kept = df.join(F.broadcast(stored) if small else stored, key, "left_semi")
+    return sample_head(kept, cap, key if order_by is None else order_by)
 
 
 def overlay(

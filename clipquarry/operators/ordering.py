@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipquarry.operators.prefix import broadcast_if_small, null_safe_join
 from clipquarry.session import freeze, require_batch
 
 
@@ -50,30 +51,29 @@ def number_rows(
     df: DataFrame,
     order_by: Sequence[Column | str] | Column | str,
     out: str = "Index",
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Row number from 0 in ``order_by``, which should decide the order.
+    """Row number from 0 in ``order_by``, which should decide the order; counted anew for each value
+    of ``within``.
 
     The rows are stored range-partitioned by the order; each partition then counts its own rows on
     from the number of rows in the partitions before it."""
     require_batch(df, "number_rows")
     order = _as_columns(order_by)
     ranged = freeze(
-        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+        df.repartitionByRange(*[F.col(w) for w in within], *order).withColumn(
+            "_range", F.spark_partition_id()
+        )
     )
-    sizes = ranged.groupBy("_range").count()  # one row per partition
-    starts = sizes.withColumn(
-        "_start",
-        F.coalesce(
-            F.sum("count").over(
-                Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    ).select("_range", "_start")
-    inside = Window.partitionBy("_range").orderBy(*order)
+    earlier = Window.partitionBy(*within).orderBy("_range")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition, plus one per value of ``within``.
+    starts = ranged.groupBy(*within, "_range").agg(F.count(F.lit(1)).alias("_start"))
+    starts = starts.withColumn("_start", F.coalesce(F.sum("_start").over(earlier), F.lit(0)))
+    inside = Window.partitionBy(*within, "_range").orderBy(*order)
+    counted = ranged.withColumn("_inside", F.row_number().over(inside) - 1)
     return (
-        ranged.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(F.broadcast(starts), "_range")
+        null_safe_join(counted, broadcast_if_small(starts), [*within, "_range"])
         .withColumn(out, (F.col("_start") + F.col("_inside")).cast("long"))
         .drop("_range", "_start", "_inside")
     )

@@ -33,6 +33,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def broadcast_if_small(small: DataFrame, rows: int | None = None) -> DataFrame:
+    """A broadcast hint for a cheap, narrow table that was counted and found small enough."""
+    rows = small.count() if rows is None else rows
+    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+
+
 def score_totals(
     df: DataFrame, score: str | Sequence[str], amount: Column, parts: Sequence[str] = ()
 ) -> DataFrame:
@@ -76,7 +82,9 @@ def running_total(
         .withColumn("_shift", F.coalesce(F.sum("_shift").over(earlier), F.lit(0)))
     )
     shifted = null_safe_join(
-        ranged.withColumn(out, F.sum(amount).over(inside)), shifts, [*parts, "_range"]
+        ranged.withColumn(out, F.sum(amount).over(inside)),
+        broadcast_if_small(shifts),
+        [*parts, "_range"],
     )
     return shifted.withColumn(out, F.col(out) + F.col("_shift")).drop("_range", "_shift")
 

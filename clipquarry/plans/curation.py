@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipquarry.functions.ids import hash_bucket
-from clipquarry.operators.budgets import partitioned_budget, running_budget, take_within_budget
+from clipquarry.operators.budgets import find_budget, running_budget, take_within_budget
 from clipquarry.operators.filters import (
     category_columns,
     category_present,
@@ -18,6 +18,7 @@ from clipquarry.operators.filters import (
 )
 from clipquarry.operators.joins import attach_selection
 from clipquarry.operators.ordering import order_by_score
+from clipquarry.operators.prefix import broadcast_if_small
 from clipquarry.operators.stats import with_total_count
 from clipquarry.plans.metrics import document_metrics
 from clipquarry.session import freeze
@@ -38,11 +39,18 @@ def curate_strict(
     are reached; then those with at least one hit, with their number, joined to the full rows."""
     validate_params(category, stat_field, path)
     score = "density" if stat_field == "density" else f"{category}_count"
-    kept = quality_filter(clips, "strict", text)
-    kept = category_columns(kept, category, ["id", "duration"])
-    kept = running_budget(kept, score, "duration", "final_running_total", (), limit)
-    kept = with_total_count(category_present(kept, f"{category}_count"))
-    return _attached(clips, kept.withColumn("total_duration_selected_files", F.col("final_running_total")), category)
+
+    def admitted(rows: DataFrame) -> DataFrame:
+        return quality_filter(rows, "strict", text)
+
+    lifted = category_columns(clips, category, ["id", "duration", text])
+    budget = find_budget(admitted(lifted), score, "duration", "final_running_total", (), limit)
+    kept = budget.attach(admitted(budget.prune(lifted))).drop(text)
+    kept = freeze(category_present(kept, f"{category}_count"))
+    kept = with_total_count(kept).withColumn(
+        "total_duration_selected_files", F.col("final_running_total")
+    )
+    return _attached(clips, kept, category)
 
 
 def curate_basic(
@@ -58,19 +66,74 @@ def curate_basic(
     each hash bucket of the id, then cut at ``limit`` seconds over all, joined to the full rows."""
     validate_params(category, "count", path)
     count = f"{category}_count"
-    clips_in = clips.withColumn("_bucket", hash_bucket("id", BUCKETS) if bucket is None else bucket)
-    kept = quality_filter(clips_in, "basic", text, path, category)
-    kept = category_columns(kept, category, ["id", "duration", "_bucket"])
-    kept = partitioned_budget(
-        kept, "_bucket", count, "duration", cap, "total_duration_selected_files"
+
+    def admitted(rows: DataFrame) -> DataFrame:
+        return quality_filter(rows, "basic", text, path, count)
+
+    bucket = hash_bucket("id", BUCKETS) if bucket is None else bucket
+    lifted = category_columns(
+        clips.withColumn("_bucket", bucket), category, ["id", "duration", text, path, "_bucket"]
     )
+    pruned = find_budget(
+        admitted(lifted), count, "duration", "total_duration_selected_files", ["_bucket"], cap
+    )
+    kept = pruned.attach(admitted(pruned.prune(lifted))).drop(text, path, "_bucket")
     # Bounded by buckets x cap seconds of audio; stored once for the count and the final budget.
-    kept = freeze(category_present(kept, count).drop("_bucket"))
+    kept = freeze(category_present(kept, count))
     kept = with_total_count(kept)
     kept = running_budget(kept, count, "duration", "final_running_total", (), limit)
     return _attached(clips, kept, category)
 
 
+def curate_categories(
+    clips: DataFrame,
+    categories: Sequence[str],
+    limit: int = 36_000,
+    bucket: Column | None = None,
+    cap: int = BUCKET_CAP,
+    text: str = "transcript",
+    path: str = "transcoded_filepath",
+) -> DataFrame:
+    """``curate_basic`` for several categories in one job: the table is read twice however many
+    there are. Each clip becomes a row per category after the text tests, and every total is kept
+    per category."""
+    for category in categories:
+        validate_params(category, "count", path)
+    fields = ("density", "count", "exists", "evidence")
+    per_category = [
+        F.struct(
+            F.lit(c).alias("category"), *[F.col(f"categories.{c}.{f}").alias(f) for f in fields]
+        )
+        for c in categories
+    ]
+    bucket = hash_bucket("id", BUCKETS) if bucket is None else bucket
+    lifted = clips.select(
+        "id", "duration", text, path, bucket.alias("_bucket"), F.inline(F.array(*per_category))
+    )
+
+    def admitted(rows: DataFrame) -> DataFrame:
+        return quality_filter(rows, "basic", text, path, "count")
+
+    pruned = find_budget(
+        admitted(lifted),
+        "count",
+        "duration",
+        "total_duration_selected_files",
+        ["category", "_bucket"],
+        cap,
+    )
+    present = category_present(pruned.prune(lifted), "count")
+    kept = freeze(pruned.attach(admitted(present)).drop(text, path, "_bucket"))
+    sizes = kept.groupBy("category").agg(F.count(F.lit(1)).alias("total_count"))
+    kept = kept.join(broadcast_if_small(sizes), "category")
+    kept = running_budget(kept, "count", "duration", "final_running_total", ["category"], limit)
+    totals = ["total_duration_selected_files", "total_count", "final_running_total"]
+    kept = kept.withColumnsRenamed({f: f"selected_{f}" for f in fields})
+    return attach_selection(
+        clips, kept, "id", ["category", *[f"selected_{f}" for f in fields], *totals]
+    )
+
+
 def curate(clips: DataFrame, category: str, **options: object) -> DataFrame:
     """The profile the category calls for, ordered by density."""
     if category == "proper_noun":

@@ -91,7 +91,7 @@ def vendor_manifest(
 ) -> DataFrame:
     """Manifest rows of all category tables in one job: rows are numbered from 0 per category, then
     the first row per id with a vendor transcript is kept. ``labels`` maps ``uri`` to ``label``."""
-    numbered = number_within(tables, "category", order_by)
+    numbered = number_rows(tables, order_by, "Index", ["category"])
     numbered = numbered.withColumn("_id", F.struct("category", "id"))
     first = first_labelled_per_id(numbered, "_id", column, ["Index"])
     dataset = F.concat_ws("_", "category", F.lit(suffix))
@@ -105,12 +105,3 @@ def vendor_manifest(
         dataset.alias("Dataset"),
     )
 
-
-def number_within(
-    df: DataFrame, part: str, order_by: Sequence[str], out: str = "Index"
-) -> DataFrame:
-    """Row numbers from 0 within each value of ``part``, without one task per value: rows are
-    numbered over all parts in order, less each part's first number."""
-    numbered = number_rows(df, [part, *order_by], out)
-    first = numbered.groupBy(part).agg(F.min(out).alias("_first"))
-    return numbered.join(first, part).withColumn(out, F.col(out) - F.col("_first")).drop("_first")
