@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clipquarry.functions.columns import col, let
+
 # The permuted base32 alphabet, and what XOR 0x55 does to a hex digit.
 ALPHABET = "ZXYWVUTSRQPONMLKJIHGFEDCBA576432"
 HEX_DIGITS = "0123456789ABCDEF"
@@ -19,43 +21,44 @@ BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 SALT_BYTES = 5
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _rebase(digits: Column, width_in: int, base_in: int, width_out: int, base_out: int) -> Column:
     """Rewrites blocks of ``width_in`` digits as blocks of ``width_out`` in the other base; the last
     block is filled up with zeros."""
-    blocks = F.ceil(F.length(digits) / width_in).cast("int")
-    filled = F.rpad(digits, blocks * width_in, F.lit("0"))
 
-    def block(i: Column) -> Column:
-        piece = F.substring(filled, i * width_in + 1, F.lit(width_in))
-        return F.lpad(F.conv(piece, base_in, base_out), width_out, "0")
+    def block(piece: Column) -> Column:
+        filled = F.rpad(piece, width_in, F.lit("0"))
+        return F.lpad(F.conv(filled, base_in, base_out), width_out, "0")
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), blocks - 1), block), "")
+    blocks = F.regexp_extract_all(digits, F.lit(f".{{1,{width_in}}}"), F.lit(0))
+    return F.array_join(F.transform(blocks, block), "")
 
 
 def encode_id(identifier: Column | str, key: str = "") -> Column:
     """Pseudonym of an identifier. The salt comes from a keyed hash of the identifier, so a rerun
     gives the same name; use a private ``key`` per dataset."""
-    plain = _col(identifier)
+    plain = col(identifier)
     salt = F.left(F.sha2(F.concat(plain, F.lit(key)), 256), F.lit(2 * SALT_BYTES))
     digits = F.concat(F.upper(salt), F.hex(F.encode(plain, "UTF-8")))
-    mixed = F.translate(digits, HEX_DIGITS, HEX_DIGITS_XORED)
-    symbols = F.ceil(F.length(mixed) * 4 / 5).cast("int")
-    return F.translate(F.left(_rebase(mixed, 10, 16, 8, 32), symbols), BASE32_DIGITS, ALPHABET)
+
+    def symbols(mixed: Column) -> Column:
+        kept = F.ceil(F.length(mixed) * 4 / 5).cast("int")
+        return F.translate(F.left(_rebase(mixed, 10, 16, 8, 32), kept), BASE32_DIGITS, ALPHABET)
+
+    return let(F.translate(digits, HEX_DIGITS, HEX_DIGITS_XORED), symbols)
 
 
 def decode_id(pseudonym: Column | str) -> Column:
     """The identifier behind a pseudonym."""
-    symbols = F.translate(_col(pseudonym), ALPHABET, BASE32_DIGITS)
-    digits = F.floor(F.length(symbols) * 5 / 8).cast("int") * 2
-    mixed = F.left(_rebase(symbols, 8, 32, 10, 16), digits)
-    plain = F.translate(mixed, HEX_DIGITS_XORED, HEX_DIGITS)
-    return F.decode(F.unhex(F.substring(plain, F.lit(2 * SALT_BYTES + 1), digits)), "UTF-8")
+
+    def plain(symbols: Column) -> Column:
+        kept = F.floor(F.length(symbols) * 5 / 8).cast("int") * 2
+        mixed = F.left(_rebase(symbols, 8, 32, 10, 16), kept)
+        digits = F.translate(mixed, HEX_DIGITS_XORED, HEX_DIGITS)
+        return F.decode(F.unhex(F.substring(digits, F.lit(2 * SALT_BYTES + 1), kept)), "UTF-8")
+
+    return let(F.translate(col(pseudonym), ALPHABET, BASE32_DIGITS), plain)
 
 
 def hash_bucket(value: Column | str, n: int = 20) -> Column:
     """Bucket 0 to n-1."""
-    return F.pmod(F.xxhash64(_col(value)), F.lit(n)).cast("int")
+    return F.pmod(F.xxhash64(col(value)), F.lit(n)).cast("int")

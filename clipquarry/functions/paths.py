@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EXTENSION = r"(?s)^\.*[^.].*?(\.[^.]*)$"
-
+from clipquarry.functions.columns import col
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+_EXTENSION = r"(?s)^\.*[^.].*?(\.[^.]*)$"
 
 
 def file_name(path: Column | str) -> Column:
-    return F.substring_index(_col(path), "/", -1)
+    return F.substring_index(col(path), "/", -1)
 
 
 def extension(path: Column | str) -> Column:
@@ -30,8 +28,8 @@ def split_uri(uri: Column | str) -> Column:
     """``struct<bucket,key>`` of ``gs://bucket/key``."""
     pattern = r"(?s)^(?:gs://)?([^/]*)/(.*)$"
     return F.struct(
-        F.regexp_extract(_col(uri), pattern, 1).alias("bucket"),
-        F.regexp_extract(_col(uri), pattern, 2).alias("key"),
+        F.regexp_extract(col(uri), pattern, 1).alias("bucket"),
+        F.regexp_extract(col(uri), pattern, 2).alias("key"),
     )
 
 
@@ -42,4 +40,4 @@ def timestamp_suffix(name: Column | str, at: Column | None) -> Column:
 
 
 def dataset_name(category: Column | str, suffix: str) -> Column:
-    return F.concat_ws("_", _col(category), F.lit(suffix))
+    return F.concat_ws("_", col(category), F.lit(suffix))

@@ -6,21 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clipquarry.functions.columns import col, let, no_strings, positions
 from clipquarry.schema import SPELT_OUT
 
 OUTSIDE = "O"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _positions(array: Column) -> Column:
-    return F.when(F.size(array) > 0, F.sequence(F.lit(0), F.size(array) - 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-
-
 def _literal_map(mapping: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
 
@@ -28,71 +19,92 @@ def _literal_map(mapping: dict[str, str]) -> Column:
 def tag_names(tag_ids: Column | str, names: list[str]) -> Column:
     """Integer tags to their names."""
     table = F.array(*[F.lit(n) for n in names])
-    return F.transform(_col(tag_ids), lambda i: F.get(table, i))
+    return F.transform(col(tag_ids), lambda i: F.get(table, i))
 
 
 def map_tags(tags: Column | str, mapping: dict[str, str], default: str = OUTSIDE) -> Column:
+    """Each tag looked up in a table; the default for tags not in it."""
     table = _literal_map(mapping)
     return F.transform(
-        _col(tags), lambda t: F.coalesce(F.try_element_at(table, t), F.lit(default))
+        col(tags), lambda t: F.coalesce(F.try_element_at(table, t), F.lit(default))
     )
 
 
 def runs(flags: Column) -> Column:
     """``array<struct<start,stop>>``: the maximal runs of true flags, both ends inclusive."""
-    on = lambda i: F.coalesce(F.get(flags, i), F.lit(False))
-    first = F.filter(_positions(flags), lambda i: on(i) & ~on(i - 1))
-    last = F.filter(_positions(flags), lambda i: on(i) & ~on(i + 1))
-    return F.zip_with(first, last, lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
+
+    def found(flag: Column) -> Column:
+        on = lambda i: F.coalesce(F.get(flag, i), F.lit(False))
+        first = F.filter(positions(flag), lambda i: on(i) & ~on(i - 1))
+        last = F.filter(positions(flag), lambda i: on(i) & ~on(i + 1))
+        return F.zip_with(first, last, lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
+
+    return let(flags, found)
 
 
 def entity_spans(tags: Column | str) -> Column:
     """``array<struct<type,start,stop>>`` of BIO tags, both ends inclusive. An ``I-`` tag after
     ``O`` or after another type opens a span."""
-    tags = _col(tags)
-    kind = lambda i: F.coalesce(F.substring(F.get(tags, i), 3, 1 << 20), F.lit(""))
-    inside = lambda i: F.coalesce(F.get(tags, i) != OUTSIDE, F.lit(False))
-    begins = lambda i: F.coalesce(F.startswith(F.get(tags, i), F.lit("B")), F.lit(False))
-
-    def opens(i: Column) -> Column:
-        return inside(i) & (begins(i) | ~inside(i - 1) | (kind(i) != kind(i - 1)))
-
-    first = F.filter(_positions(tags), opens)
-    last = F.filter(_positions(tags), lambda i: inside(i) & (~inside(i + 1) | opens(i + 1)))
-    return F.zip_with(
-        first,
-        last,
-        lambda a, b: F.struct(kind(a).alias("type"), a.alias("start"), b.alias("stop")),
-    )
+    kind = lambda t: F.substring(t, 3, 1 << 20)
+
+    def spans(tag: Column) -> Column:
+        def opens(t: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(tag, i - 1), F.lit(OUTSIDE))
+            fresh = (before == OUTSIDE) | F.startswith(t, F.lit("B")) | (kind(before) != kind(t))
+            return (t != OUTSIDE) & fresh
+
+        def between(opening: Column) -> Column:
+            first = F.filter(positions(tag), lambda i: F.get(opening, i))
+            last = F.filter(
+                positions(tag),
+                lambda i: (F.get(tag, i) != OUTSIDE)
+                & (
+                    (F.coalesce(F.get(tag, i + 1), F.lit(OUTSIDE)) == OUTSIDE)
+                    | F.get(opening, i + 1)
+                ),
+            )
+            return F.zip_with(
+                first,
+                last,
+                lambda a, b: F.struct(
+                    kind(F.get(tag, a)).alias("type"), a.alias("start"), b.alias("stop")
+                ),
+            )
+
+        return let(F.transform(tag, opens), between)
+
+    return let(F.transform(col(tags), lambda t: F.coalesce(t, F.lit(OUTSIDE))), spans)
 
 
 def tag_histogram(tags: Column | str, keep: list[str] | None = None) -> Column:
     """``map<tag,count>`` of one row's tags, restricted to ``keep``; empty for null."""
-    tags = F.filter(_col(tags), lambda t: t.isNotNull())
-    if keep is not None:
-        tags = F.filter(tags, lambda t: t.isin(keep))
-    tags = F.coalesce(tags, F.array().cast("array<string>"))
-    counted = F.transform(
-        F.array_distinct(tags),
-        lambda t: F.struct(t, F.size(F.filter(tags, lambda u: u == t)).cast("long")),
-    )
-    return F.map_from_entries(counted)
+    counted = lambda t: t.isNotNull() if keep is None else t.isin(keep)
+
+    def entries(kept: Column) -> Column:
+        return F.transform(
+            F.array_distinct(kept),
+            lambda t: F.struct(t, F.size(F.filter(kept, lambda u: u == t)).cast("long")),
+        )
+
+    kept = F.coalesce(F.filter(col(tags), counted), no_strings())
+    return F.map_from_entries(let(kept, entries))
 
 
 def first_subword_labels(
     word_ids: Column | str, tags: Column | str, n: Column | int, default: str = OUTSIDE
 ) -> Column:
     """One label per word: that of the word's first sub-token; words with none get the default."""
-    word_ids, tags = _col(word_ids), _col(tags)
     n = F.lit(n) if isinstance(n, int) else n
-    return F.when(n <= 0, F.array().cast("array<string>")).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), n.cast("int") - 1),
-            lambda w: F.coalesce(
-                F.get(tags, F.array_position(word_ids, w).cast("int") - 1), F.lit(default)
-            ),
-        )
-    )
+
+    def labels(given: Column) -> Column:
+        def label(word: Column) -> Column:
+            place = F.array_position(given["ids"], word).cast("int") - 1
+            return F.coalesce(F.get(given["tags"], place), F.lit(default))
+
+        return F.transform(F.sequence(F.lit(0), given["n"] - 1), label)
+
+    given = F.struct(col(word_ids).alias("ids"), col(tags).alias("tags"), n.cast("int").alias("n"))
+    return F.when(n > 0, let(given, labels)).otherwise(no_strings())
 
 
 def _bare(piece: Column) -> Column:
@@ -103,23 +115,26 @@ def densify_labels(pieces: Column | str, entities: Column | str) -> Column:
     """One label per piece from sparse ``array<struct<index,word,entity>>`` output. ``index`` counts
     from 1; the entity lands on that piece or the next, on the first that ends with its word; of two
     on one piece the later wins."""
-    pieces = _col(pieces)
 
-    def landing(e: Column) -> Column:
-        word = F.replace(e["word"], F.lit("##"), F.lit(""))
-        at = e["index"].cast("int") - 1
-        place = F.when(F.endswith(F.get(pieces, at), word), at).when(
-            F.endswith(F.get(pieces, at + 1), word), at + 1
-        )
-        return F.struct(place.alias("at"), e["entity"].alias("label"))
+    def labels(piece: Column) -> Column:
+        def landing(e: Column) -> Column:
+            word = F.replace(e["word"], F.lit("##"), F.lit(""))
+            at = e["index"].cast("int") - 1
+            place = F.when(F.endswith(F.get(piece, at), word), at).when(
+                F.endswith(F.get(piece, at + 1), word), at + 1
+            )
+            return F.struct(place.alias("at"), e["entity"].alias("label"))
 
-    landed = F.filter(F.transform(_col(entities), landing), lambda h: h["at"].isNotNull())
+        def dense(landed: Column) -> Column:
+            def label(i: Column) -> Column:
+                here = F.filter(landed, lambda h: h["at"] == i)
+                return F.coalesce(F.try_element_at(here, F.lit(-1))["label"], F.lit(OUTSIDE))
 
-    def label(i: Column) -> Column:
-        here = F.filter(landed, lambda h: h["at"] == i)
-        return F.coalesce(F.get(here, F.size(here) - 1)["label"], F.lit(OUTSIDE))
+            return F.transform(positions(piece), label)
 
-    return F.transform(_positions(pieces), label)
+        return let(F.transform(col(entities), landing), dense)
+
+    return let(col(pieces), labels)
 
 
 def align_tokens(actual: Column | str, pieces: Column | str, labels: Column | str) -> Column:
@@ -129,65 +144,92 @@ def align_tokens(actual: Column | str, pieces: Column | str, labels: Column | st
 
     One fold over at most words + pieces moves. Each move either takes a piece into the current word
     or goes to the next word."""
-    actual, pieces, labels = _col(actual), _col(pieces), _col(labels)
-    moves = F.size(actual) + F.size(pieces)
-    start = F.struct(
-        F.lit(0).alias("word"),
-        F.lit(0).alias("piece"),
-        F.lit("").alias("glued"),
-        F.array().cast("array<string>").alias("out"),
-    )
 
-    def move(state: Column, _: Column) -> Column:
-        target = F.get(actual, state["word"])
-        glued = F.concat(state["glued"], _bare(F.get(pieces, state["piece"])))
-        label = F.when(glued == target, F.get(labels, state["piece"])).otherwise(OUTSIDE)
-        growing = F.startswith(target, glued) & (glued != target)
-        took = F.struct(
-            state["word"].alias("word"),
-            (state["piece"] + 1).alias("piece"),
-            glued.alias("glued"),
-            state["out"].alias("out"),
-        )
-        moved_on = F.struct(
-            (state["word"] + 1).alias("word"),
-            F.when(glued == target, state["piece"] + 1).otherwise(state["piece"]).alias("piece"),
+    def fold(given: Column) -> Column:
+        words, parts, tags = given["words"], given["parts"], given["tags"]
+        start = F.struct(
+            F.lit(0).alias("word"),
+            F.lit(0).alias("piece"),
             F.lit("").alias("glued"),
-            F.concat(state["out"], F.array(label)).alias("out"),
+            no_strings().alias("out"),
         )
-        done = (state["word"] >= F.size(actual)) | (state["piece"] >= F.size(pieces))
-        return F.when(done, state).when(growing, took).otherwise(moved_on)
 
-    steps = F.when(moves > 0, F.sequence(F.lit(1), moves)).otherwise(F.array().cast("array<int>"))
-    found = F.aggregate(steps, start, move, lambda s: s["out"])
-    return F.concat(found, F.array_repeat(F.lit(OUTSIDE), F.size(actual) - F.size(found)))
+        def move(state: Column, _: Column) -> Column:
+            target = F.get(words, state["word"])
+
+            def moved(glued: Column) -> Column:
+                complete = glued == target
+                take = F.struct(
+                    state["word"].alias("word"),
+                    (state["piece"] + 1).alias("piece"),
+                    glued.alias("glued"),
+                    state["out"].alias("out"),
+                )
+                label = F.when(complete, F.get(tags, state["piece"])).otherwise(OUTSIDE)
+                go_on = F.struct(
+                    (state["word"] + 1).alias("word"),
+                    (state["piece"] + complete.cast("int")).alias("piece"),
+                    F.lit("").alias("glued"),
+                    F.concat(state["out"], F.array(label)).alias("out"),
+                )
+                return F.when(F.startswith(target, glued) & ~complete, take).otherwise(go_on)
+
+            glued = F.concat(state["glued"], F.get(parts, state["piece"]))
+            done = (state["word"] >= F.size(words)) | (state["piece"] >= F.size(parts))
+            return F.when(done, state).otherwise(let(glued, moved))
+
+        moves = F.concat(positions(words), positions(parts))
+        found = F.aggregate(moves, start, move, lambda s: s["out"])
+        return let(
+            found,
+            lambda out: F.concat(
+                out, F.array_repeat(F.lit(OUTSIDE), F.size(words) - F.size(out))
+            ),
+        )
+
+    given = F.struct(
+        col(actual).alias("words"),
+        F.transform(col(pieces), _bare).alias("parts"),
+        col(labels).alias("tags"),
+    )
+    return let(given, fold)
 
 
 def merge_entities(words: Column | str, labels: Column | str) -> Column:
     """``array<struct<text,label>>``: each ``B-`` word with the ``I-`` words up to the next ``B-``
     glued on (``##`` dropped). ``O`` does not end an entity; an ``I-`` before any ``B-`` is dropped."""
-    words, labels = _col(words), _col(labels)
-    starts = F.filter(_positions(labels), lambda i: F.startswith(F.get(labels, i), F.lit("B-")))
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(labels)))
     spelt_out = _literal_map(SPELT_OUT)
 
-    def merged(start: Column, end: Column) -> Column:
-        tail = F.filter(
-            F.sequence(start, end - 1),
-            lambda i: (i > start) & F.startswith(F.get(labels, i), F.lit("I-")),
-        )
-        glued = F.array_join(
-            F.transform(tail, lambda i: F.replace(F.get(words, i), F.lit("##"), F.lit(""))), ""
-        )
-        kind = F.upper(F.replace(F.get(labels, start), F.lit("B-"), F.lit("")))
-        return F.struct(
-            F.concat(F.get(words, start), glued).alias("text"),
-            F.coalesce(F.try_element_at(spelt_out, kind), kind).alias("label"),
+    def merge(given: Column) -> Column:
+        word, label = given["words"], given["labels"]
+
+        def merged(start: Column, end: Column) -> Column:
+            tail = F.filter(
+                F.sequence(start, end - 1),
+                lambda i: (i > start) & F.startswith(F.get(label, i), F.lit("I-")),
+            )
+            glued = F.array_join(
+                F.transform(tail, lambda i: F.replace(F.get(word, i), F.lit("##"), F.lit(""))), ""
+            )
+            kind = F.upper(F.replace(F.get(label, start), F.lit("B-"), F.lit("")))
+            return F.struct(
+                F.concat(F.get(word, start), glued).alias("text"),
+                F.coalesce(F.try_element_at(spelt_out, kind), kind).alias("label"),
+            )
+
+        def between(starts: Column) -> Column:
+            later = F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1)))
+            ends = F.concat(later, F.array(F.size(label)))
+            return F.when(F.size(starts) > 0, F.zip_with(starts, ends, merged)).otherwise(
+                F.array().cast("array<struct<text:string,label:string>>")
+            )
+
+        starts = F.filter(
+            positions(label), lambda i: F.startswith(F.get(label, i), F.lit("B-"))
         )
+        return let(starts, between)
 
-    return F.when(F.size(starts) > 0, F.zip_with(starts, ends, merged)).otherwise(
-        F.array().cast("array<struct<text:string,label:string>>")
-    )
+    return let(F.struct(col(words).alias("words"), col(labels).alias("labels")), merge)
 
 
 def derive_tag_mapping(model_tags: list[str], corpus_tags: list[str]) -> dict[str, str]:

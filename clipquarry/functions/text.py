@@ -10,11 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The blanks a Unicode-aware split knows.
-BLANKS = (
-    r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+from clipquarry.functions.columns import col, no_strings
+
+# The blanks a Unicode-aware split knows, as a character class and one by one.
+BLANK = r"\s\x1c-\x1f"
+_BLANK_RANGES = [
+    (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+    (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+]
+BLANK_CHARACTERS = "".join(chr(c) for low, high in _BLANK_RANGES for c in range(low, high + 1))
+WORD = f"(?U)[^{BLANK}]+"
 # The address and number patterns.
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 PHONE = r"\b(?:\+\d{1,2}\s?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b"
@@ -33,31 +38,26 @@ SENTENCE_SHAPE = rf"([.!?]{ASCII_BLANKS}+[A-Z])|([.!?]\z)"
 SINGLE_NAME = r"^[A-Z][a-z]+\n?\z"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def words(text: Column | str) -> Column:
     """Blank-separated words, none of them empty."""
-    return F.regexp_extract_all(_col(text), F.lit(f"[^{BLANKS}]+"), F.lit(0))
+    return F.regexp_extract_all(col(text), F.lit(WORD), F.lit(0))
 
 
 def word_count(text: Column | str) -> Column:
     """Number of words, counted without building them; 0 for null."""
-    counted = F.regexp_count(_col(text), F.lit(f"[^{BLANKS}]+"))
+    counted = F.regexp_count(col(text), F.lit(WORD))
     return F.coalesce(counted, F.lit(0)).cast("long")
 
 
 def strip_text(text: Column | str) -> Column:
     """Blanks of any script removed from both ends."""
-    left = F.regexp_replace(_col(text), rf"\A[{BLANKS}]+", "")
-    return F.regexp_replace(left, rf"(?<![{BLANKS}])[{BLANKS}]+\z", "")
+    return F.btrim(col(text), F.lit(BLANK_CHARACTERS))
 
 
 def extract_emails(text: Column | str) -> Column:
     """Every e-mail address. The cheap ``@`` test spares most transcripts the pattern."""
-    found = F.regexp_extract_all(_col(text), F.lit("(?U)" + EMAIL), F.lit(0))
-    return F.when(F.contains(_col(text), F.lit("@")), found).otherwise(_no_strings())
+    found = F.regexp_extract_all(col(text), F.lit("(?U)" + EMAIL), F.lit(0))
+    return F.when(F.contains(col(text), F.lit("@")), found).otherwise(no_strings())
 
 
 def email_count(text: Column | str) -> Column:
@@ -66,26 +66,26 @@ def email_count(text: Column | str) -> Column:
 
 def extract_phones(text: Column | str) -> Column:
     """Every ten-digit number, with optional country code and brackets."""
-    found = F.regexp_extract_all(_col(text), F.lit("(?U)" + PHONE), F.lit(0))
-    return F.coalesce(found, _no_strings())
+    found = F.regexp_extract_all(col(text), F.lit("(?U)" + PHONE), F.lit(0))
+    return F.coalesce(found, no_strings())
 
 
 def phone_count(text: Column | str) -> Column:
-    counted = F.regexp_count(_col(text), F.lit("(?U)" + PHONE))
+    counted = F.regexp_count(col(text), F.lit("(?U)" + PHONE))
     return F.coalesce(counted, F.lit(0)).cast("long")
 
 
 def normalize_us_phone(number: Column | str) -> Column:
     """``+1`` and the digits for ten-digit numbers, ``+`` and the digits otherwise. No number plan
     is consulted."""
-    digits = F.regexp_replace(_col(number), "[^0-9]", "")
+    digits = F.regexp_replace(col(number), "[^0-9]", "")
     return F.when(F.length(digits) == 10, F.concat(F.lit("+1"), digits)).otherwise(
         F.concat(F.lit("+"), digits)
     )
 
 
 def paragraphs(text: Column | str) -> Column:
-    return F.split(_col(text), "\n\n")
+    return F.split(col(text), "\n\n")
 
 
 def phones_with_context(text: Column | str) -> Column:
@@ -108,7 +108,7 @@ def phones_with_context(text: Column | str) -> Column:
 def noun_entities(entities: Column | str, labels: list[str]) -> Column:
     """Texts of the entities with one of ``labels`` that are one capitalised word."""
     kept = F.filter(
-        _col(entities),
+        col(entities),
         lambda e: e["label"].isin(labels)
         & (F.length(e["text"]) > 1)
         & e["text"].rlike(SINGLE_NAME),
@@ -117,31 +117,28 @@ def noun_entities(entities: Column | str, labels: list[str]) -> Column:
 
 
 def not_document_dump(text: Column | str) -> Column:
-    return ~_col(text).like(f"%{DOCUMENT_DUMP}%")
+    return ~col(text).like(f"%{DOCUMENT_DUMP}%")
 
 
 def no_all_caps(text: Column | str) -> Column:
     """No word of two or more capitals."""
-    return ~_col(text).rlike(ALL_CAPS)
+    return ~col(text).rlike(ALL_CAPS)
 
 
 def no_caps_run(text: Column | str) -> Column:
     """No two such words in a row."""
-    return ~_col(text).rlike(ALL_CAPS_RUN)
+    return ~col(text).rlike(ALL_CAPS_RUN)
 
 
 def has_sentence_shape(text: Column | str) -> Column:
     """A sentence end before a capital, or at the very end."""
-    return _col(text).rlike(SENTENCE_SHAPE)
+    return col(text).rlike(SENTENCE_SHAPE)
 
 
 def no_music(text: Column | str) -> Column:
-    return ~F.contains(_col(text), F.lit(MUSIC_NOTE))
+    return ~F.contains(col(text), F.lit(MUSIC_NOTE))
 
 
 def min_length(text: Column | str, n: int = 10) -> Column:
-    return F.length(_col(text)) >= n
-
+    return F.length(col(text)) >= n
 
-def _no_strings() -> Column:
-    return F.array().cast("array<string>")

@@ -49,17 +49,19 @@ def order_by_score(df: DataFrame, score: str, tie_break: Sequence[str]) -> DataF
 
 def number_rows(
     df: DataFrame,
-    order_by: Sequence[Column | str] | Column | str,
+    order_by: Sequence[str],
+    ascending: bool | Sequence[bool] = True,
     out: str = "Index",
     within: Sequence[str] = (),
 ) -> DataFrame:
-    """Row number from 0 in ``order_by``, which should decide the order; counted anew for each value
-    of ``within``.
+    """Row number from 0 in the order of the columns ``order_by``, which should decide it; counted
+    anew for each value of ``within``. Pass only the columns that are needed later.
 
     The rows are stored range-partitioned by the order; each partition then counts its own rows on
     from the number of rows in the partitions before it."""
     require_batch(df, "number_rows")
-    order = _as_columns(order_by)
+    up = [ascending] * len(order_by) if isinstance(ascending, bool) else ascending
+    order = [F.col(o).asc() if a else F.col(o).desc() for o, a in zip(order_by, up)]
     ranged = freeze(
         df.repartitionByRange(*[F.col(w) for w in within], *order).withColumn(
             "_range", F.spark_partition_id()

@@ -105,9 +105,13 @@ def aggregate_evidence(
 
 
 def merge_histograms(df: DataFrame, histogram: str) -> DataFrame:
-    """Counts of all rows' histograms added up per tag; tags without a positive sum drop out."""
+    """Counts of all rows' histograms added up per tag; tags without a positive sum drop out.
+
+    The outer form of ``explode`` keeps the optimizer from testing the histogram for emptiness in a
+    filter of its own, which would build every histogram twice."""
     return (
-        df.select(F.explode(histogram).alias("tag", "n"))
+        df.select(F.explode_outer(histogram).alias("tag", "n"))
+        .filter(F.col("tag").isNotNull())
         .groupBy("tag")
         .agg(F.sum("n").alias("count"))
         .filter(F.col("count") > 0)

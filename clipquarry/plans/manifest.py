@@ -57,7 +57,8 @@ def build_manifest(
     dataset: str,
     bucket: str,
     folder: str,
-    order_by: Sequence[Column | str] | Column | str,
+    order_by: Sequence[str],
+    ascending: bool | Sequence[bool] = True,
     text: str = "transcript",
     path: str = "transcoded_filepath",
     name: Column | None = None,
@@ -65,8 +66,10 @@ def build_manifest(
 ) -> DataFrame:
     """``Index, Paths, Labels, Dataset`` of a selection. Skipped clips keep their index, so the
     numbering has gaps."""
-    routed = media_route(number_rows(df, order_by), bucket, folder, path, name, transcode)
-    return routed.filter(F.col("action") != "skip").select(
+    routed = media_route(df, bucket, folder, path, name, transcode).select(
+        *dict.fromkeys([*order_by, text, "action", "destination"])
+    )
+    return number_rows(routed, order_by, ascending).filter(F.col("action") != "skip").select(
         "Index",
         F.col("destination").alias("Paths"),
         F.col(text).alias("Labels"),
@@ -91,7 +94,7 @@ def vendor_manifest(
 ) -> DataFrame:
     """Manifest rows of all category tables in one job: rows are numbered from 0 per category, then
     the first row per id with a vendor transcript is kept. ``labels`` maps ``uri`` to ``label``."""
-    numbered = number_rows(tables, order_by, "Index", ["category"])
+    numbered = number_rows(tables, order_by, within=["category"])
     numbered = numbered.withColumn("_id", F.struct("category", "id"))
     first = first_labelled_per_id(numbered, "_id", column, ["Index"])
     dataset = F.concat_ws("_", "category", F.lit(suffix))

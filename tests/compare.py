@@ -83,7 +83,7 @@ def main() -> None:
         spark__driver__memory="12g",
         spark__ui__showConsoleProgress="false",
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     names = sys.argv[2:] or list(queries)
     bad = 0

@@ -46,15 +46,17 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     evidence["email"] = tx.extract_emails("text")
     evidence["phone_number"] = tx.extract_phones("text")
     order = ["proper_noun", "email", "address", "alphanumeric", "phone_number", "website"]
-    n_words = tx.word_count("text")
-    return docs.select(
+    found = docs.select(
+        "*", tx.word_count("text").alias("_n"), *[evidence[c].alias(f"_{c}") for c in order]
+    )
+    return found.select(
         doc_id.alias("id"),
         F.concat(
             F.lit("gs://bkt/"), "source", F.lit("/clip_"), doc_id, ext
         ).alias("transcoded_filepath"),
         F.col("text").alias("transcript"),
         F.floor(F.col("n_chars") / 15).alias("duration"),
-        F.struct(*[_category(evidence[c], n_words).alias(c) for c in order]).alias("categories"),
+        F.struct(*[_category(F.col(f"_{c}"), F.col("_n")).alias(c) for c in order]).alias("categories"),
     )
 
 
@@ -185,7 +187,7 @@ def _blocks(spark: SparkSession, sf_dir: str, word: str) -> DataFrame:
 def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``gold`` tags and two models' ``pred``: gold with words of certain lengths missed."""
     tokens = F.col("tokens")
-    gold = _blocks(spark, sf_dir, f"[^{tx.BLANKS}]+").withColumn(
+    gold = _blocks(spark, sf_dir, tx.WORD).withColumn(
         "gold", F.transform(tokens, lambda w, i: tag_of(tokens, w, i))
     )
     missed = F.explode(
@@ -205,7 +207,7 @@ def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences cut into sub-word pieces of four letters, with everything a tagger gives for them:
     ``pieces``, ``word_ids`` and ``subword_tags`` (one leading special token), sparse ``entities``."""
     tokens = F.col("tokens")
-    base = _blocks(spark, sf_dir, f"[^{tx.BLANKS}#Ġ]+").withColumn(
+    base = _blocks(spark, sf_dir, f"(?U)[^{tx.BLANK}#Ġ]+").withColumn(
         "gold", F.transform(tokens, lambda w, i: tag_of(tokens, w, i))
     )
 

@@ -150,7 +150,8 @@ def _manifest(spark, sf_dir):
         "names_set",
         "out",
         "sets",
-        [F.col("duration").desc(), F.col("id")],
+        ["duration", "id"],
+        [False, True],
         name=paths.stem("transcoded_filepath"),
     )
 
@@ -757,7 +758,7 @@ def w8_token_chunks(spark, sf_dir):
 @query('SELECT row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS "Index", doc_id FROM documents')
 def w9_number_rows(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents", ["doc_id", "n_chars"])
-    numbered = ordering.number_rows(docs, [F.col("n_chars").desc(), F.col("doc_id")])
+    numbered = ordering.number_rows(docs, ["n_chars", "doc_id"], [False, True])
     return numbered.select("Index", "doc_id")
 
 
