@@ -55,7 +55,8 @@ def number_rows(
     within: Sequence[str] = (),
 ) -> DataFrame:
     """Row number from 0 in the order of the columns ``order_by``, which should decide it; counted
-    anew for each value of ``within``. Pass only the columns that are needed later.
+    anew for each value of ``within``. Pass a table that is cheap to read, with only the columns that
+    are needed later: it is read twice, once to find the ranges.
 
     The rows are stored range-partitioned by the order; each partition then counts its own rows on
     from the number of rows in the partitions before it."""

@@ -11,6 +11,7 @@ from clipquarry.functions.ids import encode_id
 from clipquarry.functions.paths import extension, file_name, stem
 from clipquarry.operators.joins import merge_update
 from clipquarry.operators.ordering import first_labelled_per_id, number_rows
+from clipquarry.session import freeze
 
 # Formats kept as they are, and what others are converted to.
 KEPT = [".wav", ".flac"]
@@ -66,10 +67,12 @@ def build_manifest(
 ) -> DataFrame:
     """``Index, Paths, Labels, Dataset`` of a selection. Skipped clips keep their index, so the
     numbering has gaps."""
-    routed = media_route(df, bucket, folder, path, name, transcode).select(
-        *dict.fromkeys([*order_by, text, "action", "destination"])
-    )
-    return number_rows(routed, order_by, ascending).filter(F.col("action") != "skip").select(
+    names = [] if name is None else [name.alias("_name")]
+    narrow = df.select(*dict.fromkeys([*order_by, text, path]), *names)
+    numbered = number_rows(narrow, order_by, ascending)
+    name = None if name is None else F.col("_name")
+    routed = media_route(numbered, bucket, folder, path, name, transcode)
+    return routed.filter(F.col("action") != "skip").select(
         "Index",
         F.col("destination").alias("Paths"),
         F.col(text).alias("Labels"),
@@ -94,7 +97,8 @@ def vendor_manifest(
 ) -> DataFrame:
     """Manifest rows of all category tables in one job: rows are numbered from 0 per category, then
     the first row per id with a vendor transcript is kept. ``labels`` maps ``uri`` to ``label``."""
-    numbered = number_rows(tables, order_by, within=["category"])
+    needed = dict.fromkeys(["category", "id", path, column, *order_by])
+    numbered = number_rows(freeze(tables.select(*needed)), order_by, within=["category"])
     numbered = numbered.withColumn("_id", F.struct("category", "id"))
     first = first_labelled_per_id(numbered, "_id", column, ["Index"])
     dataset = F.concat_ws("_", "category", F.lit(suffix))

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clipquarry.functions import text as tx
 from clipquarry.functions.tags import tag_histogram
@@ -75,25 +74,22 @@ def document_metrics(df: DataFrame, mode: str, text: str = "transcript") -> Data
 def annotate(df: DataFrame, make_tagger: Callable[[], Tagger], text: str = "transcript") -> DataFrame:
     """Adds ``tokens`` and ``tags`` from a caller's tagger. ``make_tagger`` runs once per Python
     worker task, so a model is loaded once for all of its batches; the tagger gets a list of texts
-    and returns one (tokens, tags) pair for each."""
-    schema = T.StructType(
-        [
-            T.StructField("tokens", T.ArrayType(T.StringType())),
-            T.StructField("tags", T.ArrayType(T.StringType())),
-        ]
-    )
+    and returns one (tokens, tags) pair for each.
+
+    The function is declared non-deterministic, as models may be: otherwise a later filter on its
+    result would be pushed below it with a second call of the model."""
+    strings = pa.list_(pa.string())
 
-    @F.pandas_udf(schema)
-    def tagged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<tokens:array<string>,tags:array<string>>")
+    def tagged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = make_tagger()
         for batch in batches:
-            pairs = tagger([t or "" for t in batch])
-            yield pd.DataFrame(
-                {"tokens": [list(p[0]) for p in pairs], "tags": [list(p[1]) for p in pairs]}
-            )
+            pairs = tagger([t or "" for t in batch.to_pylist()])
+            columns = [pa.array([list(p[i]) for p in pairs], strings) for i in (0, 1)]
+            yield pa.StructArray.from_arrays(columns, ["tokens", "tags"])
 
     return (
-        df.withColumn("_tagged", tagged(F.col(text)))
+        df.withColumn("_tagged", tagged.asNondeterministic()(F.col(text)))
         .withColumns({"tokens": F.col("_tagged.tokens"), "tags": F.col("_tagged.tags")})
         .drop("_tagged")
     )

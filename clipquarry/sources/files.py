@@ -12,11 +12,16 @@ MANIFEST = "Index bigint, Paths string, Labels string, Dataset string"
 _TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"', "emptyValue": ""}
 
 
+def _decoded(path: str) -> Column:
+    """File metadata is percent-encoded, with ``+`` left as it is."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def read_transcript_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row per ``*.txt`` file: ``audio_name`` is its name less ``.txt``."""
     files = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     return files.select(
-        F.regexp_extract("_metadata.file_name", r"(?s)^(.*)\.txt$", 1).alias("audio_name"),
+        F.regexp_extract(_decoded("_metadata.file_name"), r"(?s)^(.*)\.txt$", 1).alias("audio_name"),
         strip_text("value").alias("transcript"),
     )
 
@@ -25,7 +30,7 @@ def read_vendor_json(spark: SparkSession, folder: str) -> DataFrame:
     """One row per ``*.json`` document with the label made from it."""
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     return files.select(
-        F.col("_metadata.file_path").alias("uri"), vendor_label("value").alias("label")
+        _decoded("_metadata.file_path").alias("uri"), vendor_label("value").alias("label")
     )
 
 

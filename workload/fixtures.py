@@ -4,11 +4,17 @@ stand-ins made by simple rules."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache, wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipquarry.functions import text as tx
-from clipquarry.sources.tables import read_table
+from clipquarry.functions.columns import let
+from clipquarry.session import scratch_path
+from clipquarry.sources.files import list_objects
+from clipquarry.sources.tables import read_table, write_table
 
 # Stand-ins where no pattern is given for a category.
 PATTERNS = {
@@ -19,12 +25,46 @@ PATTERNS = {
 }
 AUDIO = [".wav", ".flac", ".m4a", ".webm", ".mp3"]
 SENTENCE_WORDS = 32
+SMALL_BYTES = 256 << 20
+TEXT_TABLES = {"documents", "pages"}
 ENTITY_TYPES = ["person", "location", "group"]
 ENTITY_LABELS = ["PERSON", "ORG", "GPE", "LOC", "DATE"]
 
 
+@cache
+def _bytes(session: str, path: str) -> int:
+    spark = SparkSession.active()
+    return list_objects(spark, path).agg(F.sum("length")).first()[0] or 0
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", columns)
+    """A test table. Parquet is split by row groups, and a small table has only one; where it holds
+    texts its rows are dealt out to all cores. Tables of ``SMALL_BYTES`` and more are read as they
+    are split."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = read_table(spark, path, columns)
+    if name not in TEXT_TABLES or _bytes(spark.sparkContext.applicationId, path) >= SMALL_BYTES:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Keeps a fixture as a table in the session's shared folder, as annotations are kept in real
+    use: it is built by the first query that needs it, and scans can prune and push down."""
+
+    @wraps(build)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        if key not in _STORED:
+            path = scratch_path(spark, build.__name__)
+            write_table(build(spark, sf_dir), path)
+            _STORED[key] = path
+        return read_table(spark, _STORED[key])
+
+    return read
 
 
 def _category(evidence: Column, n_words: Column) -> Column:
@@ -38,6 +78,7 @@ def _category(evidence: Column, n_words: Column) -> Column:
     )
 
 
+@stored
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     doc_id = F.col("doc_id").cast("string")
@@ -79,6 +120,7 @@ def tag_of(tokens: Column, w: Column, i: Column) -> Column:
     return F.when(name(w), F.concat(prefix, kind)).otherwise("O")
 
 
+@stored
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``transcripts`` with ``entities``, ``tags`` and ``pos``."""
     split = transcripts(spark, sf_dir).withColumn("tokens", tx.words("human_transcript_text"))
@@ -184,6 +226,7 @@ def _blocks(spark: SparkSession, sf_dir: str, word: str) -> DataFrame:
     )
 
 
+@stored
 def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``gold`` tags and two models' ``pred``: gold with words of certain lengths missed."""
     tokens = F.col("tokens")
@@ -203,6 +246,7 @@ def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select(F.col("_m.model").alias("model"), "sent_id", "tokens", "gold", pred.alias("pred"))
 
 
+@stored
 def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences cut into sub-word pieces of four letters, with everything a tagger gives for them:
     ``pieces``, ``word_ids`` and ``subword_tags`` (one leading special token), sparse ``entities``."""
@@ -211,22 +255,27 @@ def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "gold", F.transform(tokens, lambda w, i: tag_of(tokens, w, i))
     )
 
-    def cut(w: Column, i: Column) -> Column:
+    def cut(word: Column, gold: Column) -> Column:
+        w = word["w"]
         count = F.ceil(F.length(w) / 4).cast("int")
-        tag = F.when(F.length(w) % 7 == 0, "O").otherwise(F.get(F.col("gold"), i))
-        inner = F.when(tag == "O", "O").otherwise(F.concat(F.lit("I"), F.substring(tag, 2, 40)))
-        return F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda k: F.struct(
-                F.concat(
-                    F.when(k > 0, "##").otherwise(""), F.substring(w, k * 4 + 1, F.lit(4))
-                ).alias("piece"),
-                i.alias("word"),
-                F.when(k == 0, tag).otherwise(inner).alias("tag"),
-            ),
-        )
 
-    flat = F.flatten(F.transform(tokens, cut))
+        def pieces(tag: Column) -> Column:
+            inner = F.when(tag == "O", "O").otherwise(F.concat(F.lit("I"), F.substring(tag, 2, 40)))
+            return F.transform(
+                F.sequence(F.lit(0), count - 1),
+                lambda k: F.struct(
+                    F.concat(
+                        F.when(k > 0, "##").otherwise(""), F.substring(w, k * 4 + 1, F.lit(4))
+                    ).alias("piece"),
+                    word["i"].alias("word"),
+                    F.when(k == 0, tag).otherwise(inner).alias("tag"),
+                ),
+            )
+
+        return let(F.when(F.length(w) % 7 == 0, "O").otherwise(gold), pieces)
+
+    placed = F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    flat = F.flatten(F.zip_with(placed, "gold", cut))
     cutted = base.withColumn("_p", flat)
     pieces = F.col("_p")
     numbered = F.transform(
@@ -245,3 +294,6 @@ def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.array(F.lit("O")), F.transform(pieces, lambda p: p["tag"])).alias("subword_tags"),
         F.filter(numbered, lambda e: e["entity"] != "O").alias("entities"),
     )
+
+
+STORED_FIXTURES = [clips, annotated, tagged_sentences, piece_sentences]

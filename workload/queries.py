@@ -1356,19 +1356,6 @@ def x26_densify_labels(spark, sf_dir):
 # --- taggers -------------------------------------------------------------------------------------
 
 
-def capital_tagger():
-    """A rule tagger: capitalised words are people."""
-    import re
-
-    name = re.compile("[A-Z][a-z]+").fullmatch
-
-    def tag(texts):
-        split = [t.split() for t in texts]
-        return [(words, ["B-person" if name(w) else "O" for w in words]) for words in split]
-
-    return tag
-
-
 @query(
     with_(
         q.words(),
@@ -1377,6 +1364,18 @@ def capital_tagger():
     )
 )
 def d1_annotate(spark, sf_dir):
+    def capital_tagger():
+        """A rule tagger, made here so that it travels to the workers by value."""
+        import re
+
+        name = re.compile("[A-Z][a-z]+").fullmatch
+
+        def tag(texts):
+            split = [t.split() for t in texts]
+            return [(words, ["B-person" if name(w) else "O" for w in words]) for words in split]
+
+        return tag
+
     docs = metrics.annotate(fx.table(spark, sf_dir, "documents"), capital_tagger, "text")
     found = docs.select(
         "doc_id",
