@@ -44,7 +44,7 @@ def words(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    """Number of words, counted without building them; 0 for null."""
+    """Number of words; 0 for null."""
     counted = F.regexp_count(col(text), F.lit(WORD))
     return F.coalesce(counted, F.lit(0)).cast("long")
 

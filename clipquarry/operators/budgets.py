@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from clipquarry.operators.prefix import (
@@ -149,9 +149,18 @@ def take_within_budget(
     above = F.col(score).isNotNull() if edge[score] is None else F.col(score) > F.lit(edge[score])
     if last is None:
         return df.filter(above)
-    tie_types = {f.name: f.dataType for f in df.select(*tie_break).schema.fields}
-    last_tie = F.struct(
-        *[F.lit(last["tie"][c]).cast(tie_types[c]).alias(c) for c in tie_break]
-    )
-    return df.filter(above | (at_edge & (F.struct(*tie_break) <= last_tie)))
-
+    within = at_edge & _up_to(df, tie_break, last["tie"])
+    kept = above | within
+    # The first test is implied by the second, but alone it can reach the scan.
+    reach = F.lit(True) if edge[score] is None else F.col(score) >= F.lit(edge[score])
+    return df.filter(reach & kept)
+
+
+def _up_to(df: DataFrame, columns: Sequence[str], last: Row) -> Column:
+    """Rows not after ``last`` in ascending order with nulls first."""
+    if len(columns) > 1:  # structs compare field by field, nulls first
+        types = {f.name: f.dataType for f in df.select(*columns).schema.fields}
+        bound = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in columns])
+        return F.struct(*columns) <= bound
+    column, value = F.col(columns[0]), last[0]
+    return column.isNull() if value is None else column.isNull() | (column <= F.lit(value))

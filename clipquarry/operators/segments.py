@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipquarry.functions.columns import let
 from clipquarry.functions.tags import runs
 from clipquarry.functions.text import strip_text, words
 
@@ -57,16 +58,19 @@ def token_chunks(
 ) -> DataFrame:
     """Consecutive blocks of ``size`` words with, apart, the last ``context`` words of the block
     before (whose results a tagger discards)."""
-    split = df.select(*keep, words(text).alias("_words"))
-    count = F.ceil(F.size("_words") / size).cast("int")
-    numbered = split.filter(F.size("_words") > 0).select(
-        *keep, "_words", F.explode(F.sequence(F.lit(0), count - 1)).alias("chunk")
-    )
-    first = F.col("chunk") * size + 1
-    lead = F.when(F.col("chunk") > 0, F.lit(min(context, size))).otherwise(F.lit(0))
-    return numbered.select(
-        *keep,
-        "chunk",
-        F.slice("_words", F.greatest(first - lead, F.lit(1)), lead).alias("context"),
-        F.slice("_words", first, F.lit(size)).alias("tokens"),
-    )
+    lead = min(context, size)
+
+    def blocks(word: Column) -> Column:
+        def block(i: Column) -> Column:
+            first = i * size + 1
+            before = F.when(i > 0, F.lit(lead)).otherwise(F.lit(0))
+            return F.struct(
+                i.alias("chunk"),
+                F.slice(word, F.greatest(first - before, F.lit(1)), before).alias("context"),
+                F.slice(word, first, F.lit(size)).alias("tokens"),
+            )
+
+        last = F.ceil(F.size(word) / size).cast("int") - 1
+        return F.when(F.size(word) > 0, F.transform(F.sequence(F.lit(0), last), block))
+
+    return df.select(*keep, F.inline(let(words(text), blocks)))

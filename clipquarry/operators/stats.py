@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipquarry.operators.prefix import quantile_row
+from clipquarry.operators.prefix import broadcast_if_small, null_safe_join, quantile_row
+from clipquarry.session import freeze, require_batch
 
 PERCENTS = [0.5, 0.9, 0.99]
 EVIDENCE_PER_ROW = 100_000
@@ -63,9 +64,10 @@ def statistics_lines(df: DataFrame) -> DataFrame:
     """Columns of every row as ``key``, ``value`` text; floats with three decimals."""
 
     def shown(name: str) -> Column:
+        text = F.col(name).cast("string")
         if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-            return F.coalesce(F.format_string("%.3f", F.col(name)), F.lit("None"))
-        return F.coalesce(F.col(name).cast("string"), F.lit("None"))
+            text = F.format_string("%.3f", F.col(name))
+        return F.when(F.col(name).isNull(), "None").otherwise(text)
 
     pairs = [F.struct(F.lit(c).alias("key"), shown(c).alias("value")) for c in df.columns]
     return df.select(F.inline(F.array(*pairs)))
@@ -81,26 +83,41 @@ def aggregate_evidence(
 ) -> DataFrame:
     """All evidence of an id as a sorted array. ``part`` is 0 for every id with up to ``per_row``
     pieces; an id with more is spread over several parts, so that no row or task has to hold an
-    unbounded group. Equal pieces are counted before they are shuffled and repeated at the end."""
+    unbounded group.
+
+    A first pass counts the pieces per id. Where no id has too many, the arrays are joined up as
+    they are. Otherwise equal pieces are counted before they are shuffled, and repeated at the end."""
+    require_batch(df, "aggregate_evidence")
+    evidence = F.col(f"categories.{category}.evidence")
+    found = df.select(key, evidence.alias("evidence")).filter(F.size("evidence") > 0)
+    large = freeze(
+        found.groupBy(key)
+        .agg(F.sum(F.size("evidence")).alias("_all"))
+        .filter(F.col("_all") > per_row)
+        .select(key, F.ceil(F.col("_all") / per_row).alias("_parts"))
+    )
+    n_large = large.count()
+    if n_large == 0:
+        joined = F.sort_array(F.flatten(F.collect_list("evidence")))
+        return found.groupBy(key).agg(
+            F.lit(0).alias("part"), joined.alias("aggregated_evidence")
+        )
+
     counted = explode_evidence(df, category, key).groupBy(key, "evidence").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    large = (
-        counted.groupBy(key)
-        .agg(F.sum("_n").alias("_all"))
-        .filter(F.col("_all") > per_row)
-        .withColumn("_parts", F.ceil(F.col("_all") / per_row))
-        .select(key, "_parts")
-    )
-    pieces = counted.select(
-        key, "evidence", "_n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / per_row) - 1)).alias("_piece")
-    ).withColumn("_n", F.least(F.lit(per_row), F.col("_n") - F.col("_piece") * per_row))
+    piece = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / per_row) - 1)).alias("_piece")
+    size = F.least(F.lit(per_row), F.col("_n") - F.col("_piece") * per_row).cast("int")
+    pieces = counted.select(key, "evidence", "_n", piece).withColumn("_n", size)
     part = F.pmod(F.xxhash64("evidence", "_piece"), F.coalesce(F.col("_parts"), F.lit(1)))
-    repeated = F.array_repeat(F.col("evidence"), F.col("_n").cast("int"))
     return (
-        pieces.join(large, key, "left")
+        null_safe_join(pieces, broadcast_if_small(large, n_large), [key], "left")
         .groupBy(key, part.cast("int").alias("part"))
-        .agg(F.sort_array(F.flatten(F.collect_list(repeated))).alias("aggregated_evidence"))
+        .agg(
+            F.sort_array(F.flatten(F.collect_list(F.array_repeat("evidence", F.col("_n"))))).alias(
+                "aggregated_evidence"
+            )
+        )
     )
 
 

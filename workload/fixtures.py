@@ -213,17 +213,17 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _blocks(spark: SparkSession, sf_dir: str, word: str) -> DataFrame:
     """Whole documents as blocks of words: ``sent_id``, ``tokens``."""
-    split = table(spark, sf_dir, "documents").select(
-        "doc_id", F.regexp_extract_all("text", F.lit(word), F.lit(0)).alias("_w")
-    )
-    last = F.floor((F.size("_w") - 1) / SENTENCE_WORDS).cast("int")
-    numbered = split.filter(F.size("_w") > 0).select(
-        "doc_id", "_w", F.explode(F.sequence(F.lit(0), last)).alias("_b")
-    )
-    return numbered.select(
-        F.concat_ws("-", F.col("doc_id").cast("string"), F.col("_b").cast("string")).alias("sent_id"),
-        F.slice("_w", F.col("_b") * SENTENCE_WORDS + 1, F.lit(SENTENCE_WORDS)).alias("tokens"),
+    def blocks(words: Column) -> Column:
+        last = F.floor((F.size(words) - 1) / SENTENCE_WORDS).cast("int")
+        cut = lambda i: F.slice(words, i * SENTENCE_WORDS + 1, F.lit(SENTENCE_WORDS))
+        return F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(0), last), cut))
+
+    words = F.regexp_extract_all("text", F.lit(word), F.lit(0))
+    cut = table(spark, sf_dir, "documents").select(
+        "doc_id", F.posexplode(let(words, blocks)).alias("_b", "tokens")
     )
+    sent_id = F.concat_ws("-", F.col("doc_id").cast("string"), F.col("_b").cast("string"))
+    return cut.select(sent_id.alias("sent_id"), "tokens")
 
 
 @stored
