@@ -6,7 +6,7 @@ one pass finds that, and the rows are then picked by a plain comparison, which c
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clipquarry.operators.prefix import (
     broadcast_if_small,
+    certain_cutoff,
     null_safe_join,
     running_total,
     score_totals,
@@ -21,6 +22,9 @@ from clipquarry.operators.prefix import (
 from clipquarry.session import require_batch
 
 
+Where = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Budget:
     """Running totals by score, and the lowest score that is within the limit."""
@@ -28,24 +32,22 @@ class Budget:
     totals: DataFrame
     score: str
     parts: tuple[str, ...]
+    where: Where
     rows: int
     lowest: object
     unbounded: bool
 
-    def prune(self, df: DataFrame) -> DataFrame:
-        """Drops what is certainly over budget by comparing the score with a constant. Apply it
-        before dear filters: a later pass then tests only the few rows that can be kept."""
-        if self.unbounded:
-            return df
-        if self.lowest is None:
-            return df.filter(F.lit(False))
-        return df.filter(F.col(self.score) >= F.lit(self.lowest))
-
     def attach(self, df: DataFrame) -> DataFrame:
-        """Rows within the budget with their running total."""
-        return null_safe_join(
-            self.prune(df), broadcast_if_small(self.totals, self.rows), [*self.parts, self.score]
-        )
+        """Rows within the budget with their running total. The score is compared with a constant
+        before anything else is tested."""
+        if self.unbounded:
+            pruned = df
+        elif self.lowest is None:
+            pruned = df.filter(F.lit(False))
+        else:
+            pruned = df.filter(F.col(self.score) >= F.lit(self.lowest))
+        totals = broadcast_if_small(self.totals, self.rows)
+        return null_safe_join(self.where(pruned), totals, [*self.parts, self.score])
 
 
 def find_budget(
@@ -55,11 +57,17 @@ def find_budget(
     out: str = "running_total",
     parts: Sequence[str] = (),
     limit: int | float | None = None,
+    where: Where = lambda rows: rows,
     one_task_rows: int | None = None,
 ) -> Budget:
-    """One pass over ``df`` for its running totals by score."""
+    """The running totals by score of the rows that pass ``where``. With a limit, one pass over all
+    rows finds a score below which none can be kept, and the exact totals are made above it."""
     require_batch(df, "find_budget")
-    totals = score_totals(df, score, F.col(amount), parts)
+    floor = None
+    if limit is not None:
+        floor = certain_cutoff(where(df), score, F.col(amount), limit, parts)
+    above = df if floor is None else df.filter(F.col(score) >= F.lit(floor))
+    totals = score_totals(where(above), score, F.col(amount), parts)
     totals = running_total(
         totals, [F.col(score).desc_nulls_last()], "_amount", out, parts, one_task_rows
     )
@@ -70,13 +78,14 @@ def find_budget(
         F.min(score).alias("lowest"),
         F.coalesce(F.bool_or(F.col(score).isNull()), F.lit(False)).alias("nulls"),
     ).first()
-    # Null scores come last: where they are kept, every score is.
     return Budget(
         totals.select(*parts, score, out),
         score,
         tuple(parts),
+        where,
         kept["rows"],
         kept["lowest"],
+        # Null scores come last: where they are kept, every score is.
         limit is None or kept["nulls"],
     )
 
@@ -93,7 +102,9 @@ def running_budget(
     """``SUM(amount) OVER (PARTITION BY parts ORDER BY score DESC)`` with its RANGE frame: rows with
     one score share one total, so they enter or leave a budget together. With ``limit`` only rows
     whose total is within it are kept. Null scores come last."""
-    return find_budget(df, score, amount, out, parts, limit, one_task_rows).attach(df)
+    return find_budget(
+        df, score, amount, out, parts, limit, one_task_rows=one_task_rows
+    ).attach(df)
 
 
 def partitioned_budget(
@@ -127,11 +138,13 @@ def take_within_budget(
     ).otherwise(spent)
 
     down = F.col(score).desc_nulls_last()
+    floor = certain_cutoff(df, score, checked, limit)
+    above_floor = df if floor is None else df.filter(F.col(score) >= F.lit(floor))
     totals = running_total(
-        score_totals(df, score, checked), [down], "_amount", "_total", (), one_task_rows
+        score_totals(above_floor, score, checked), [down], "_amount", "_total", (), one_task_rows
     )
     edge = totals.filter(F.col("_total") > limit).orderBy(down).first()
-    if edge is None:
+    if edge is None:  # everything fits
         return df
 
     # Whole score groups above the edge fit; the edge group is filled up in tie-break order.

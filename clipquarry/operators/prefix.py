@@ -5,15 +5,20 @@ first reduced to score totals (combined map-side; a score held by a third of all
 row), which are stored, and only those few rows are put in order. When there are too many of them
 for one task they are range-partitioned and the partitions' own running totals are shifted by the
 totals of the partitions before them.
+
+Where only the top of the order or a few ranks are wanted, a coarse histogram comes first: it says
+which narrow range of scores can matter, and only rows in that range get exact totals.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipquarry.session import freeze, require_batch
 
@@ -89,6 +94,64 @@ def running_total(
     return shifted.withColumn(out, F.col(out) + F.col("_shift")).drop("_range", "_shift")
 
 
+def is_numeric(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.NumericType)
+
+
+def _bin(score: str) -> Column:
+    """A whole number that grows with the score: 64 bins to each power of two, mirrored for negative
+    scores. No more than some 280,000 values whatever the scores are; null for null."""
+    x = F.col(score).cast("double")
+    size = F.abs(x)
+    endless = F.lit(1 << 17)
+    step = F.when(size < F.lit(float("inf")), F.floor(F.log2(size) * 64) + 1100 * 64)
+    step = step.otherwise(endless)
+    return (
+        F.when(F.isnan(x), endless + 1).when(x > 0, step).when(x < 0, -step).when(x == 0, F.lit(0))
+    )
+
+
+def coarse_totals(
+    df: DataFrame, score: str, amount: Column, parts: Sequence[str] = ()
+) -> DataFrame:
+    """One stored row per (parts, bin of scores): what is needed to know where an exact total lies."""
+    require_batch(df, "coarse_totals")
+    value = F.col(score).cast("double")
+    return freeze(
+        df.groupBy(*parts, _bin(score).alias("_bin")).agg(
+            F.coalesce(F.sum(amount), F.lit(0)).alias("_amount"),
+            F.min(amount).alias("_least"),
+            F.count(F.lit(1)).alias("_rows"),
+            F.min(score).alias("_low"),
+            F.max(score).alias("_high"),
+            F.avg(value).alias("_mean"),
+            F.var_pop(value).alias("_var"),
+        )
+    )
+
+
+def certain_cutoff(
+    df: DataFrame, score: str, amount: Column, limit: int | float, parts: Sequence[str] = ()
+) -> object | None:
+    """A score below which every row is over the limit for sure; None where there is none. Amounts
+    below zero make totals fall again, so they rule a cut-off out."""
+    if not is_numeric(df, score):
+        return None
+    down = Window.partitionBy(*parts).orderBy(F.col("_bin").desc_nulls_last())
+    totals = coarse_totals(df, score, amount, parts).withColumn(
+        "_before", F.sum("_amount").over(down.rowsBetween(_FIRST, _BEFORE)) - F.col("_amount")
+    )
+    within = F.col("_before") <= limit
+    found = totals.agg(
+        F.min(F.when(within, F.col("_low"))).alias("lowest"),
+        F.coalesce(F.bool_or(within & F.col("_bin").isNull()), F.lit(False)).alias("nulls"),
+        F.min("_least").alias("least"),
+    ).first()
+    if found["nulls"] or (found["least"] or 0) < 0:
+        return None
+    return found["lowest"]
+
+
 def quantile_row(
     df: DataFrame,
     value: str,
@@ -98,29 +161,66 @@ def quantile_row(
 ) -> Row:
     """Exact statistics of a numeric column as one row: ``n``, ``mean``, ``var_pop`` and ``q0``,
     ``q1``, … (linear interpolation between neighbours, or the lower neighbour's rank rule of
-    ``percentile_disc``). One pass over ``df``; the rest runs on its distinct values, and only the
-    finished row reaches the driver."""
-    totals = score_totals(df.filter(F.col(value).isNotNull()), value, F.lit(1))
-    weighted = F.col(value).cast("double") * F.col("_rows")
-    whole = totals.agg(F.sum("_rows").alias("n"), F.sum(weighted).alias("s")).first()
+    ``percentile_disc``).
+
+    One pass makes a coarse histogram, with each bin's mean and variance. A second pass counts the
+    distinct values of just the bins that hold a wanted rank. Only finished rows reach the driver."""
+    coarse = coarse_totals(df.filter(F.col(value).isNotNull()), value, F.lit(1))
+    up = Window.orderBy("_bin").rowsBetween(_FIRST, _BEFORE)  # a bounded number of bins
+    coarse = coarse.withColumn("_last", F.sum("_rows").over(up))
+    weighted = F.sum(F.col("_mean") * F.col("_rows"))
+    whole = coarse.agg(F.sum("_rows").alias("n"), weighted.alias("s")).first()
     n = whole["n"] or 0
     mean = whole["s"] / n if n else None
-    ranked = running_total(totals, [F.col(value).asc()], "_rows", "_rank", (), one_task_rows)
-
-    def at_rank(rank: int) -> Column:
-        return F.min(F.when(F.col("_rank") >= rank, F.col(value)))
-
-    columns = [F.lit(n).alias("n"), F.lit(mean).cast("double").alias("mean")]
-    gap = F.col(value) - F.lit(mean).cast("double")
-    columns.append((F.sum(gap * gap * F.col("_rows")) / F.lit(n or None)).alias("var_pop"))
-    for i, p in enumerate(probabilities):
-        if interpolate:
-            place = p * max(n - 1, 0)
-            low, part = math.floor(place), place - math.floor(place)
-            lower = at_rank(low + 1).cast("double")
-            upper = at_rank(math.ceil(place) + 1).cast("double")
-            quantile = lower + (upper - lower) * F.lit(part)
-        else:
-            quantile = at_rank(max(1, math.ceil(round(p * n, 9))))
-        columns.append(quantile.alias(f"q{i}"))
-    return ranked.agg(*columns).first()
+
+    places = [_ranks(p, n, interpolate) for p in probabilities]
+    wanted = sorted({rank for low, high, _ in places for rank in (low, high)})
+    first = F.col("_last") - F.col("_rows")
+    here = [F.when((first < r) & (F.col("_last") >= r), first).alias(f"b{r}") for r in wanted]
+    gap = F.col("_mean") - F.lit(mean).cast("double")
+    spread = F.sum(F.col("_rows") * (F.col("_var") + gap * gap)) / F.lit(n or None).cast("double")
+    found = coarse.agg(
+        spread.alias("var_pop"),
+        *[F.max(h).alias(f"before{r}") for h, r in zip(here, wanted)],
+        *[F.max(F.when(h.isNotNull(), F.col("_low"))).alias(f"low{r}") for h, r in zip(here, wanted)],
+        *[F.max(F.when(h.isNotNull(), F.col("_high"))).alias(f"high{r}") for h, r in zip(here, wanted)],
+    ).first()
+
+    values = {r: found[f"low{r}"] for r in wanted}
+    open_ranks = [r for r in wanted if found[f"low{r}"] != found[f"high{r}"]]
+    if open_ranks:
+        ranges = {(found[f"low{r}"], found[f"high{r}"]) for r in open_ranks}
+        inside = reduce(
+            lambda a, b: a | b, [F.col(value).between(F.lit(x), F.lit(y)) for x, y in ranges]
+        )
+        totals = score_totals(df.filter(inside), value, F.lit(1))
+        ranked = running_total(totals, [F.col(value).asc()], "_rows", "_rank", (), one_task_rows)
+        # Rows of wanted bins further down stand before a bin in this ranking too.
+        lower = {r: F.when(F.col(value) < F.lit(found[f"low{r}"]), F.col("_rank")) for r in open_ranks}
+        shifts = ranked.agg(
+            *[F.coalesce(F.max(c), F.lit(0)).alias(f"k{r}") for r, c in lower.items()]
+        ).first()
+        exact = ranked.agg(
+            *[
+                F.min(
+                    F.when(F.col("_rank") >= r - found[f"before{r}"] + shifts[f"k{r}"], F.col(value))
+                ).alias(f"v{r}")
+                for r in open_ranks
+            ]
+        ).first()
+        values.update({r: exact[f"v{r}"] for r in open_ranks})
+
+    quantiles = {}
+    for i, (low, high, part) in enumerate(places):
+        a, b = values[low], values[high]
+        quantiles[f"q{i}"] = a if a is None or not interpolate else float(a) + (float(b) - float(a)) * part
+    return Row(n=n, mean=mean, var_pop=found["var_pop"], **quantiles)
+
+
+def _ranks(p: float, n: int, interpolate: bool) -> tuple[int, int, float]:
+    """The two ranks (from 1) around a quantile, and the share of the way between them."""
+    if not interpolate:
+        rank = max(1, math.ceil(round(p * n, 9)))
+        return rank, rank, 0.0
+    place = p * max(n - 1, 0)
+    return math.floor(place) + 1, math.ceil(place) + 1, place - math.floor(place)

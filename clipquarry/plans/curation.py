@@ -44,8 +44,10 @@ def curate_strict(
         return quality_filter(rows, "strict", text)
 
     lifted = category_columns(clips, category, ["id", "duration", text])
-    budget = find_budget(admitted(lifted), score, "duration", "final_running_total", (), limit)
-    kept = budget.attach(admitted(budget.prune(lifted))).drop(text)
+    budget = find_budget(
+        lifted, score, "duration", "final_running_total", (), limit, where=admitted
+    )
+    kept = budget.attach(lifted).drop(text)
     kept = freeze(category_present(kept, f"{category}_count"))
     kept = with_total_count(kept).withColumn(
         "total_duration_selected_files", F.col("final_running_total")
@@ -74,10 +76,9 @@ def curate_basic(
     lifted = category_columns(
         clips.withColumn("_bucket", bucket), category, ["id", "duration", text, path, "_bucket"]
     )
-    pruned = find_budget(
-        admitted(lifted), count, "duration", "total_duration_selected_files", ["_bucket"], cap
-    )
-    kept = pruned.attach(admitted(pruned.prune(lifted))).drop(text, path, "_bucket")
+    per_bucket = "total_duration_selected_files"
+    pruned = find_budget(lifted, count, "duration", per_bucket, ["_bucket"], cap, where=admitted)
+    kept = pruned.attach(lifted).drop(text, path, "_bucket")
     # Bounded by buckets x cap seconds of audio; stored once for the count and the final budget.
     kept = freeze(category_present(kept, count))
     kept = with_total_count(kept)
@@ -114,16 +115,10 @@ def curate_categories(
     def admitted(rows: DataFrame) -> DataFrame:
         return quality_filter(rows, "basic", text, path, "count")
 
-    pruned = find_budget(
-        admitted(lifted),
-        "count",
-        "duration",
-        "total_duration_selected_files",
-        ["category", "_bucket"],
-        cap,
-    )
-    present = category_present(pruned.prune(lifted), "count")
-    kept = freeze(pruned.attach(admitted(present)).drop(text, path, "_bucket"))
+    groups, per_bucket = ["category", "_bucket"], "total_duration_selected_files"
+    pruned = find_budget(lifted, "count", "duration", per_bucket, groups, cap, where=admitted)
+    present = category_present(lifted, "count")
+    kept = freeze(pruned.attach(present).drop(text, path, "_bucket"))
     sizes = kept.groupBy("category").agg(F.count(F.lit(1)).alias("total_count"))
     kept = kept.join(broadcast_if_small(sizes), "category")
     kept = running_budget(kept, "count", "duration", "final_running_total", ["category"], limit)
