@@ -231,8 +231,3 @@ def merge_entities(words: Column | str, labels: Column | str) -> Column:
 
     return let(F.struct(col(words).alias("words"), col(labels).alias("labels")), merge)
 
-
-def derive_tag_mapping(model_tags: list[str], corpus_tags: list[str]) -> dict[str, str]:
-    """Tagger tag to the corpus tag with the same prefix and entity, ``O`` where there is none."""
-    known = set(corpus_tags)
-    return {tag: tag if tag in known else OUTSIDE for tag in model_tags}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from clipquarry.operators.prefix import (
     broadcast_if_small,
     certain_cutoff,
+    first_overflow,
     null_safe_join,
     running_total,
     score_totals,
@@ -137,43 +138,25 @@ def take_within_budget(
         spent < 0, F.raise_error(F.lit(f"take_within_budget: negative {amount}"))
     ).otherwise(spent)
 
-    down = F.col(score).desc_nulls_last()
-    floor = certain_cutoff(df, score, checked, limit)
-    above_floor = df if floor is None else df.filter(F.col(score) >= F.lit(floor))
-    totals = running_total(
-        score_totals(above_floor, score, checked), [down], "_amount", "_total", (), one_task_rows
-    )
-    edge = totals.filter(F.col("_total") > limit).orderBy(down).first()
+    edge = first_overflow(df, [score], checked, limit, True, one_task_rows)
     if edge is None:  # everything fits
         return df
-
-    # Whole score groups above the edge fit; the edge group is filled up in tie-break order.
-    room = limit - (edge["_total"] - edge["_amount"])
-    at_edge = F.col(score).eqNullSafe(F.lit(edge[score]))
-    ties = score_totals(df.filter(at_edge), tie_break, checked)
-    up = [F.col(c).asc_nulls_first() for c in tie_break]
-    fitting = running_total(ties, up, "_amount", "_total", (), one_task_rows)
-    last = (
-        fitting.filter(F.col("_total") <= room)
-        .orderBy(*[F.col(c).desc_nulls_last() for c in tie_break])
-        .select(F.struct(*tie_break).alias("tie"))
-        .first()
-    )
-    above = F.col(score).isNotNull() if edge[score] is None else F.col(score) > F.lit(edge[score])
-    if last is None:
-        return df.filter(above)
-    within = at_edge & _up_to(df, tie_break, last["tie"])
-    kept = above | within
+    # Whole groups above the edge fit; the edge group is filled up in tie-break order.
+    value, room = edge["keys"][0], limit - edge["before"]
+    at_edge = F.col(score).eqNullSafe(F.lit(value))
+    tie = first_overflow(df.filter(at_edge), tie_break, checked, room, False, one_task_rows)
+    above = F.col(score).isNotNull() if value is None else F.col(score) > F.lit(value)
+    within = at_edge if tie is None else at_edge & _before(df, tie_break, tie["keys"])
     # The first test is implied by the second, but alone it can reach the scan.
-    reach = F.lit(True) if edge[score] is None else F.col(score) >= F.lit(edge[score])
-    return df.filter(reach & kept)
+    reach = F.lit(True) if value is None else F.col(score) >= F.lit(value)
+    return df.filter(reach & (above | within))
 
 
-def _up_to(df: DataFrame, columns: Sequence[str], last: Row) -> Column:
-    """Rows not after ``last`` in ascending order with nulls first."""
+def _before(df: DataFrame, columns: Sequence[str], edge: Row) -> Column:
+    """Rows before ``edge`` in ascending order with nulls first."""
     if len(columns) > 1:  # structs compare field by field, nulls first
         types = {f.name: f.dataType for f in df.select(*columns).schema.fields}
-        bound = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in columns])
-        return F.struct(*columns) <= bound
-    column, value = F.col(columns[0]), last[0]
-    return column.isNull() if value is None else column.isNull() | (column <= F.lit(value))
+        bound = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(columns, edge)])
+        return F.struct(*columns) < bound
+    column = F.col(columns[0])
+    return F.lit(False) if edge[0] is None else column.isNull() | (column < F.lit(edge[0]))

@@ -152,6 +152,42 @@ def certain_cutoff(
     return found["lowest"]
 
 
+def first_overflow(
+    df: DataFrame,
+    keys: Sequence[str],
+    amount: Column,
+    limit: int | float,
+    down: bool,
+    one_task_rows: int | None = None,
+) -> Row | None:
+    """The first group of equal ``keys``, in descending order with nulls last or ascending with nulls
+    first, whose running total is over ``limit``: its ``keys`` and the total ``before`` it. None when
+    all amounts, which must not be negative, fit. For one numeric key only the bin that holds the
+    overflow gets exact totals."""
+    reached = 0
+    if len(keys) == 1 and is_numeric(df, keys[0]):
+        order = F.col("_bin").desc_nulls_last() if down else F.col("_bin").asc_nulls_first()
+        window = Window.orderBy(order).rowsBetween(_FIRST, _BEFORE)  # a bounded number of bins
+        totals = coarse_totals(df, keys[0], amount)
+        totals = totals.withColumn("_total", F.sum("_amount").over(window))
+        found = totals.filter(F.col("_total") > limit).orderBy(order).first()
+        if found is None:
+            return None
+        reached, low, high = found["_total"] - found["_amount"], found["_low"], found["_high"]
+        if low == high:
+            return Row(keys=Row(low), before=reached)
+        df = df.filter(F.col(keys[0]).between(F.lit(low), F.lit(high)))
+
+    order = [F.col(k).desc_nulls_last() if down else F.col(k).asc_nulls_first() for k in keys]
+    totals = score_totals(df, keys, amount)
+    totals = running_total(totals, order, "_amount", "_total", (), one_task_rows)
+    found = totals.filter(F.col("_total") + reached > limit).orderBy(*order).first()
+    if found is None:
+        return None
+    group = Row(*[found[k] for k in keys])
+    return Row(keys=group, before=reached + found["_total"] - found["_amount"])
+
+
 def quantile_row(
     df: DataFrame,
     value: str,

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipquarry.functions.tags import entity_spans
+from clipquarry.functions.tags import OUTSIDE, entity_spans
 
 _COUNTS = ("true_positives", "predicted", "support")
 
@@ -114,6 +114,14 @@ def compare_taggers(df: DataFrame, model: str = "model") -> DataFrame:
     return span_report(df, by=[model])
 
 
+def derive_tag_mapping(model: DataFrame, corpus: DataFrame, tag: str = "tag") -> DataFrame:
+    """Each tagger tag with the corpus tag of the same prefix and entity, ``O`` where there is none.
+    ``map_tags`` takes the collected pairs: there are as many as the tagger has tags."""
+    known = corpus.select(tag).distinct().withColumn("_known", F.lit(True))
+    mapped = F.when(F.col("_known"), F.col(tag)).otherwise(OUTSIDE)
+    return model.select(tag).distinct().join(known, tag, "left").select(tag, mapped.alias("mapped"))
+
+
 def tag_set_difference(a: DataFrame, b: DataFrame, tag: str = "tag") -> DataFrame:
     """Tags that only one side has, with the side; no rows when the sets are equal."""
     sides = a.select(tag, F.lit("left").alias("side")).unionByName(

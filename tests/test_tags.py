@@ -114,8 +114,10 @@ def test_mappings(spark):
     assert sc.TO_FOUR_ENTITIES["O"] == "O"
     assert all(k == v for k, v in sc.SAME_TAGS.items()) and len(sc.SAME_TAGS) == 13
     assert set(map(id, sc.TAGGER_MAPPINGS.values())) == {id(sc.TO_FOUR_ENTITIES), id(sc.SAME_TAGS)}
-    assert tg.derive_tag_mapping(["B-a", "I-a", "B-b-c", "O"], ["O", "I-a", "B-b-c"]) == {
-        "B-a": "O", "I-a": "I-a", "B-b-c": "B-b-c", "O": "O",
+    tagset = lambda *t: spark.createDataFrame([(x,) for x in t], "tag string")
+    derived = scoring.derive_tag_mapping(tagset("B-a", "I-a", "B-b-c", "O", "O"), tagset("O", "I-a", "B-b-c"))
+    assert {tuple(r) for r in derived.collect()} == {
+        ("B-a", "O"), ("I-a", "I-a"), ("B-b-c", "B-b-c"), ("O", "O"),
     }
     assert one(spark, f"t {STRINGS}", (["B-person", "B-what"],), tg.map_tags("t", sc.SAME_TAGS)) == [
         "B-person", "O",

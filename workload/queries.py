@@ -1313,6 +1313,48 @@ def x19_merge_entities(spark, sf_dir):
     return tagged.select("sent_id", F.inline(tags.merge_entities("tokens", "gold")))
 
 
+@query(
+    with_(
+        q.TAGGED,
+        "model_tags AS (SELECT DISTINCT gold || length(word) % 3 AS tag FROM tagged)",
+        "corpus_tags AS (SELECT DISTINCT pred || length(word) % 2 AS tag FROM tagged)",
+        select="SELECT tag, CASE WHEN tag IN (SELECT tag FROM corpus_tags) THEN tag ELSE 'O' END AS mapped "
+        "FROM model_tags",
+    )
+)
+def x20_derive_tag_mapping(spark, sf_dir):
+    tagged = fx.tagged_sentences(spark, sf_dir)
+
+    def marked(column: str, n: int) -> DataFrame:
+        pairs = F.zip_with(
+            column, "tokens", lambda t, w: F.concat(t, (F.length(w) % n).cast("string"))
+        )
+        return tagged.select(F.explode(pairs).alias("tag"))
+
+    return scoring.derive_tag_mapping(marked("gold", 3), marked("pred", 2))
+
+
+@query(
+    with_(
+        q.DOCUMENT_TAGS,
+        select="SELECT tag, CASE substr(tag, 3) WHEN 'person' THEN left(tag, 2) || 'PER' WHEN 'location' THEN "
+        "left(tag, 2) || 'LOC' WHEN 'group' THEN left(tag, 2) || 'ORG' ELSE 'O' END AS four_entities, "
+        "tag AS same_tags, count(*) AS n FROM doc_tags GROUP BY tag",
+    )
+)
+def x21_built_in_tag_mappings(spark, sf_dir):
+    found = fx.annotated(spark, sf_dir).select(
+        F.inline(
+            F.arrays_zip(
+                F.col("tags").alias("tag"),
+                tags.map_tags("tags", sc.TO_FOUR_ENTITIES).alias("four_entities"),
+                tags.map_tags("tags", sc.SAME_TAGS).alias("same_tags"),
+            )
+        )
+    ).toDF("tag", "four_entities", "same_tags")
+    return found.groupBy("tag", "four_entities", "same_tags").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     f"SELECT page_id, regexp_replace(regexp_replace(html, '^[{q.BLANKS}]+', ''), '[{q.BLANKS}]+$', '') AS html "
     "FROM pages"
