@@ -155,28 +155,26 @@ def align_tokens(actual: Column | str, pieces: Column | str, labels: Column | st
         )
 
         def move(state: Column, _: Column) -> Column:
+            # Written out rather than bound with ``let``, which would copy the state in every move.
             target = F.get(words, state["word"])
-
-            def moved(glued: Column) -> Column:
-                complete = glued == target
-                take = F.struct(
-                    state["word"].alias("word"),
-                    (state["piece"] + 1).alias("piece"),
-                    glued.alias("glued"),
-                    state["out"].alias("out"),
-                )
-                label = F.when(complete, F.get(tags, state["piece"])).otherwise(OUTSIDE)
-                go_on = F.struct(
-                    (state["word"] + 1).alias("word"),
-                    (state["piece"] + complete.cast("int")).alias("piece"),
-                    F.lit("").alias("glued"),
-                    F.concat(state["out"], F.array(label)).alias("out"),
-                )
-                return F.when(F.startswith(target, glued) & ~complete, take).otherwise(go_on)
-
             glued = F.concat(state["glued"], F.get(parts, state["piece"]))
+            complete = glued == target
+            take = F.struct(
+                state["word"].alias("word"),
+                (state["piece"] + 1).alias("piece"),
+                glued.alias("glued"),
+                state["out"].alias("out"),
+            )
+            label = F.when(complete, F.get(tags, state["piece"])).otherwise(OUTSIDE)
+            go_on = F.struct(
+                (state["word"] + 1).alias("word"),
+                (state["piece"] + complete.cast("int")).alias("piece"),
+                F.lit("").alias("glued"),
+                F.concat(state["out"], F.array(label)).alias("out"),
+            )
             done = (state["word"] >= F.size(words)) | (state["piece"] >= F.size(parts))
-            return F.when(done, state).otherwise(let(glued, moved))
+            growing = F.startswith(target, glued) & ~complete
+            return F.when(done, state).when(growing, take).otherwise(go_on)
 
         moves = F.concat(positions(words), positions(parts))
         found = F.aggregate(moves, start, move, lambda s: s["out"])

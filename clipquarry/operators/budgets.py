@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from clipquarry.operators.prefix import (
+    Coarse,
     broadcast_if_small,
-    certain_cutoff,
+    coarse_budget,
     first_overflow,
     null_safe_join,
     running_total,
@@ -62,16 +63,23 @@ def find_budget(
     one_task_rows: int | None = None,
 ) -> Budget:
     """The running totals by score of the rows that pass ``where``. With a limit, one pass over all
-    rows finds a score below which none can be kept, and the exact totals are made above it."""
+    rows finds a score below which none can be kept, and the exact totals are made above it; where
+    each of its bins held one score, as with small counts, they are exact already."""
     require_batch(df, "find_budget")
-    floor = None
+    coarse = Coarse(None, None)
     if limit is not None:
-        floor = certain_cutoff(where(df), score, F.col(amount), limit, parts)
-    above = df if floor is None else df.filter(F.col(score) >= F.lit(floor))
-    totals = score_totals(where(above), score, F.col(amount), parts)
-    totals = running_total(
-        totals, [F.col(score).desc_nulls_last()], "_amount", out, parts, one_task_rows
-    )
+        coarse = coarse_budget(where(df), score, F.col(amount), out, limit, parts)
+    totals = coarse.totals
+    if totals is None:
+        above = df if coarse.floor is None else df.filter(F.col(score) >= F.lit(coarse.floor))
+        totals = running_total(
+            score_totals(where(above), score, F.col(amount), parts),
+            [F.col(score).desc_nulls_last()],
+            "_amount",
+            out,
+            parts,
+            one_task_rows,
+        )
     if limit is not None:
         totals = totals.filter(F.col(out) <= limit)
     kept = totals.agg(

@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -130,26 +131,44 @@ def coarse_totals(
     )
 
 
-def certain_cutoff(
-    df: DataFrame, score: str, amount: Column, limit: int | float, parts: Sequence[str] = ()
-) -> object | None:
-    """A score below which every row is over the limit for sure; None where there is none. Amounts
-    below zero make totals fall again, so they rule a cut-off out."""
+class Coarse(NamedTuple):
+    """What a coarse histogram says about a limit: a score below which every row is over it for sure
+    (None where there is none), and the exact totals where each bin held just one score."""
+
+    floor: object | None
+    totals: DataFrame | None
+
+
+def coarse_budget(
+    df: DataFrame,
+    score: str,
+    amount: Column,
+    out: str,
+    limit: int | float,
+    parts: Sequence[str] = (),
+) -> Coarse:
+    """One pass over ``df`` to narrow a budget down. Amounts below zero make totals fall again, so
+    they rule a floor out."""
     if not is_numeric(df, score):
-        return None
+        return Coarse(None, None)
     down = Window.partitionBy(*parts).orderBy(F.col("_bin").desc_nulls_last())
     totals = coarse_totals(df, score, amount, parts).withColumn(
-        "_before", F.sum("_amount").over(down.rowsBetween(_FIRST, _BEFORE)) - F.col("_amount")
+        out, F.sum("_amount").over(down.rowsBetween(_FIRST, _BEFORE))
     )
-    within = F.col("_before") <= limit
+    within = F.col(out) - F.col("_amount") <= limit
+    one_score = F.col("_low").eqNullSafe(F.col("_high"))
     found = totals.agg(
         F.min(F.when(within, F.col("_low"))).alias("lowest"),
-        F.coalesce(F.bool_or(within & F.col("_bin").isNull()), F.lit(False)).alias("nulls"),
+        F.bool_or(within & F.col("_bin").isNull()).alias("nulls"),
+        F.bool_and(F.when(within, one_score)).alias("exact"),
         F.min("_least").alias("least"),
     ).first()
-    if found["nulls"] or (found["least"] or 0) < 0:
-        return None
-    return found["lowest"]
+    if (found["least"] or 0) < 0:
+        return Coarse(None, None)
+    exact = totals.filter(within).select(*parts, F.col("_low").alias(score), "_amount", out)
+    return Coarse(
+        None if found["nulls"] else found["lowest"], exact if found["exact"] else None
+    )
 
 
 def first_overflow(

@@ -65,7 +65,7 @@ def differences(name, spark, sf_dir, con, queries, oracle, took=None) -> list[st
 
 def _same(a: tuple, b: tuple) -> bool:
     return len(a) == len(b) and all(
-        x == y or (isinstance(x, float) and isinstance(y, float) and math.isclose(x, y, rel_tol=1e-12))
+        x == y or (isinstance(x, float) and isinstance(y, float) and math.isclose(x, y, rel_tol=0.0))
         for x, y in zip(a, b)
     )
 
