@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="warehouse-"),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -173,3 +173,55 @@ def test_checkpoints_go_to_the_configured_folder(spark):
     from clipquarry.session import scratch_path, shared_dir
 
     assert scratch_path(spark, "x").startswith(shared_dir(spark).rstrip("/"))
+
+
+def test_top_hours_are_published(spark, tmp_path):
+    from clipquarry.plans.publish import publish_top_hours
+
+    rows = [("f1", 1800, "Ann met Bob", ["B-person", "O", "B-person"]), ("f2", 3000, "went off", ["O", "O"])]
+    orig = spark.createDataFrame(
+        rows, "raw_filepath string, duration long, human_transcript_text string, tags array<string>"
+    )
+    annotated = orig.withColumns(
+        {
+            "entities": F.lit(None).cast("array<struct<text:string,label:string>>"),
+            "pos": F.lit(None).cast("array<string>"),
+        }
+    )
+    chosen = curation.select_top_hours(annotated, "tagged_words", 1)
+    folder = str(tmp_path / "out")
+    table = publish_top_hours(orig, chosen, f"{folder}/table", folder, ["raw_filepath", "duration", "absent"])
+    assert [(r["raw_filepath"], r["temp_proper_noun_ratio"]) for r in table.collect()] == [("f1", 2 / 3)]
+    read = lambda name: tables.load_results(spark, f"{folder}/{name}").collect()
+    assert [r.asDict() for r in read("selected_data")] == [{"raw_filepath": "f1", "duration": 1800}]
+    assert read("statistics")[0]["P50"] == 2 / 3
+    assert [(r["tag"], r["count"]) for r in read("tag_distribution")] == [("B-person", 2)]
+
+
+@pytest.mark.parametrize("category", ["proper_noun", "email"])
+def test_a_category_is_published(spark, tmp_path, category):
+    from clipquarry.plans.publish import publish_category
+    from clipquarry.schema import CATEGORIES
+
+    def cats(n):
+        one = {"density": n / 10, "count": n, "exists": n > 0, "evidence": ["x"] * n}
+        return {c: one for c in CATEGORIES}
+
+    rows = [(str(i), f"g/{i}.wav", f"Text of {i}. More.", 100, cats(i)) for i in range(6)]
+    clips = spark.createDataFrame(rows, CLIP)
+    name = f"published_{category}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    args = (category, name, "set", "bkt", str(tmp_path / "out"))
+    try:
+        table = publish_category(clips, *args, limit=300)
+        assert sorted(r["id"] for r in table.collect()) == ["3", "4", "5"]
+        kept = publish_category(clips, *args, limit=100)
+        assert kept.count() == 3
+        again = publish_category(clips, *args, limit=100, replace=True)
+        assert [r["id"] for r in again.collect()] == ["5"]
+        manifest_rows = files.read_manifest(spark, str(tmp_path / "out" / "manifest")).collect()
+        assert [(r["Index"], r["Labels"]) for r in manifest_rows] == [(0, "Text of 5. More.")]
+        log = {r[0] for r in spark.read.text(str(tmp_path / "out" / "statistics")).collect()}
+        assert "total_duration: 100" in log and f"mean_{category}_count: 5.000" in log
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
