@@ -35,7 +35,6 @@ class Budget:
     score: str
     parts: tuple[str, ...]
     where: Where
-    rows: int
     lowest: object
     unbounded: bool
 
@@ -48,7 +47,7 @@ class Budget:
             pruned = df.filter(F.lit(False))
         else:
             pruned = df.filter(F.col(self.score) >= F.lit(self.lowest))
-        totals = broadcast_if_small(self.totals, self.rows)
+        totals = broadcast_if_small(self.totals)
         return null_safe_join(self.where(pruned), totals, [*self.parts, self.score])
 
 
@@ -83,7 +82,6 @@ def find_budget(
     if limit is not None:
         totals = totals.filter(F.col(out) <= limit)
     kept = totals.agg(
-        F.count(F.lit(1)).alias("rows"),
         F.min(score).alias("lowest"),
         F.coalesce(F.bool_or(F.col(score).isNull()), F.lit(False)).alias("nulls"),
     ).first()
@@ -92,7 +90,6 @@ def find_budget(
         score,
         tuple(parts),
         where,
-        kept["rows"],
         kept["lowest"],
         # Null scores come last: where they are kept, every score is.
         limit is None or kept["nulls"],

@@ -14,14 +14,13 @@ from pyspark.sql import functions as F
 
 from clipquarry.operators.filters import prefixed
 from clipquarry.operators.ordering import keep_latest, sample_head
-from clipquarry.operators.prefix import BROADCAST_ROWS
+from clipquarry.operators.prefix import broadcast_if_small, fits_broadcast
 from clipquarry.session import freeze, require_batch
 
 
 def _thinned(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    if stored.count() > BROADCAST_ROWS:
-        return df
-    return df.join(F.broadcast(stored.select(key)), key, "left_semi")
+    keys = stored.select(key)
+    return df.join(F.broadcast(keys), key, "left_semi") if fits_broadcast(keys) else df
 
 
 def join_back(
@@ -60,8 +59,7 @@ def restrict_to_keys(
 ) -> DataFrame:
     """Rows whose key occurs in ``keys``, optionally only the first ``cap`` of them."""
     stored = freeze(keys.select(key).distinct())
-    small = stored.count() <= BROADCAST_ROWS
-    kept = df.join(F.broadcast(stored) if small else stored, key, "left_semi")
+    kept = df.join(broadcast_if_small(stored), key, "left_semi")
     return sample_head(kept, cap, key if order_by is None else order_by)
 
 

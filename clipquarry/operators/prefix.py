@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from clipquarry.session import freeze, require_batch
 
 ONE_TASK_ROWS = 1_000_000  # of ~40 bytes each: what one ordering task may be given
-BROADCAST_ROWS = 200_000  # of ~40 bytes each: what a broadcast may hold
+BROADCAST_ROWS = 200_000  # what a broadcast may hold
+BROADCAST_BYTES = 64 << 20
 
 _FIRST, _BEFORE = Window.unboundedPreceding, Window.currentRow
 
@@ -39,10 +40,17 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def broadcast_if_small(small: DataFrame, rows: int | None = None) -> DataFrame:
-    """A broadcast hint for a cheap, narrow table that was counted and found small enough."""
-    rows = small.count() if rows is None else rows
-    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+def fits_broadcast(stored: DataFrame) -> bool:
+    """Whether a stored, narrow table was counted and measured to be small enough to broadcast."""
+    lengths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in stored.columns]
+    size = stored.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(reduce(lambda a, b: a + b, lengths)).alias("bytes")
+    ).first()
+    return size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def broadcast_if_small(stored: DataFrame) -> DataFrame:
+    return F.broadcast(stored) if fits_broadcast(stored) else stored
 
 
 def score_totals(

@@ -96,8 +96,7 @@ def aggregate_evidence(
         .filter(F.col("_all") > per_row)
         .select(key, F.ceil(F.col("_all") / per_row).alias("_parts"))
     )
-    n_large = large.count()
-    if n_large == 0:
+    if large.isEmpty():
         joined = F.sort_array(F.flatten(F.collect_list("evidence")))
         return found.groupBy(key).agg(
             F.lit(0).alias("part"), joined.alias("aggregated_evidence")
@@ -111,7 +110,7 @@ def aggregate_evidence(
     pieces = counted.select(key, "evidence", "_n", piece).withColumn("_n", size)
     part = F.pmod(F.xxhash64("evidence", "_piece"), F.coalesce(F.col("_parts"), F.lit(1)))
     return (
-        null_safe_join(pieces, broadcast_if_small(large, n_large), [key], "left")
+        null_safe_join(pieces, broadcast_if_small(large), [key], "left")
         .groupBy(key, part.cast("int").alias("part"))
         .agg(
             F.sort_array(F.flatten(F.collect_list(F.array_repeat("evidence", F.col("_n"))))).alias(

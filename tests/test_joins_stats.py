@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clipquarry.operators import filters, joins, segments, stats
+from clipquarry.operators import filters, joins, prefix, segments, stats
 from clipquarry.schema import CLIP
 
 
@@ -30,8 +30,9 @@ def test_attach_selection_pairs_duplicate_ids(spark):
     assert sorted((r["n"], r["t"]) for r in rows) == [(1, 10), (1, 20), (2, 10), (2, 20)]
 
 
-def test_large_selections_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+@pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
+def test_large_selections_are_not_broadcast(spark, monkeypatch, bound):
+    monkeypatch.setattr(prefix, bound, 1)
     orig = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, n int")
     keys = spark.createDataFrame([("a", 7), ("b", 8)], "id string, t int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

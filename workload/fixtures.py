@@ -43,9 +43,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     are split."""
     path = f"{sf_dir}/{name}.parquet"
     df = read_table(spark, path, columns)
-    if name not in TEXT_TABLES or _bytes(spark.sparkContext.applicationId, path) >= SMALL_BYTES:
+    size = _bytes(spark.sparkContext.applicationId, path) if name in TEXT_TABLES else SMALL_BYTES
+    if size >= SMALL_BYTES:
         return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    return df.repartition(min(spark.sparkContext.defaultParallelism, 1 + size // (128 << 10)))
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
