@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from clipquarry import schema as sc
 from clipquarry.functions import tags as tg
