@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipquarry.session import scratch_path
@@ -41,3 +41,33 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def held_out(doc_id: str) -> Column:
     """The fold that is never learned from: crc32 of the id as text, modulo 3, is 1. Null ids are not in it."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, rows_per_label: int, *, doc_id: str, label: str, text: str = "text"
+) -> DataFrame:
+    """``label`` and ``text`` of at most ``rows_per_label`` documents of each label: those whose hashed ids are the
+    smallest. Ids are chosen from ``labels`` alone, so the texts are joined with a bounded list; the cut
+    is made again behind the join, in case one id stands on many rows. Null ids and null labels take no part;
+    an id with several labels has its largest."""
+    known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
+    one = known.groupBy(F.col(doc_id).alias("_i")).agg(F.max(label).cast("int").alias("label"))
+    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("_i"), "_i")
+    ids = store(one.withColumn("_r", F.row_number().over(by_hash)).where(F.col("_r") <= rows_per_label), "sample_ids")
+    texts = docs.select(F.col(doc_id).alias("_d"), F.col(text).alias("text"))
+    joined = texts.join(F.broadcast(ids.drop("_r")), F.col("_d") == F.col("_i"))
+    again = Window.partitionBy("label").orderBy(F.xxhash64("_d"), "_d", F.xxhash64("text"))
+    rows = joined.withColumn("_r", F.row_number().over(again)).where(F.col("_r") <= rows_per_label)
+    return rows.select("label", "text")
+
+
+def trained(sample: DataFrame, fit) -> bytes:
+    """What ``fit`` makes of the rows of a bounded sample, in one task. ``fit`` takes an iterator of record batches
+    and returns bytes; they are the model, whose size the operator bounds."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([fit(batches)], pa.binary())], ["model"])
+
+    return bytes(sample.repartition(1).sortWithinPartitions("label", F.xxhash64("text")).mapInArrow(run, "model binary").first()["model"])

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipquarry.llm import decontaminate, mixing, simhash, token_counts, token_output, topk, warc_zip
-from clipquarry.llm.common import table
+from clipquarry.llm import decontaminate, language, mixing, quality, simhash, token_counts, token_output, topk, toxicity, warc_zip
+from clipquarry.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,6 +60,36 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    scored = quality.score_quality(docs, quality.train(docs, labels), carry=["doc_id"])
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        held_out("row.doc_id").alias("held_out"),
+        "expected_grade",
+        "tail_probability",
+        (F.col("tail_probability") >= quality.LEAST_TAIL).alias("keep"),
+    )
+
+
+@query()
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
+@query()
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.train(docs.where(~held_out("doc_id")))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op5_token_output(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
