@@ -93,24 +93,24 @@ def poisson_mix(
     Null ids, texts and sources are values like any other: null sources form one source. Equal rows get
     equal numbers of copies. Empty texts count nothing towards a source's size but are repeated at its
     rate. An empty table gives an empty one. No row is capped or sampled beyond the draw itself."""
-    rates = small_side(store(source_rates(
-        docs, weights, total=total, temperature=temperature, source=source, text=text
-    ), "source_rates").select(F.col("source").alias("_mix_source"), "parts", "cumulative"))
     copy, order = fresh(docs, "copy"), fresh(docs, "shuffle_key")
-    part = F.concat_ws(
+    of_source, parts, mass = (fresh(docs, n) for n in ("_mix_source", "_mix_parts", "_mix_cumulative"))
+    n_name, key_name = fresh(docs, "_mix_n"), fresh(docs, "_mix_key")
+    rates = store(source_rates(docs, weights, total=total, temperature=temperature, source=source, text=text), "source_rates")
+    rates = small_side(rates.select(F.col("source").alias(of_source), F.col("parts").alias(parts), F.col("cumulative").alias(mass)))
+    key = F.concat_ws(
         "|",
         F.lit(str(seed)),
         F.coalesce(F.col(doc_id).cast("string"), F.lit("-")),
         F.coalesce(F.md5(text), F.lit("-")),
     )
-    n_name, key_name = fresh(docs, "_mix_n"), fresh(docs, "_mix_key")
     draw = lambda j: F.size(
-        F.filter("cumulative", lambda c: c <= uniform(F.concat_ws("#", F.col(key_name), j.cast("string"))))
+        F.filter(mass, lambda c: c <= uniform(F.concat_ws("#", F.col(key_name), j.cast("string"))))
     )
-    n = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda a, j: a + draw(j))
+    n = F.aggregate(F.sequence(F.lit(1), F.col(parts)), F.lit(0), lambda a, j: a + draw(j))
     counted = (
-        docs.withColumn(key_name, F.md5(part))
-        .join(rates, F.col(source).eqNullSafe(F.col("_mix_source")))
+        docs.withColumn(key_name, F.md5(key))
+        .join(rates, F.col(source).eqNullSafe(F.col(of_source)))
         .withColumn(n_name, n)
         .where(F.col(n_name) > 0)
     )
