@@ -17,7 +17,7 @@ every shard its first document and token."""
 from __future__ import annotations
 
 import hashlib
-import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clipquarry.llm.common import WORKER_CACHE, fresh, store
+from clipquarry.llm.common import WORKER_CACHE, spread, store
 from clipquarry.llm.files import create, open_file, read_range
 from clipquarry.session import scratch_path
 
@@ -42,7 +42,6 @@ SAMPLE_ROWS = 2_000  # pieces of id arrays that the dictionary is trained on, at
 PIECE_IDS = 4_096  # ids in such a piece, at most
 LEVEL = 3
 
-_BLANKS = re.compile(r"[ \n]+")
 _MARKS = ".,!?;:%$*#&"
 
 
@@ -61,40 +60,49 @@ class WordEncoder:
             raise ValueError(f"{path} does not treat blank-separated words alone")
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.memo: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
     def _learn(self, words: set[str]) -> None:
-        memo, plans, ask = self.memo, [], set()
+        """Puts words into the memo: from the older half of it, or else from the library."""
+        memo, older, plans, ask = self.memo, self.older, [], {}
         for word in words:
+            if (found := older.get(word)) is not None:
+                memo[word] = found
+                continue
             core = word.rstrip(_MARKS)
-            if core != word and core.isascii() and core.isalpha():
-                parts = [core.lower() if self.lower else core, word[len(core):]]
-            elif word.isascii() and word.isalpha():
-                parts = [word.lower() if self.lower else word]
-            else:
-                parts = [word]
-            plans.append((word, parts))
-            ask.update(p for p in parts if p not in memo)
-        ask = list(ask)
-        for part, found in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
+            part = core.lower() if self.lower and core.isascii() and core.isalpha() else None
+            if part is None:
+                core, part = word, word
+            if part not in memo and part not in ask:
+                if (found := older.get(part)) is not None:
+                    memo[part] = found
+                else:
+                    ask[part] = None
+            if part != word:
+                plans.append((word, part, word[len(core):]))
+                if len(core) < len(word) and word[len(core):] not in memo:
+                    ask[word[len(core):]] = None
+        for part, found in zip(ask, self.tokenizer.encode_batch_fast(list(ask), add_special_tokens=False)):
             memo[part] = self._pack(found.ids)
-        for word, parts in plans:
-            memo[word] = b"".join(memo[p] for p in parts)
+        for word, part, marks in plans:
+            memo[word] = memo[part] + memo[marks]
 
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
         """Of each text its serialized ids with the end id behind them."""
-        split = [_BLANKS.split(t) if t else [] for t in texts]
-        if len(self.memo) > WORKER_CACHE:
-            self.memo = {"": b""}
-        memo, out = self.memo, []
-        for words in split:
+        out = []
+        for text in texts:
+            # both are blanks that no piece reaches over
+            words = text.replace("\n", " ").split(" ") if text else []
             try:
-                packed = b"".join(map(memo.__getitem__, words))
+                packed = b"".join(map(self.memo.__getitem__, words))
             except KeyError:
-                self._learn(set(words).difference(memo))
-                packed = b"".join(map(memo.__getitem__, words))
+                if len(self.memo) > WORKER_CACHE:  # words that come up again move on from the older half
+                    self.memo, self.older = {"": b""}, self.memo
+                self._learn(set(words).difference(self.memo))
+                packed = b"".join(map(self.memo.__getitem__, words))
             out.append(packed + end)
         return out
 
@@ -268,8 +276,8 @@ def read_tokens(manifest: DataFrame, dictionary_uri: str, *, step: int = 512) ->
                         ["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    spread = manifest.select("shard", "first_token").repartition("shard")
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    files = manifest.select("shard", "first_token")
+    return spread(files, "shard").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def round_trip(docs: DataFrame, path: str, *, end_id: int, **options) -> DataFrame:
