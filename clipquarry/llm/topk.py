@@ -25,9 +25,10 @@ from clipquarry.llm.common import store
 K = 20
 SCALE = 64
 BLOCK_ROWS = 16_384
-CHUNK_ROWS = 512
+CHUNK_ROWS = 256
+TASKS_PER_CORE = 8
 FIRST_DEPTH = 16
-EXACT = float(1 << 53)
+EXACT, EXACT_SINGLE = float(1 << 53), float(1 << 24)
 LONG = (-(1 << 63), (1 << 63) - 1)
 
 
@@ -83,35 +84,44 @@ def pack(vectors: DataFrame, rows: int, *, scale: int, vec_id: str, vector: str,
     return rows_in.mapInArrow(packed, schema)
 
 
+def by_rank(values: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the sorted lists, a row per dimension: the place of each vector, and the components in falling order."""
+    dims, n = lists.shape
+    places = np.empty((dims, n), np.int32)
+    np.put_along_axis(places, lists, np.arange(n, dtype=np.int32)[None, :], axis=1)
+    return places, np.take_along_axis(values.T, lists, axis=1)
+
+
 def threshold_search(
-    ids: np.ndarray, values: np.ndarray, lists: np.ndarray, own: int, query: np.ndarray, k: int
+    ids: np.ndarray, values: np.ndarray, places: np.ndarray, falling: np.ndarray, own: int, query: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """The rows of the block with the best ``k`` scores against ``query``, ties to smaller ids, without rows whose
-    id is ``own``; and the scores."""
-    n, dims = values.shape
-    down = query >= 0
-    step_lists = np.where(down[:, None], lists, lists[:, ::-1]) if dims else lists
-    active = np.flatnonzero(query)
-    seen = ids == own
+    id is ``own``; and the scores. Walking all lists to a depth reaches the vectors whose least place, in any
+    list, is above it."""
+    n = len(values)
+    down, up = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+    reached = np.full(n, n, np.int32)
+    if up.size:
+        reached = n - 1 - places[up].max(axis=0)
+    if down.size:
+        reached = np.minimum(reached, places[down].min(axis=0))
+    if not up.size and not down.size:  # a zero query scores zero everywhere
+        reached = np.zeros(n, np.int32)
+    reached[ids == own] = n
     rows, scores = np.zeros(0, np.int64), np.zeros(0, values.dtype)
     done, depth = 0, min(FIRST_DEPTH, n)
     while True:
-        if active.size:
-            near = np.unique(step_lists[active, done:depth])
-        else:  # a zero query scores zero everywhere
-            near, depth = np.arange(n), n
-        near = near[~seen[near]]
-        seen[near] = True
-        if near.size:
-            rows = np.concatenate((rows, near))
-            scores = np.concatenate((scores, values[near] @ query))
-            if len(rows) > k:
-                best = np.lexsort((ids[rows], -scores))[:k]
+        found = np.flatnonzero((reached >= done) & (reached < depth))
+        if found.size:
+            rows = np.concatenate((rows, found))
+            scores = np.concatenate((scores, values[found] @ query))
+            if len(rows) > k:  # all that reach the k-th score, then the best of them
+                top = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+                best = top[np.lexsort((ids[rows[top]], -scores[top]))[:k]]
                 rows, scores = rows[best], scores[best]
         if depth >= n:
             break
-        at = step_lists[active, depth - 1]
-        bound = (values[at, active] * query[active]).sum()
+        bound = (falling[down, depth - 1] * query[down]).sum() + (falling[up, n - depth] * query[up]).sum()
         if len(rows) == k and bound < scores.min():
             break
         done, depth = depth, min(depth * 2, n)
@@ -152,6 +162,9 @@ def exact_top_k(
         .join(blocks, ["part", "number"])
         .select("q_ids", "q_values", "dims", "ids", "values", "lists")
     )
+    # by their bytes the pairs would be few tasks, but each is seconds of work
+    tasks = max(1, min(chunks.count() * blocks.count(), TASKS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism))
+    pairs = pairs.repartition(tasks, "part", "number", F.xxhash64("q_ids"))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,12 +176,16 @@ def exact_top_k(
                 q_values = np.frombuffer(q_values.as_buffer(), np.float64).reshape(len(q_ids), dims)
                 lists = np.frombuffer(lists.as_buffer(), np.int32).reshape(dims, len(ids))
                 most = lambda x: float(np.abs(x).max()) if x.size else 0.0
-                if most(values) * most(q_values) * max(dims, 1) >= EXACT:  # beyond what doubles add exactly
+                largest = most(values) * most(q_values) * max(dims, 1)
+                if largest >= EXACT:  # beyond what doubles add exactly
                     whole = np.frompyfunc(int, 1, 1)
                     values, q_values = whole(values), whole(q_values)
+                elif largest < EXACT_SINGLE:
+                    values, q_values = values.astype(np.float32), q_values.astype(np.float32)
+                places, falling = by_rank(values, lists)
                 out: list[list] = [[], [], []]
                 for own, query in zip(q_ids.tolist(), q_values):
-                    rows, scores = threshold_search(ids, values, lists, own, query, k)
+                    rows, scores = threshold_search(ids, values, places, falling, own, query, k)
                     out[0] += [own] * len(rows)
                     out[1] += ids[rows].tolist()
                     out[2] += [min(max(int(s), LONG[0]), LONG[1]) for s in scores]

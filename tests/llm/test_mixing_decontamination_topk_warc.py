@@ -173,7 +173,8 @@ def test_search_stops_early():
             touched.append(len(k) if isinstance(k, np.ndarray) else 0)
             return np.asarray(self).__getitem__(k)
 
-    rows, _ = topk.threshold_search(np.arange(20_000), values.view(Counting), lists, 0, values[0], 5)
+    places, falling = topk.by_rank(values, lists)
+    rows, _ = topk.threshold_search(np.arange(20_000), values.view(Counting), places, falling, 0, values[0], 5)
     assert sorted((values @ values[0])[rows]) == sorted(np.delete(values @ values[0], 0))[-5:]
     assert sum(touched) < 10_000
 
