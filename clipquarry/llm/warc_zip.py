@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipquarry.llm.common import store
+from clipquarry.llm.common import spread, store
 from clipquarry.llm.files import create, open_file, read_range
 from clipquarry.session import scratch_path
 
@@ -286,4 +286,4 @@ def read_packages(manifest: DataFrame, *, step_bytes: int = 8 << 20) -> DataFram
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     schema = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
-    return manifest.select("package").repartition("package").mapInArrow(read, schema)
+    return spread(manifest.select("package"), "package").mapInArrow(read, schema)
