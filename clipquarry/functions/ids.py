@@ -33,11 +33,15 @@ def _rebase(digits: Column, width_in: int, base_in: int, width_out: int, base_ou
     return F.array_join(F.transform(blocks, block), "")
 
 
-def encode_id(identifier: Column | str, key: str = "") -> Column:
-    """Pseudonym of an identifier. The salt comes from a keyed hash of the identifier, so a rerun
-    gives the same name; use a private ``key`` per dataset."""
+def encode_id(
+    identifier: Column | str, key: str = "", salted_by: Column | str | None = None
+) -> Column:
+    """Pseudonym of an identifier. The salt comes from a keyed hash of ``salted_by`` (the identifier
+    itself by default), so a rerun gives the same name; use a private ``key`` per dataset, and salt by
+    what tells equal identifiers apart."""
     plain = col(identifier)
-    salt = F.left(F.sha2(F.concat(plain, F.lit(key)), 256), F.lit(2 * SALT_BYTES))
+    source = plain if salted_by is None else col(salted_by)
+    salt = F.left(F.sha2(F.concat(source, F.lit(key)), 256), F.lit(2 * SALT_BYTES))
     digits = F.concat(F.upper(salt), F.hex(F.encode(plain, "UTF-8")))
 
     def symbols(mixed: Column) -> Column:

@@ -45,7 +45,7 @@ def runs(flags: Column) -> Column:
 def entity_spans(tags: Column | str) -> Column:
     """``array<struct<type,start,stop>>`` of BIO tags, both ends inclusive. An ``I-`` tag after
     ``O`` or after another type opens a span."""
-    kind = lambda t: F.substring(t, 3, 1 << 20)
+    kind = lambda t: F.substr(t, F.lit(3))
 
     def spans(tag: Column) -> Column:
         def opens(t: Column, i: Column) -> Column:

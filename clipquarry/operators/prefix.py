@@ -27,6 +27,8 @@ ONE_TASK_ROWS = 1_000_000  # of ~40 bytes each: what one ordering task may be gi
 BROADCAST_ROWS = 200_000  # what a broadcast may hold
 BROADCAST_BYTES = 64 << 20
 
+EXACT_AMOUNT = T.DecimalType(28, 10)  # what floating amounts are added as
+
 _FIRST, _BEFORE = Window.unboundedPreceding, Window.currentRow
 
 
@@ -56,12 +58,15 @@ def broadcast_if_small(stored: DataFrame) -> DataFrame:
 def score_totals(
     df: DataFrame, score: str | Sequence[str], amount: Column, parts: Sequence[str] = ()
 ) -> DataFrame:
-    """One stored row per distinct (parts, score): the summed ``_amount`` and the ``_rows``."""
+    """One stored row per distinct (parts, score): the summed ``_amount`` (null without any) and the
+    ``_rows``. Floating amounts are added as decimals, so that their order does not matter."""
     require_batch(df, "score_totals")
+    if isinstance(df.select(amount.alias("a")).schema["a"].dataType, (T.FloatType, T.DoubleType)):
+        amount = amount.cast(EXACT_AMOUNT)
     scores = [score] if isinstance(score, str) else list(score)
     return freeze(
         df.groupBy(*parts, *scores).agg(
-            F.coalesce(F.sum(amount), F.lit(0)).alias("_amount"),
+            F.sum(amount).alias("_amount"),
             F.count(F.lit(1)).alias("_rows"),
         )
     )
@@ -75,11 +80,15 @@ def running_total(
     parts: Sequence[str] = (),
     one_task_rows: int | None = None,
 ) -> DataFrame:
-    """Running sum of ``amount`` over the rows of a stored table in ``order``, within ``parts``."""
+    """Running sum of ``amount`` over the rows of a stored table in ``order``, within ``parts``: null
+    before the first amount that is not. Decimals come back as doubles."""
     one_task_rows = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
+    plain = lambda df: (
+        df.withColumn(out, F.col(out).cast("double")) if isinstance(df.schema[out].dataType, T.DecimalType) else df
+    )
     if totals.count() <= one_task_rows:
         window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(_FIRST, _BEFORE)
-        return totals.withColumn(out, F.sum(amount).over(window))
+        return plain(totals.withColumn(out, F.sum(amount).over(window)))
 
     # The partition number must not change between the two uses, so it is stored with the rows.
     ranged = freeze(
@@ -93,14 +102,15 @@ def running_total(
     shifts = (
         ranged.groupBy(*parts, "_range")
         .agg(F.sum(amount).alias("_shift"))
-        .withColumn("_shift", F.coalesce(F.sum("_shift").over(earlier), F.lit(0)))
+        .withColumn("_shift", F.sum("_shift").over(earlier))
     )
     shifted = null_safe_join(
         ranged.withColumn(out, F.sum(amount).over(inside)),
         broadcast_if_small(shifts),
         [*parts, "_range"],
     )
-    return shifted.withColumn(out, F.col(out) + F.col("_shift")).drop("_range", "_shift")
+    both = F.coalesce(F.col(out) + F.col("_shift"), F.col(out), F.col("_shift"))
+    return plain(shifted.withColumn(out, both)).drop("_range", "_shift")
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
@@ -130,6 +140,7 @@ def coarse_totals(
         df.groupBy(*parts, _bin(score).alias("_bin")).agg(
             F.coalesce(F.sum(amount), F.lit(0)).alias("_amount"),
             F.min(amount).alias("_least"),
+            F.count(amount).alias("_known"),
             F.count(F.lit(1)).alias("_rows"),
             F.min(score).alias("_low"),
             F.max(score).alias("_high"),
@@ -160,8 +171,9 @@ def coarse_budget(
     if not is_numeric(df, score):
         return Coarse(None, None)
     down = Window.partitionBy(*parts).orderBy(F.col("_bin").desc_nulls_last())
-    totals = coarse_totals(df, score, amount, parts).withColumn(
-        out, F.sum("_amount").over(down.rowsBetween(_FIRST, _BEFORE))
+    so_far = down.rowsBetween(_FIRST, _BEFORE)
+    totals = coarse_totals(df, score, amount, parts).withColumns(
+        {out: F.sum("_amount").over(so_far), "_known": F.sum("_known").over(so_far)}
     )
     within = F.col(out) - F.col("_amount") <= limit
     one_score = F.col("_low").eqNullSafe(F.col("_high"))
@@ -173,7 +185,8 @@ def coarse_budget(
     ).first()
     if (found["least"] or 0) < 0:
         return Coarse(None, None)
-    exact = totals.filter(within).select(*parts, F.col("_low").alias(score), "_amount", out)
+    running = F.when(F.col("_known") > 0, F.col(out)).alias(out)
+    exact = totals.filter(within).select(*parts, F.col("_low").alias(score), "_amount", running)
     return Coarse(
         None if found["nulls"] else found["lowest"], exact if found["exact"] else None
     )

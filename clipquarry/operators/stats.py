@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipquarry.operators.prefix import broadcast_if_small, null_safe_join, quantile_row
-from clipquarry.session import freeze, require_batch
+from clipquarry.operators.prefix import quantile_row
+from clipquarry.session import require_batch
 
 PERCENTS = [0.5, 0.9, 0.99]
-EVIDENCE_PER_ROW = 100_000
 
 
 def ratio_statistics(df: DataFrame, value: str, one_task_rows: int | None = None) -> DataFrame:
@@ -78,48 +77,23 @@ def explode_evidence(df: DataFrame, category: str, key: str = "id") -> DataFrame
     return df.select(key, F.explode(f"categories.{category}.evidence").alias("evidence"))
 
 
-def aggregate_evidence(
-    df: DataFrame, category: str, key: str = "id", per_row: int = EVIDENCE_PER_ROW
-) -> DataFrame:
-    """All evidence of an id as a sorted array. ``part`` is 0 for every id with up to ``per_row``
-    pieces; an id with more is spread over several parts, so that no row or task has to hold an
-    unbounded group.
-
-    A first pass counts the pieces per id. Where no id has too many, the arrays are joined up as
-    they are. Otherwise equal pieces are counted before they are shuffled, and repeated at the end."""
+def aggregate_evidence(df: DataFrame, category: str, key: str = "id") -> DataFrame:
+    """``key``, ``evidence``, ``n``: every different piece of evidence of an id with how often it stands
+    there. Pieces are counted per task before the shuffle, which is on id and piece, so that an id with
+    any number of pieces is spread over all tasks."""
     require_batch(df, "aggregate_evidence")
-    evidence = F.col(f"categories.{category}.evidence")
-    found = df.select(key, evidence.alias("evidence")).filter(F.size("evidence") > 0)
-    large = freeze(
-        found.groupBy(key)
-        .agg(F.sum(F.size("evidence")).alias("_all"))
-        .filter(F.col("_all") > per_row)
-        .select(key, F.ceil(F.col("_all") / per_row).alias("_parts"))
-    )
-    if large.isEmpty():
-        joined = F.sort_array(F.flatten(F.collect_list("evidence")))
-        return found.groupBy(key).agg(
-            F.lit(0).alias("part"), joined.alias("aggregated_evidence")
-        )
-
-    counted = explode_evidence(df, category, key).groupBy(key, "evidence").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    piece = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / per_row) - 1)).alias("_piece")
-    size = F.least(F.lit(per_row), F.col("_n") - F.col("_piece") * per_row).cast("int")
-    pieces = counted.select(key, "evidence", "_n", piece).withColumn("_n", size)
-    part = F.pmod(F.xxhash64("evidence", "_piece"), F.coalesce(F.col("_parts"), F.lit(1)))
-    return (
-        null_safe_join(pieces, broadcast_if_small(large), [key], "left")
-        .groupBy(key, part.cast("int").alias("part"))
-        .agg(
-            F.sort_array(F.flatten(F.collect_list(F.array_repeat("evidence", F.col("_n"))))).alias(
-                "aggregated_evidence"
-            )
-        )
+    return explode_evidence(df, category, key).groupBy(key, "evidence").agg(
+        F.count(F.lit(1)).alias("n")
     )
 
 
+def evidence_arrays(counted: DataFrame, key: str = "id") -> DataFrame:
+    """The counted pieces as one sorted array per id, for readers that want a row per id. It is a view of
+    the counted form: every id becomes one row, which must fit where it is read."""
+    repeated = F.flatten(F.collect_list(F.array_repeat("evidence", F.col("n").cast("int"))))
+    return counted.groupBy(key).agg(F.sort_array(repeated).alias("aggregated_evidence"))
+
+
 def merge_histograms(df: DataFrame, histogram: str) -> DataFrame:
     """Counts of all rows' histograms added up per tag; tags without a positive sum drop out.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipquarry.functions.ids import hash_bucket
-from clipquarry.operators.budgets import find_budget, running_budget, take_within_budget
+from clipquarry.operators.budgets import running_budget, take_within_budget
 from clipquarry.operators.filters import (
     category_columns,
     category_present,
@@ -24,7 +24,12 @@ from clipquarry.plans.metrics import document_metrics
 from clipquarry.session import freeze
 
 BUCKETS = 20
-BUCKET_CAP = 100_000  # seconds
+
+
+def _checked(cap: int | None, limit: int) -> int | None:
+    if cap is not None and cap < limit:
+        raise ValueError(f"a cap of {cap} per bucket can lose rows of a budget of {limit}")
+    return cap
 
 
 def curate_strict(
@@ -36,20 +41,15 @@ def curate_strict(
     path: str = "transcoded_filepath",
 ) -> DataFrame:
     """Strictly filtered clips in order of the category's density or count until ``limit`` seconds
-    are reached; then those with at least one hit, with their number, joined to the full rows."""
+    are reached; then those with at least one hit, with their number, joined to the full rows.
+
+    The texts are read once, for the tests: what passes is stored without them for the budget."""
     validate_params(category, stat_field, path)
     score = "density" if stat_field == "density" else f"{category}_count"
-
-    def admitted(rows: DataFrame) -> DataFrame:
-        return quality_filter(rows, "strict", text)
-
     lifted = category_columns(clips, category, ["id", "duration", text])
-    budget = find_budget(
-        lifted, score, "duration", "final_running_total", (), limit, where=admitted
-    )
-    kept = budget.attach(lifted).drop(text)
-    kept = freeze(category_present(kept, f"{category}_count"))
-    kept = with_total_count(kept).withColumn(
+    admitted = freeze(quality_filter(lifted, "strict", text).drop(text))
+    kept = running_budget(admitted, score, "duration", "final_running_total", (), limit)
+    kept = with_total_count(freeze(category_present(kept, f"{category}_count"))).withColumn(
         "total_duration_selected_files", F.col("final_running_total")
     )
     return _attached(clips, kept, category)
@@ -60,28 +60,26 @@ def curate_basic(
     category: str,
     limit: int = 36_000,
     bucket: Column | None = None,
-    cap: int = BUCKET_CAP,
+    cap: int | None = None,
     text: str = "transcript",
     path: str = "transcoded_filepath",
 ) -> DataFrame:
-    """Lightly filtered clips in order of the category's count: pre-pruned to ``cap`` seconds in
-    each hash bucket of the id, then cut at ``limit`` seconds over all, joined to the full rows."""
+    """Lightly filtered clips in order of the category's count, cut at ``limit`` seconds over all, with
+    the running total in each hash bucket of the id, joined to the full rows. A ``cap`` on that total
+    prunes buckets first; it must not be below the limit, or rows of the answer could be lost.
+
+    The texts are read once, for the tests: what passes is stored without them for the budgets."""
     validate_params(category, "count", path)
+    cap = _checked(cap, limit)
     count = f"{category}_count"
-
-    def admitted(rows: DataFrame) -> DataFrame:
-        return quality_filter(rows, "basic", text, path, count)
-
     bucket = hash_bucket("id", BUCKETS) if bucket is None else bucket
     lifted = category_columns(
         clips.withColumn("_bucket", bucket), category, ["id", "duration", text, path, "_bucket"]
     )
+    admitted = freeze(quality_filter(lifted, "basic", text, path, count).drop(text, path))
     per_bucket = "total_duration_selected_files"
-    pruned = find_budget(lifted, count, "duration", per_bucket, ["_bucket"], cap, where=admitted)
-    kept = pruned.attach(lifted).drop(text, path, "_bucket")
-    # Bounded by buckets x cap seconds of audio; stored once for the count and the final budget.
-    kept = freeze(category_present(kept, count))
-    kept = with_total_count(kept)
+    kept = running_budget(admitted, count, "duration", per_bucket, ["_bucket"], cap)
+    kept = with_total_count(freeze(category_present(kept.drop("_bucket"), count)))
     kept = running_budget(kept, count, "duration", "final_running_total", (), limit)
     return _attached(clips, kept, category)
 
@@ -91,13 +89,14 @@ def curate_categories(
     categories: Sequence[str],
     limit: int = 36_000,
     bucket: Column | None = None,
-    cap: int = BUCKET_CAP,
+    cap: int | None = None,
     text: str = "transcript",
     path: str = "transcoded_filepath",
 ) -> DataFrame:
-    """``curate_basic`` for several categories in one job: the table is read twice however many
-    there are. Each clip becomes a row per category after the text tests, and every total is kept
+    """``curate_basic`` for several categories in one job: the texts are read once for the tests, however
+    many categories there are. Each clip becomes a row per category after them, and every total is kept
     per category."""
+    cap = _checked(cap, limit)
     for category in categories:
         validate_params(category, "count", path)
     fields = ("density", "count", "exists", "evidence")
@@ -111,14 +110,10 @@ def curate_categories(
     lifted = clips.select(
         "id", "duration", text, path, bucket.alias("_bucket"), F.inline(F.array(*per_category))
     )
-
-    def admitted(rows: DataFrame) -> DataFrame:
-        return quality_filter(rows, "basic", text, path, "count")
-
+    admitted = freeze(quality_filter(lifted, "basic", text, path, "count").drop(text, path))
     groups, per_bucket = ["category", "_bucket"], "total_duration_selected_files"
-    pruned = find_budget(lifted, "count", "duration", per_bucket, groups, cap, where=admitted)
-    present = category_present(lifted, "count")
-    kept = freeze(pruned.attach(present).drop(text, path, "_bucket"))
+    kept = running_budget(admitted, "count", "duration", per_bucket, groups, cap)
+    kept = freeze(category_present(kept.drop("_bucket"), "count"))
     sizes = kept.groupBy("category").agg(F.count(F.lit(1)).alias("total_count"))
     kept = kept.join(broadcast_if_small(sizes), "category")
     kept = running_budget(kept, "count", "duration", "final_running_total", ["category"], limit)
@@ -172,6 +167,26 @@ def select_top_hours(
     return take_within_budget(metrics, "proper_noun_ratio", duration, hours * 3600, tie_break)
 
 
+def select_top_segments(
+    segments: DataFrame,
+    mode: str,
+    hours: float = 10,
+    key: str = "raw_filepath",
+    text: str = "transcript_segment",
+    tie_break: Sequence[str] = ("raw_filepath", "start_ms", "end_ms"),
+) -> DataFrame:
+    """``select_top_hours`` over the annotated rows of ``explode_segments``: key, times, duration and metrics of
+    the segments richest in proper nouns. Budget and durations are whole milliseconds. Segments of one
+    clip are told apart by their times, so a clip's tied segments can stand or fall alone."""
+    millis = (F.col("end_ms") - F.col("start_ms")).cast("long")
+    measured = document_metrics(segments.withColumn("duration_ms", millis), mode, text).select(
+        *dict.fromkeys([key, *tie_break, "start_ms", "end_ms", "duration_ms"]),
+        "proper_noun_ratio", "tag_distribution", "email_count", "phone_count",
+    )
+    limit = int(hours * 3_600_000)
+    return take_within_budget(freeze(measured), "proper_noun_ratio", "duration_ms", limit, list(tie_break))
+
+
 def for_each_category(tables: dict[str, DataFrame], out: str = "category") -> DataFrame:
     """The category tables as one, each row tagged with its category, so that later steps are one
     job over all of them."""

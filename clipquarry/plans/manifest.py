@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clipquarry.functions.ids import encode_id
 from clipquarry.functions.paths import extension, file_name, stem
-from clipquarry.operators.joins import merge_update
+from clipquarry.operators.joins import merge_update, pair_audio
 from clipquarry.operators.ordering import first_labelled_per_id, number_rows
 from clipquarry.session import freeze
 
@@ -25,12 +25,15 @@ def media_route(
     path: str = "transcoded_filepath",
     name: Column | None = None,
     transcode: bool = False,
+    key: str = "",
 ) -> DataFrame:
     """``action`` (``copy``, ``convert``, ``skip``), ``target_ext`` and ``destination`` of each clip.
-    With ``transcode`` every clip must be converted, and formats without a target are skipped."""
-    name = encode_id(stem(path)) if name is None else name
+    With ``transcode`` every clip must be converted, and formats without a target are skipped. The name
+    is a pseudonym of the stem, salted by the whole path and the private ``key``, so that equal stems in
+    different folders or formats do not meet in one destination."""
+    name = encode_id(stem(path), key, path) if name is None else name
     ext = extension(path)
-    target = F.when(F.lit(not transcode) & ext.isin(KEPT), F.substring(ext, 2, 8))
+    target = F.when(F.lit(not transcode) & ext.isin(KEPT), F.substr(ext, F.lit(2)))
     for source, to in CONVERTED.items():
         target = target.when(ext == source, to)
     action = (
@@ -64,6 +67,7 @@ def build_manifest(
     path: str = "transcoded_filepath",
     name: Column | None = None,
     transcode: bool = False,
+    key: str = "",
 ) -> DataFrame:
     """``Index, Paths, Labels, Dataset`` of a selection. Skipped clips keep their index, so the
     numbering has gaps."""
@@ -71,7 +75,7 @@ def build_manifest(
     narrow = df.select(*dict.fromkeys([*order_by, text, path]), *names)
     numbered = number_rows(narrow, order_by, ascending)
     name = None if name is None else F.col("_name")
-    routed = media_route(numbered, bucket, folder, path, name, transcode)
+    routed = media_route(numbered, bucket, folder, path, name, transcode, key)
     return routed.filter(F.col("action") != "skip").select(
         "Index",
         F.col("destination").alias("Paths"),
@@ -80,6 +84,26 @@ def build_manifest(
     )
 
 
+def folder_manifest(
+    transcripts: DataFrame,
+    audio: DataFrame,
+    stored: DataFrame,
+    dataset: str,
+    name: str = "audio_name",
+    text: str = "transcript",
+) -> DataFrame:
+    """Manifest rows of a folder of transcripts: those with an audio file of their name that is stored
+    or at hand. All transcripts are numbered from 0 by name before the others are left out."""
+    numbered = number_rows(transcripts.select(name), [name])
+    paired = pair_audio(numbered, audio, stored, name)
+    return paired.join(transcripts.select(name, text), name).select(
+        "Index",
+        F.concat(F.lit(f"{dataset}/"), name).alias("Paths"),
+        F.col(text).alias("Labels"),
+        F.lit(dataset).alias("Dataset"),
+    )
+
+
 def attach_vendor_uri(
     tables: DataFrame, pointers: DataFrame, column: str = "vendor_transcript"
 ) -> DataFrame:
@@ -96,15 +120,15 @@ def vendor_manifest(
     path: str = "transcoded_filepath",
 ) -> DataFrame:
     """Manifest rows of all category tables in one job: rows are numbered from 0 per category, then
-    the first row per id with a vendor transcript is kept. ``labels`` maps ``uri`` to ``label``."""
+    the first row per id with a vendor transcript is kept. ``labels`` maps ``uri`` to ``label``. Rows
+    whose document is missing or malformed are not in it: ``vendor_unmatched`` lists them."""
     needed = dict.fromkeys(["category", "id", path, column, *order_by])
     numbered = number_rows(freeze(tables.select(*needed)), order_by, within=["category"])
     numbered = numbered.withColumn("_id", F.struct("category", "id"))
     first = first_labelled_per_id(numbered, "_id", column, ["Index"])
     dataset = F.concat_ws("_", "category", F.lit(suffix))
-    joined = first.join(
-        labels.select(F.col("uri").alias(column), "label"), column, "inner"
-    )
+    usable = labels.filter(F.col("label").isNotNull())
+    joined = first.join(usable.select(F.col("uri").alias(column), "label"), column, "inner")
     return joined.select(
         "Index",
         F.concat(dataset, F.lit("/"), file_name(path)).alias("Paths"),
@@ -112,3 +136,14 @@ def vendor_manifest(
         dataset.alias("Dataset"),
     )
 
+
+def vendor_unmatched(
+    tables: DataFrame, labels: DataFrame, column: str = "vendor_transcript"
+) -> DataFrame:
+    """The rows of the category tables that point to a vendor document without a label, with the
+    ``reason``: ``missing`` or ``malformed``."""
+    known = labels.select(F.col("uri").alias(column), "label", F.lit(True).alias("_there"))
+    pointing = tables.filter(F.col(column).isNotNull() & (F.col(column) != ""))
+    reason = F.when(F.col("_there").isNull(), "missing").when(F.col("label").isNull(), "malformed")
+    found = pointing.join(known, column, "left").withColumn("reason", reason)
+    return found.filter(F.col("reason").isNotNull()).select(*tables.columns, "reason")

@@ -15,7 +15,7 @@ from clipquarry.operators.stats import (
     statistics_lines,
 )
 from clipquarry.plans.curation import curate
-from clipquarry.plans.manifest import build_manifest
+from clipquarry.plans.manifest import attach_vendor_uri, build_manifest, vendor_manifest, vendor_unmatched
 from clipquarry.sources.files import write_manifest
 from clipquarry.sources.tables import read_table, table_exists, write_json, write_stats_log, write_table
 
@@ -65,3 +65,21 @@ def publish_category(
     write_stats_log(statistics_lines(category_statistics(table, category)), f"{folder}/statistics")
     write_json(aggregate_evidence(table, category), f"{folder}/evidence")
     return table
+
+
+def publish_vendor(
+    tables: DataFrame,
+    pointers: DataFrame,
+    labels: DataFrame,
+    folder: str,
+    suffix: str,
+    order_by: Sequence[str],
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The category tables with their vendor transcripts, written partitioned by category; the manifests
+    of all categories, partitioned by dataset; and the rows whose vendor document is missing or
+    malformed. All three are returned as read back."""
+    merged = write_table(attach_vendor_uri(tables, pointers), f"{folder}/tables", partition_by=["category"])
+    rows = vendor_manifest(merged, labels, suffix, order_by)
+    manifests = write_table(rows, f"{folder}/manifests", partition_by=["Dataset"])
+    unmatched = write_table(vendor_unmatched(merged, labels), f"{folder}/unmatched")
+    return merged, manifests, unmatched

@@ -29,26 +29,34 @@ def build_session(app: str = "clipquarry", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``. Only where none is set (tests, one machine) a
-    temporary folder is made the checkpoint folder."""
+    """The cluster's ``spark.checkpoint.dir``. Only where none is set and the master is local (tests, one
+    machine) a temporary folder is made the checkpoint folder; on a cluster executors would each write
+    to a disk of their own, so there it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not named and not is_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = named or tempfile.mkdtemp(prefix="clipquarry-")
         spark.sparkContext.setCheckpointDir(named)
     return named or current
 
 
+def is_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and store it in the shared folder, so that later passes read the same
-    rows even when executors are lost."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once and store it as Parquet in the shared folder, so that later passes read the same
+    rows, even when executors are lost, and just the columns they need."""
+    path = scratch_path(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def require_batch(df: DataFrame, operator: str) -> None:

@@ -2,6 +2,7 @@ import random
 from itertools import groupby
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clipquarry.operators import budgets, ordering
@@ -166,3 +167,34 @@ def test_top_hours(spark):
     assert {r["raw_filepath"]: r["proper_noun_ratio"] for r in chosen} == {"f1": 2 / 3, "f2": 1 / 3}
     everything = {r["raw_filepath"]: r for r in curation.select_top_hours(df, "tagged_words", 10).collect()}
     assert everything["f4"]["proper_noun_ratio"] == 0 and everything["f4"]["tag_distribution"] == {}
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("limit", [None, 10])
+def test_null_amounts_are_those_of_a_window(spark, way, limit):
+    rows = [(3, None), (3, None), (2, 5), (1, None), (0, 4), (None, 3)]
+    df = spark.createDataFrame(rows, "score int, amount long")
+    window = Window.orderBy(F.col("score").desc_nulls_last())
+    want = df.withColumn("running_total", F.sum("amount").over(window))
+    want = want if limit is None else want.filter(F.col("running_total") <= limit)
+    found = budgets.running_budget(df, "score", "amount", limit=limit, one_task_rows=way)
+    assert sorted(map(str, found.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_floating_amounts_do_not_depend_on_the_way(spark):
+    draw = random.Random(9)
+    rows = [(draw.randrange(40), draw.random() / 3) for _ in range(500)]
+    df = spark.createDataFrame(rows, "score int, amount double").repartition(7)
+    for limit in (1.0, sum(a for s, a in rows if s > 20), 40.0):
+        one, ranges = (
+            {(r["score"], r["amount"], r["running_total"]) for r in budgets.running_budget(df, "score", "amount", limit=limit, one_task_rows=w).collect()}
+            for w in WAYS
+        )
+        assert one == ranges
+
+
+def test_a_cap_below_the_limit_is_refused(spark):
+    with pytest.raises(ValueError, match="can lose rows"):
+        curation.curate_basic(spark.range(1), "email", limit=100, cap=50)
+    with pytest.raises(ValueError, match="can lose rows"):
+        curation.curate_categories(spark.range(1), ["email"], limit=100, cap=50)

@@ -100,21 +100,20 @@ def clips(spark):
 
 
 def test_evidence(clips):
-    rows = stats.aggregate_evidence(clips, "email").collect()
-    assert [(r["id"], r["part"], r["aggregated_evidence"]) for r in rows] == [("a", 0, ["x", "x", "x", "y"])]
+    counted = stats.aggregate_evidence(clips, "email")
+    assert sorted(tuple(r) for r in counted.collect()) == [("a", "x", 3), ("a", "y", 1)]
+    assert [tuple(r) for r in stats.evidence_arrays(counted).collect()] == [("a", ["x", "x", "x", "y"])]
 
 
-def test_large_evidence_is_split_without_loss(spark):
+def test_much_evidence_of_one_id(spark):
     hot = [("hot", [f"e{i}" for i in range(50)] + ["same"] * 40), ("cold", ["c"])]
     df = spark.createDataFrame(hot, "id string, e array<string>").select(
         "id", F.struct(F.struct(F.col("e").alias("evidence")).alias("email")).alias("categories")
     )
-    rows = stats.aggregate_evidence(df, "email", per_row=20).collect()
-    parts = [r for r in rows if r["id"] == "hot"]
-    assert len(parts) > 1
-    everything = sorted(e for r in parts for e in r["aggregated_evidence"])
-    assert everything == sorted(hot[0][1])
-    assert [r["part"] for r in rows if r["id"] == "cold"] == [0]
+    counted = stats.aggregate_evidence(df, "email")
+    assert {(r["id"], r["evidence"]): r["n"] for r in counted.collect()}["hot", "same"] == 40
+    arrays = {r["id"]: r["aggregated_evidence"] for r in stats.evidence_arrays(counted).collect()}
+    assert arrays == {"hot": sorted(hot[0][1]), "cold": ["c"]}
 
 
 def test_category_statistics(clips):

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipquarry.operators import budgets, filters, ordering
-from clipquarry.plans import metrics
+from clipquarry import session
+from clipquarry.plans import curation, manifest, metrics
 from clipquarry.sources.tables import read_table
 from workload import fixtures as fx
 
@@ -65,3 +66,46 @@ def test_a_filter_on_tags_does_not_call_the_tagger_twice(clips):
 def test_metrics_need_no_shuffle(spark):
     measured = metrics.document_metrics(fx.annotated(spark, SF_DIR), "tagged_words", "human_transcript_text")
     assert "Exchange" not in plan(measured)
+
+
+def test_curation_reads_the_texts_in_one_scan_before_the_join(clips):
+    shown = plan(curation.curate_strict(clips, 5_000))
+    schemas = [line for line in shown.splitlines() if "FileScan parquet" in line]
+    assert sum("transcript:string" in s for s in schemas) == 1  # the rows that the selection is joined to
+
+
+def test_stored_metrics_are_pruned(spark):
+    kept = curation.select_top_hours(fx.annotated(spark, SF_DIR), "tagged_words", 1).select("raw_filepath")
+    (scan,) = [line for line in plan(kept).splitlines() if "FileScan parquet" in line]
+    assert "tag_distribution" not in scan[scan.index("ReadSchema"):]
+
+
+def test_no_temporary_folder_on_a_cluster():
+    assert session.is_one_machine("local[4]") and session.is_one_machine("local")
+    assert not session.is_one_machine("local-cluster[2,1,1024]") and not session.is_one_machine("spark://h:7077")
+
+    class Context:
+        master = "spark://h:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+
+
+def test_destinations_differ(spark):
+    paths = ["g/a/x.wav", "g/b/x.wav", "g/c/x.m4a", "g/c/x.wav", "h/x.webm"]
+    df = spark.createDataFrame([(p,) for p in paths], "transcoded_filepath string")
+    found = [r["destination"] for r in manifest.media_route(df, "out", "set", key="k").collect()]
+    assert len(set(found)) == len(paths)
+    other = [r["destination"] for r in manifest.media_route(df, "out", "set", key="l").collect()]
+    assert not set(found) & set(other)

@@ -5,7 +5,7 @@ stand-ins made by simple rules."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, wraps
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from clipquarry.functions import text as tx
 from clipquarry.functions.columns import let
 from clipquarry.session import scratch_path
-from clipquarry.sources.files import list_objects
 from clipquarry.sources.tables import read_table, write_table
 
 # Stand-ins where no pattern is given for a category.
@@ -25,28 +24,13 @@ PATTERNS = {
 }
 AUDIO = [".wav", ".flac", ".m4a", ".webm", ".mp3"]
 SENTENCE_WORDS = 32
-SMALL_BYTES = 256 << 20
-TEXT_TABLES = {"documents", "pages"}
 ENTITY_TYPES = ["person", "location", "group"]
 ENTITY_LABELS = ["PERSON", "ORG", "GPE", "LOC", "DATE"]
 
 
-@cache
-def _bytes(session: str, path: str) -> int:
-    spark = SparkSession.active()
-    return list_objects(spark, path).agg(F.sum("length")).first()[0] or 0
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A test table. Parquet is split by row groups, and a small table has only one; where it holds
-    texts its rows are dealt out to all cores. Tables of ``SMALL_BYTES`` and more are read as they
-    are split."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = read_table(spark, path, columns)
-    size = _bytes(spark.sparkContext.applicationId, path) if name in TEXT_TABLES else SMALL_BYTES
-    if size >= SMALL_BYTES:
-        return df
-    return df.repartition(min(spark.sparkContext.defaultParallelism, 1 + size // (128 << 10)))
+    """A test table, read as its files are split."""
+    return read_table(spark, f"{sf_dir}/{name}.parquet", columns)
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
@@ -261,7 +245,7 @@ def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         count = F.ceil(F.length(w) / 4).cast("int")
 
         def pieces(tag: Column) -> Column:
-            inner = F.when(tag == "O", "O").otherwise(F.concat(F.lit("I"), F.substring(tag, 2, 40)))
+            inner = F.when(tag == "O", "O").otherwise(F.concat(F.lit("I"), F.substr(tag, F.lit(2))))
             return F.transform(
                 F.sequence(F.lit(0), count - 1),
                 lambda k: F.struct(

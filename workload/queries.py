@@ -12,7 +12,7 @@ from clipquarry import schema as sc
 from clipquarry.functions import ids, paths, tags
 from clipquarry.functions import text as tx
 from clipquarry.operators import budgets, filters, joins, ordering, scoring, segments, stats
-from clipquarry.plans import curation, manifest, metrics, taggers
+from clipquarry.plans import curation, manifest, metrics, publish, taggers
 from clipquarry.session import scratch_path
 from clipquarry.sources import files, tables
 from workload import fixtures as fx
@@ -60,6 +60,37 @@ def s1_read_table(spark, sf_dir):
     return tables.read_table(spark, f"{sf_dir}/documents.parquet", ["doc_id", "lang", "n_chars"])
 
 
+@query(
+    "SELECT column_name AS field, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+    "WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float' WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END "
+    "AS type FROM (DESCRIBE documents) AS t(column_name, data_type, a, b, c, d)"
+)
+def s3_describe_schema(spark, sf_dir):
+    return tables.describe_schema(fx.table(spark, sf_dir, "documents"))
+
+
+@query(
+    "SELECT 'labels' AS name, true AS there, count(*) AS n FROM labels UNION ALL SELECT 'nothing', false, 0"
+)
+def s4_table_exists(spark, sf_dir):
+    fx.table(spark, sf_dir, "labels").createOrReplaceTempView("clipquarry_labels")
+    n = tables.read_table(spark, "clipquarry_labels").agg(F.count(F.lit(1)).alias("n"))
+    there = [tables.table_exists(spark, name) for name in ("clipquarry_labels", "clipquarry_nothing")]
+    return n.select(F.lit("labels").alias("name"), F.lit(there[0]).alias("there"), "n").unionAll(
+        n.select(F.lit("nothing"), F.lit(there[1]), F.lit(0).cast("long"))
+    )
+
+
+@query("SELECT lang, true AS has_bytes FROM documents GROUP BY lang")
+def s7_list_objects(spark, sf_dir):
+    path = scratch_path(spark, "by_lang")
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "lang", "n_chars"])
+    tables.write_table(docs, path, partition_by=["lang"])
+    listed = files.list_objects(spark, path).filter("path LIKE '%.parquet'")
+    lang = F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang")
+    return listed.groupBy(lang).agg((F.sum("length") > 0).alias("has_bytes"))
+
+
 @query("SELECT doc_id, source, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 100")
 def s2_sample_head(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents", ["doc_id", "source", "n_chars"])
@@ -89,21 +120,23 @@ def s8_load_results(spark, sf_dir):
 @query(
     with_(
         q.sentences(),
-        select="SELECT sent_id, string_agg(tag, ' ' ORDER BY i) AS ner_tags FROM gold GROUP BY sent_id",
+        "models AS (SELECT unnest(['five', 'seven']) AS model)",
+        select="SELECT model, sent_id, string_agg(tag, ' ' ORDER BY i) AS ner_tags FROM gold, models "
+        "GROUP BY model, sent_id",
     )
 )
 def s9_read_labelled_sentences(spark, sf_dir):
     names = ["O", *[f"{p}-{t}" for t in fx.ENTITY_TYPES for p in "BI"]]
     known = F.array(*[F.lit(n) for n in names])
-    tagged = fx.tagged_sentences(spark, sf_dir).filter("model = 'five'")
-    coded = tagged.select(
+    coded = fx.tagged_sentences(spark, sf_dir).select(
+        "model",
         "sent_id",
         F.transform("gold", lambda t: F.array_position(known, t).cast("int") - 1).alias("ner_tags"),
     )
     path = scratch_path(spark, "corpus")
     tables.write_table(coded, path)
     read = tables.read_labelled_sentences(spark, path, names)
-    return read.select("sent_id", F.array_join("ner_tags", " ").alias("ner_tags"))
+    return read.select("model", "sent_id", F.array_join("ner_tags", " ").alias("ner_tags"))
 
 
 # --- sinks ---------------------------------------------------------------------------------------
@@ -200,6 +233,57 @@ def _clips_sql(test: str) -> str:
     return with_(q.CLIPS, q.category("email"), select=f"SELECT id, duration FROM cat WHERE {test}")
 
 
+# Patterns that the test texts lack, put in by a rule over the id.
+_MARKED_SQL = with_(
+    q.CLIPS,
+    "marked AS (SELECT id, duration, CASE WHEN doc_id % 5 = 1 THEN transcript || ' ♪ la' WHEN doc_id % 7 = 2 THEN "
+    "transcript || chr(10) || 'word/[Content_Types].xml' WHEN doc_id % 11 = 3 THEN 'NO WAY OUT ' || transcript "
+    "WHEN doc_id % 13 = 4 THEN NULL ELSE transcript END AS transcript, "
+    "CASE WHEN doc_id % 6 <> 1 THEN transcoded_filepath END AS transcoded_filepath, "
+    "CASE WHEN doc_id % 4 <> 2 THEN email_count END AS cnt FROM clips)",
+    select="SELECT id, duration FROM marked WHERE ",
+)
+
+
+def _marked_where(spark, sf_dir, test: Column) -> DataFrame:
+    n, text = F.col("id").cast("long"), F.col("transcript")
+    marked = (
+        F.when(n % 5 == 1, F.concat(text, F.lit(" ♪ la")))
+        .when(n % 7 == 2, F.concat(text, F.lit("\nword/[Content_Types].xml")))
+        .when(n % 11 == 3, F.concat(F.lit("NO WAY OUT "), text))
+        .when(n % 13 == 4, F.lit(None))
+        .otherwise(text)
+    )
+    clips = fx.clips(spark, sf_dir).select(
+        "id",
+        "duration",
+        marked.alias("transcript"),
+        F.when(n % 6 != 1, F.col("transcoded_filepath")).alias("transcoded_filepath"),
+        F.when(n % 4 != 2, F.col("categories.email.count")).alias("cnt"),
+    )
+    return clips.filter(test).select("id", "duration")
+
+
+@query(_MARKED_SQL + "NOT contains(transcript, '[Content_Types].xml')")
+def f2_not_document_dump_marked(spark, sf_dir):
+    return _marked_where(spark, sf_dir, tx.not_document_dump("transcript"))
+
+
+@query(_MARKED_SQL + r"NOT regexp_matches(transcript, '(\b[A-Z]{2,}\s+){2,}')")
+def f4_no_caps_run_marked(spark, sf_dir):
+    return _marked_where(spark, sf_dir, tx.no_caps_run("transcript"))
+
+
+@query(_MARKED_SQL + "NOT contains(transcript, '♪')")
+def f6_no_music_marked(spark, sf_dir):
+    return _marked_where(spark, sf_dir, tx.no_music("transcript"))
+
+
+@query(_MARKED_SQL + "transcoded_filepath IS NOT NULL AND cnt IS NOT NULL")
+def f8_has_path_and_category_marked(spark, sf_dir):
+    return _marked_where(spark, sf_dir, filters.has_path("transcoded_filepath") & filters.has_category("cnt"))
+
+
 @query(_clips_sql("duration BETWEEN 60 AND 1200"))
 def f1_duration_between(spark, sf_dir):
     return _clips_where(spark, sf_dir, filters.duration_between(60, 1200))
@@ -335,19 +419,13 @@ def j1b_join_back_columns(spark, sf_dir):
 
 
 @query(
-    with_(
-        "orig AS (SELECT source AS id, doc_id FROM documents)",
-        "sel AS (SELECT source AS id, n_chars AS selected_chars FROM documents WHERE n_chars > 15000)",
-        select="SELECT id, doc_id, selected_chars FROM orig LEFT JOIN sel USING (id) "
-        "WHERE selected_chars <= 1000000",
-    )
+    "SELECT doc_id AS id, source, n_chars AS selected_chars FROM documents JOIN labels USING (doc_id) WHERE quality = 1"
 )
 def j2_attach_selection(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents", ["doc_id", "source", "n_chars"])
-    orig = docs.select(F.col("source").alias("id"), "doc_id")
-    selected = docs.filter("n_chars > 15000").select(
-        F.col("source").alias("id"), F.col("n_chars").alias("selected_chars")
-    )
+    orig = docs.select(F.col("doc_id").alias("id"), "source")
+    good = joins.restrict_to_keys(docs, fx.table(spark, sf_dir, "labels").filter("quality = 1"), "doc_id")
+    selected = good.select(F.col("doc_id").alias("id"), F.col("n_chars").alias("selected_chars"))
     return joins.attach_selection(orig, selected)
 
 
@@ -434,14 +512,15 @@ def j7_pair_audio(spark, sf_dir):
         q.sentences(),
         "m(tag, to_tag) AS (VALUES ('B-person', 'B-PER'), ('I-person', 'I-PER'), "
         "('B-location', 'B-LOC'), ('I-location', 'I-LOC'), ('B-group', 'B-ORG'), ('I-group', 'I-ORG'))",
-        select="SELECT sent_id, string_agg(coalesce(to_tag, 'O'), ' ' ORDER BY i) AS mapped "
-        "FROM gold LEFT JOIN m USING (tag) GROUP BY sent_id",
+        "models AS (SELECT unnest(['five', 'seven']) AS model)",
+        select="SELECT model, sent_id, string_agg(coalesce(to_tag, 'O'), ' ' ORDER BY i) AS mapped "
+        "FROM gold LEFT JOIN m USING (tag), models GROUP BY model, sent_id",
     )
 )
 def j8_map_tags(spark, sf_dir):
-    tagged = fx.tagged_sentences(spark, sf_dir).filter("model = 'five'")
+    tagged = fx.tagged_sentences(spark, sf_dir)
     mapped = tags.map_tags("gold", sc.TO_FOUR_ENTITIES)
-    return tagged.select("sent_id", F.array_join(mapped, " ").alias("mapped"))
+    return tagged.select("model", "sent_id", F.array_join(mapped, " ").alias("mapped"))
 
 
 @query(
@@ -509,6 +588,27 @@ def a2_category_statistics(spark, sf_dir):
     return rounded(doubles, ["mean_proper_noun_count", *names])
 
 
+@query(
+    "SELECT unnest(['P50', 'P90', 'P99']) AS percentile, true AS within_rank_error, count(*) AS n FROM documents"
+)
+def a2_category_statistics_sketch_error(spark, sf_dir):
+    clips = fx.clips(spark, sf_dir).select("duration", "categories")
+    found = stats.category_statistics(clips, "proper_noun")
+    shares = F.array(*[F.struct(F.lit(f"P{p}").alias("percentile"), F.lit(p / 100).alias("share")) for p in (50, 90, 99)])
+    wanted = found.select(F.inline(shares), *[F.col(f"P{p}_duration").alias(f"P{p}") for p in (50, 90, 99)])
+    value = F.coalesce(*[F.when(F.col("percentile") == f"P{p}", F.col(f"P{p}")) for p in (50, 90, 99)])
+    wanted = wanted.select("percentile", "share", value.alias("v"))
+    # ranks of the three values in one pass over the durations
+    ranked = wanted.join(clips.groupBy("duration").agg(F.count(F.lit(1)).alias("k")), F.lit(True)).groupBy("percentile", "share").agg(
+        F.sum(F.when(F.col("duration") < F.col("v"), F.col("k")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("duration") <= F.col("v"), F.col("k")).otherwise(0)).alias("up_to"),
+        F.sum("k").alias("n"),
+    )
+    error = F.col("n") / 10_000 + 1
+    fits = (F.col("below") <= F.col("share") * F.col("n") + error) & (F.col("up_to") >= F.col("share") * F.col("n") - error)
+    return ranked.select("percentile", fits.alias("within_rank_error"), "n")
+
+
 @query()
 def a2_category_statistics_sketch(spark, sf_dir):
     return stats.category_statistics(fx.clips(spark, sf_dir), "proper_noun")
@@ -518,12 +618,23 @@ def a2_category_statistics_sketch(spark, sf_dir):
     with_(
         q.CLIPS,
         "e AS (SELECT id, unnest(proper_noun_evidence) AS evidence FROM clips)",
-        select="SELECT id, 0 AS part, string_agg(evidence, '|' ORDER BY evidence) AS "
-        "aggregated_evidence FROM e GROUP BY id",
+        select="SELECT id, evidence, count(*) AS n FROM e GROUP BY id, evidence",
     )
 )
 def a3_aggregate_evidence(spark, sf_dir):
-    found = stats.aggregate_evidence(fx.clips(spark, sf_dir), "proper_noun")
+    return stats.aggregate_evidence(fx.clips(spark, sf_dir), "proper_noun")
+
+
+@query(
+    with_(
+        q.CLIPS,
+        "e AS (SELECT id, unnest(proper_noun_evidence) AS evidence FROM clips)",
+        select="SELECT id, string_agg(evidence, '|' ORDER BY evidence) AS aggregated_evidence FROM e GROUP BY id",
+    )
+)
+def a3_evidence_arrays(spark, sf_dir):
+    counted = stats.aggregate_evidence(fx.clips(spark, sf_dir), "proper_noun")
+    found = stats.evidence_arrays(counted)
     return found.withColumn("aggregated_evidence", F.array_join("aggregated_evidence", "|"))
 
 
@@ -628,6 +739,18 @@ def w2_running_budget(spark, sf_dir):
     return budgets.running_budget(events, "value", "event_id").drop("value")
 
 
+@query(
+    "SELECT * FROM (SELECT event_id, CAST(sum(CASE WHEN event_id % 3 > 0 AND value <= 90 THEN user_id END) OVER "
+    "(ORDER BY value DESC NULLS LAST) AS BIGINT) AS running_total FROM events) WHERE running_total <= 1000000"
+)
+def w2_running_budget_null_amounts(spark, sf_dir):
+    events = fx.table(spark, sf_dir, "events", ["event_id", "user_id", "value"])
+    known = (F.col("event_id") % 3 > 0) & (F.col("value") <= 90)
+    events = events.withColumn("amount", F.when(known, F.col("user_id")))
+    found = budgets.running_budget(events, "value", "amount", limit=1_000_000)
+    return found.select("event_id", F.col("running_total").cast("long").alias("running_total"))
+
+
 @query(
     with_(
         q.CLIPS,
@@ -777,7 +900,7 @@ def o1_order_by_score(spark, sf_dir):
     return ordering.order_by_score(clips, "density", ["id"])
 
 
-STRICT_LIMIT, BASIC_LIMIT, BASIC_CAP, STANDIN_LIMIT = 20_000, 36_000, 5_000, 7_200
+STRICT_LIMIT, BASIC_LIMIT, STANDIN_LIMIT = 20_000, 36_000, 7_200
 
 
 def _curated(df: DataFrame, category: str) -> DataFrame:
@@ -810,27 +933,26 @@ def o2_curate_strict(spark, sf_dir):
     return _curated(chosen, "proper_noun")
 
 
-def _basic_sql(category: str, limit: int, cap: int, select: str) -> str:
+def _basic_sql(category: str, limit: int, select: str) -> str:
     return with_(
         q.CLIPS,
         q.category(category),
         "parted AS (SELECT *, sum(duration) OVER (PARTITION BY doc_id % 20 ORDER BY cnt DESC NULLS LAST) "
         f"AS total_selected FROM cat WHERE {q.BASIC})",
         "combined AS (SELECT *, count(*) OVER () AS total_count FROM parted "
-        f"WHERE total_selected <= {cap} AND cnt > 0)",
+        "WHERE cnt > 0)",
         "final AS (SELECT *, sum(duration) OVER (ORDER BY cnt DESC NULLS LAST) AS final_total FROM combined)",
         select=f"{select} FROM final WHERE final_total <= {limit}",
     )
 
 
-@query(_basic_sql("proper_noun", BASIC_LIMIT, BASIC_CAP, f"SELECT {_SELECTED_SQL.format(c='proper_noun')}"))
+@query(_basic_sql("proper_noun", BASIC_LIMIT, f"SELECT {_SELECTED_SQL.format(c='proper_noun')}"))
 def o3_curate_basic(spark, sf_dir):
     chosen = curation.curate_basic(
         fx.clips(spark, sf_dir),
         "proper_noun",
         BASIC_LIMIT,
         bucket=F.col("id").cast("long") % 20,
-        cap=BASIC_CAP,
     )
     return _curated(chosen, "proper_noun")
 
@@ -866,6 +988,34 @@ def o4_select_top_hours(spark, sf_dir):
     )
 
 
+_LINE_RATIOS = (
+    f"lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS k FROM (SELECT doc_id, "
+    "string_split(text, chr(10)) AS l FROM documents)), "
+    f"line_words AS (SELECT doc_id, k, line, regexp_extract_all(line, '{q.WORD}') AS w FROM lines), "
+    "line_ratios AS (SELECT 'gs://raw/' || doc_id AS raw_filepath, CAST(k * 10000 AS BIGINT) AS start_ms, "
+    "CAST(k * 10000 + length(line) * 60 AS BIGINT) AS end_ms, CAST(length(line) * 60 AS BIGINT) AS duration_ms, "
+    "CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: regexp_matches(x, '^[A-Z][a-z]+$'))) / len(w) ELSE 0 END AS ratio "
+    "FROM line_words)"
+)
+
+
+@query(
+    with_(
+        _LINE_RATIOS,
+        "kept AS (SELECT * FROM (SELECT *, sum(duration_ms) OVER (ORDER BY ratio DESC, raw_filepath, start_ms, "
+        "end_ms ROWS UNBOUNDED PRECEDING) AS total FROM line_ratios) WHERE total <= 7200000)",
+        select="SELECT raw_filepath, start_ms, end_ms, duration_ms, ratio AS proper_noun_ratio FROM kept",
+    )
+)
+def o4_select_top_segments(spark, sf_dir):
+    timed = segments.explode_segments(fx.segments(spark, sf_dir), keep=["raw_filepath"])
+    named = F.transform(
+        tx.words("transcript_segment"), lambda w: F.when(w.rlike("^[A-Z][a-z]+$"), "B-person").otherwise("O")
+    )
+    chosen = curation.select_top_segments(timed.withColumn("tags", named), "tagged_words", 2)
+    return chosen.select("raw_filepath", "start_ms", "end_ms", "duration_ms", "proper_noun_ratio")
+
+
 # --- set operations ------------------------------------------------------------------------------
 
 
@@ -902,7 +1052,7 @@ def _each_basic_sql() -> str:
         "parted AS (SELECT *, sum(duration) OVER (PARTITION BY category, doc_id % 20 ORDER BY cnt DESC "
         f"NULLS LAST) AS total_selected FROM every WHERE {q.BASIC})",
         "combined AS (SELECT *, count(*) OVER (PARTITION BY category) AS total_count FROM parted "
-        f"WHERE total_selected <= {BASIC_CAP} AND cnt > 0)",
+        "WHERE cnt > 0)",
         "final AS (SELECT *, sum(duration) OVER (PARTITION BY category ORDER BY cnt DESC NULLS LAST) "
         "AS final_total FROM combined)",
         select="SELECT category, id, transcoded_filepath, duration, density AS selected_density, "
@@ -919,7 +1069,6 @@ def u1_curate_categories(spark, sf_dir):
         sc.CATEGORIES,
         STANDIN_LIMIT,
         bucket=F.col("id").cast("long") % 20,
-        cap=BASIC_CAP,
     )
     return chosen.drop("transcript", "categories", "selected_exists").withColumn(
         "selected_evidence", shown("selected_evidence")
@@ -929,17 +1078,17 @@ def u1_curate_categories(spark, sf_dir):
 @query(
     with_(
         q.TAGGED,
-        "g AS (SELECT DISTINCT gold || length(word) AS tag FROM tagged WHERE model = 'seven')",
-        "p AS (SELECT DISTINCT pred || length(word) AS tag FROM tagged WHERE model = 'seven')",
+        "g AS (SELECT DISTINCT model || gold || length(word) AS tag FROM tagged)",
+        "p AS (SELECT DISTINCT model || pred || length(word) AS tag FROM tagged)",
         select="SELECT tag, 'left' AS side FROM (SELECT tag FROM g EXCEPT SELECT tag FROM p) UNION ALL "
         "SELECT tag, 'right' FROM (SELECT tag FROM p EXCEPT SELECT tag FROM g)",
     )
 )
 def u2_tag_set_difference(spark, sf_dir):
-    tagged = fx.tagged_sentences(spark, sf_dir).filter("model = 'seven'")
+    tagged = fx.tagged_sentences(spark, sf_dir)
 
     def sized(column: str) -> DataFrame:
-        pairs = F.zip_with(column, "tokens", lambda t, w: F.concat(t, F.length(w).cast("string")))
+        pairs = F.zip_with(column, "tokens", lambda t, w: F.concat("model", t, F.length(w).cast("string")))
         return tagged.select(F.explode(pairs).alias("tag"))
 
     return scoring.tag_set_difference(sized("gold"), sized("pred"))
@@ -1221,6 +1370,56 @@ def x13_media_route_transcode(spark, sf_dir):
     return _routed(spark, sf_dir, True)
 
 
+def _encoded_sql(source: str, keys: str, plain: str, salted: str) -> str:
+    """``coded``: the pseudonym of ``plain`` for each of ``keys``, one row per symbol."""
+    return (
+        f"mixed AS (SELECT {keys}, translate(upper(left(sha256({salted}), 10)) || hex(encode({plain})), "
+        f"'0123456789ABCDEF', '54761032DCFE98BA') AS h FROM {source}), "
+        "filled AS (SELECT *, CAST(ceil(length(h) * 4 / 5) AS BIGINT) AS n, rpad(h, CAST(ceil(length(h) / 10) "
+        "AS INTEGER) * 10, '0') AS f FROM mixed), "
+        f"symbols AS (SELECT {keys}, f, unnest(range(n)) AS j FROM filled), "
+        f"coded AS (SELECT {keys}, j, substr('ZXYWVUTSRQPONMLKJIHGFEDCBA576432', CAST(((CAST('0x' || "
+        "substr(f, (j // 8) * 10 + 1, 10) AS BIGINT) >> (35 - 5 * (j % 8))) & 31) + 1 AS INTEGER), 1) AS s "
+        "FROM symbols)"
+    )
+
+
+_STEM = "regexp_extract(transcoded_filepath, '([^/]*)[.][a-z0-9]+$', 1)"
+_DEFAULT_NAMES = (
+    q.CLIPS,
+    _encoded_sql("clips", "doc_id", _STEM, "transcoded_filepath || 'key'"),
+    "names AS (SELECT doc_id, string_agg(s, '' ORDER BY j) AS name FROM coded GROUP BY doc_id)",
+    "routes AS (SELECT *, CASE doc_id % 5 WHEN 0 THEN 'wav' WHEN 1 THEN 'flac' WHEN 2 THEN 'wav' WHEN 3 THEN 'flac' END "
+    "AS ext FROM clips JOIN names USING (doc_id))",
+)
+
+
+@query(
+    with_(
+        *_DEFAULT_NAMES,
+        select="SELECT id, 'gs://out/sets/' || name || '.' || ext AS destination FROM routes",
+    )
+)
+def x13_media_route_default_name(spark, sf_dir):
+    routed = manifest.media_route(fx.clips(spark, sf_dir), "out", "sets", key="key")
+    return routed.select("id", "destination")
+
+
+@query(
+    with_(
+        *_DEFAULT_NAMES,
+        "numbered AS (SELECT *, row_number() OVER (ORDER BY duration DESC, id) - 1 AS n FROM routes)",
+        select="SELECT n AS \"Index\", 'gs://out/sets/' || name || '.' || ext AS \"Paths\", "
+        "length(transcript) AS \"Length\", 'd' AS \"Dataset\" FROM numbered WHERE ext IS NOT NULL",
+    )
+)
+def x14_build_manifest_default_name(spark, sf_dir):
+    rows = manifest.build_manifest(
+        fx.clips(spark, sf_dir), "d", "out", "sets", ["duration", "id"], [False, True], key="key"
+    )
+    return rows.select("Index", "Paths", F.length("Labels").cast("long").alias("Length"), "Dataset")
+
+
 @query(
     with_(
         q.CLIPS,
@@ -1305,12 +1504,12 @@ def x18_align_tokens(spark, sf_dir):
         "merged AS (SELECT sent_id, entity, string_agg(CASE WHEN tag LIKE 'B-%' THEN word ELSE "
         "replace(word, '##', '') END, '' ORDER BY i) AS text, upper(substr(min_by(tag, i), 3)) AS label "
         "FROM numbered WHERE entity > 0 AND tag <> 'O' GROUP BY sent_id, entity)",
-        select="SELECT sent_id, text, label FROM merged",
+        select="SELECT model, sent_id, text, label FROM merged, (SELECT unnest(['five', 'seven']) AS model)",
     )
 )
 def x19_merge_entities(spark, sf_dir):
-    tagged = fx.tagged_sentences(spark, sf_dir).filter("model = 'five'")
-    return tagged.select("sent_id", F.inline(tags.merge_entities("tokens", "gold")))
+    tagged = fx.tagged_sentences(spark, sf_dir)
+    return tagged.select("model", "sent_id", F.inline(tags.merge_entities("tokens", "gold")))
 
 
 @query(
@@ -1363,6 +1562,30 @@ def x22_strip_text(spark, sf_dir):
     return fx.table(spark, sf_dir, "pages").select("page_id", tx.strip_text("html").alias("html"))
 
 
+@query(
+    "SELECT page_id, html FROM pages"
+)
+def x22_strip_text_padded(spark, sf_dir):
+    pages = fx.table(spark, sf_dir, "pages", ["page_id", "html"])
+    blanks = [" ", "\n\t", "\u3000\u00a0", "\x1c \x85", ""]
+    pad = F.get(F.array(*[F.lit(b) for b in blanks]), (F.col("page_id") % len(blanks)).cast("int"))
+    return pages.select("page_id", tx.strip_text(F.concat(pad, "html", pad)).alias("html"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, true AS in_range, true AS stable, 20 AS buckets_used FROM documents")
+def x23_hash_bucket_checks(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id"]).select(F.col("doc_id").cast("string").alias("id"))
+    once = docs.withColumn("bucket", ids.hash_bucket("id"))
+    again = docs.repartition(3).select(F.col("id").alias("i"), ids.hash_bucket("id").alias("b"))
+    used = once.agg(F.count_distinct("bucket").cast("int").alias("buckets_used"))
+    return once.join(again, F.col("id") == F.col("i")).select(
+        "id",
+        F.col("bucket").between(0, 19).alias("in_range"),
+        (F.col("bucket") == F.col("b")).alias("stable"),
+        used.scalar().alias("buckets_used"),
+    )
+
+
 @query()
 def x23_hash_bucket(spark, sf_dir):
     clips = fx.clips(spark, sf_dir)
@@ -1419,12 +1642,96 @@ def d1_annotate(spark, sf_dir):
         return tag
 
     docs = metrics.annotate(fx.table(spark, sf_dir, "documents"), capital_tagger, "text")
-    found = docs.select(
+    return docs.select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),
         F.size(F.filter("tags", lambda t: t == "B-person")).cast("long").alias("n_tagged"),
     )
-    return found.filter("n_tokens > 0")
+
+
+@query(
+    with_(
+        q.TRANSCRIPTS,
+        f"counted AS (SELECT *, regexp_extract_all(human_transcript_text, '{q.WORD}') AS w FROM transcripts)",
+        "rated AS (SELECT channel, raw_filepath, duration, CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: "
+        "regexp_full_match(x, '[A-Z][a-z]+'))) / len(w) ELSE 0 END AS ratio FROM counted)",
+        select="SELECT channel, raw_filepath, duration, ratio AS proper_noun_ratio FROM (SELECT *, sum(duration) OVER "
+        "(ORDER BY ratio DESC, raw_filepath ROWS UNBOUNDED PRECEDING) AS total FROM rated) WHERE total <= 7200",
+    )
+)
+def d1_annotate_to_selection(spark, sf_dir):
+    """A tagger's tags, the metrics made of them, the budget, and the selection joined back to its rows."""
+
+    def capital_tagger():
+        import re
+
+        name = re.compile("[A-Z][a-z]+").fullmatch
+
+        def tag(texts):
+            split = [t.split() for t in texts]
+            return [(words, ["B-person" if name(w) else "O" for w in words]) for words in split]
+
+        return tag
+
+    clips = fx.transcripts(spark, sf_dir)
+    tagged = metrics.annotate(clips, capital_tagger, "human_transcript_text")
+    chosen = curation.select_top_hours(tagged, "tagged_words", 2)
+    joined = joins.join_back(clips, chosen.select("raw_filepath", "proper_noun_ratio"), "raw_filepath", "human_transcript_text")
+    ratio = F.col("temp_proper_noun_ratio").alias("proper_noun_ratio")
+    return joined.select("channel", "raw_filepath", "duration", ratio)
+
+
+@query(
+    with_(
+        q.CLIPS,
+        "every AS (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS category, doc_id, id, transcoded_filepath FROM clips WHERE {c}_count > 0"
+            for c in sc.CATEGORIES
+        ) + ")",
+        "numbered AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY id) - 1 AS n FROM every)",
+        "pointed AS (SELECT * FROM numbered JOIN labels USING (doc_id))",
+        select="SELECT category || '_final' AS \"Dataset\", n AS \"Index\", 'manifest' AS part FROM pointed "
+        "WHERE doc_id % 9 > 1 UNION ALL SELECT category, doc_id, 'missing' FROM pointed WHERE doc_id % 9 = 0 "
+        "UNION ALL SELECT category, doc_id, 'malformed' FROM pointed WHERE doc_id % 9 = 1 "
+        "UNION ALL SELECT category, count(*), 'rows' FROM every GROUP BY category",
+    )
+)
+def x14_publish_vendor(spark, sf_dir):
+    clips = fx.clips(spark, sf_dir)
+    found = curation.for_each_category(
+        {
+            c: clips.filter(F.col(f"categories.{c}.count") > 0).select("id", "transcoded_filepath")
+            for c in sc.CATEGORIES
+        }
+    )
+    number = F.regexp_extract("uri", "([0-9]+)[.]json", 1).cast("long")
+    documents = fx.vendor_documents(spark, sf_dir).filter(number % 9 != 0)
+    broken = F.when(number % 9 == 1, F.lit("[{")).otherwise(F.col("document"))
+    labels = documents.select("uri", files.vendor_label(broken).alias("label"))
+    merged, manifests, unmatched = publish.publish_vendor(
+        found, fx.pointers(spark, sf_dir), labels, scratch_path(spark, "vendor"), "final", ["id"]
+    )
+    return (
+        manifests.select("Dataset", "Index", F.lit("manifest").alias("part"))
+        .unionAll(unmatched.select("category", F.col("id").cast("long"), "reason"))
+        .unionAll(merged.groupBy("category").agg(F.count(F.lit(1))).select("category", "count(1)", F.lit("rows")))
+    )
+
+
+@query(
+    with_(
+        q.CLIPS,
+        "named AS (SELECT doc_id, regexp_extract(transcoded_filepath, '[^/]*$') AS audio_name, transcript, "
+        "row_number() OVER (ORDER BY regexp_extract(transcoded_filepath, '[^/]*$')) - 1 AS n FROM clips)",
+        select="SELECT n AS \"Index\", 'set/' || audio_name AS \"Paths\", length(transcript) AS n_label, "
+        "'set' AS \"Dataset\" FROM named LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NOT NULL OR doc_id % 5 < 2",
+    )
+)
+def x14_folder_manifest(spark, sf_dir):
+    spoken = fx.clips(spark, sf_dir).select(paths.file_name("transcoded_filepath").alias("audio_name"), "transcript")
+    stored = fx.listing(spark, sf_dir).select(paths.file_name("path").alias("audio_name"))
+    rows = manifest.folder_manifest(spoken, spoken, stored, "set")
+    return rows.select("Index", "Paths", F.length("Labels").cast("long").alias("n_label"), "Dataset")
 
 
 def _evaluation_sql(pred: str) -> str:
@@ -1474,7 +1781,7 @@ def d4_evaluate_pieces(spark, sf_dir):
         q.CLIPS,
         "every AS (" + " UNION ALL ".join(
             f"SELECT '{c}' AS category, doc_id, id, transcoded_filepath FROM clips WHERE {c}_count > 0"
-            for c in ("email", "phone_number", "alphanumeric")
+            for c in sc.CATEGORIES
         ) + ")",
         "numbered AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY id) - 1 AS n FROM every)",
         select="SELECT n AS \"Index\", category || '_final/' || regexp_extract(transcoded_filepath, '[^/]*$') AS "
@@ -1488,7 +1795,7 @@ def x14_vendor_manifest(spark, sf_dir):
     found = curation.for_each_category(
         {
             c: clips.filter(F.col(f"categories.{c}.count") > 0).select("id", "transcoded_filepath")
-            for c in ("email", "phone_number", "alphanumeric")
+            for c in sc.CATEGORIES
         }
     )
     pointed = manifest.attach_vendor_uri(found, fx.pointers(spark, sf_dir))
