@@ -90,18 +90,35 @@ def tag_histogram(tags: Column | str, keep: list[str] | None = None) -> Column:
     return F.map_from_entries(let(kept, entries))
 
 
+def first_per_key(entries: Column) -> Column:
+    """Of structs ``key``, ``place``, … the one with the least place for each key, in order of the keys."""
+    return let(
+        F.array_sort(entries),
+        lambda s: F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["key"] != e["key"])),
+    )
+
+
 def first_subword_labels(
     word_ids: Column | str, tags: Column | str, n: Column | int, default: str = OUTSIDE
 ) -> Column:
-    """One label per word: that of the word's first sub-token; words with none get the default."""
+    """One label per word: that of the word's first sub-token; words with none get the default.
+
+    Sub-tokens and a default for every word are sorted by word and place, and the first of each word
+    is kept: the cost grows as the length of the row, times its logarithm."""
     n = F.lit(n) if isinstance(n, int) else n
 
     def labels(given: Column) -> Column:
-        def label(word: Column) -> Column:
-            place = F.array_position(given["ids"], word).cast("int") - 1
-            return F.coalesce(F.get(given["tags"], place), F.lit(default))
-
-        return F.transform(F.sequence(F.lit(0), given["n"] - 1), label)
+        ids = F.coalesce(given["ids"], F.array().cast("array<int>"))
+        known = F.transform(
+            ids, lambda w, i: F.struct(w.cast("int").alias("key"), i.alias("place"), F.get(given["tags"], i).alias("label"))
+        )
+        inside = F.filter(known, lambda e: (e["key"] >= 0) & (e["key"] < given["n"]))
+        plain = F.transform(
+            F.sequence(F.lit(0), given["n"] - 1),
+            lambda w: F.struct(w.alias("key"), F.size(ids).alias("place"), F.lit(default).alias("label")),
+        )
+        kept = first_per_key(F.concat(inside, plain))
+        return F.transform(kept, lambda e: F.coalesce(e["label"], F.lit(default)))
 
     given = F.struct(col(word_ids).alias("ids"), col(tags).alias("tags"), n.cast("int").alias("n"))
     return F.when(n > 0, let(given, labels)).otherwise(no_strings())
@@ -117,22 +134,22 @@ def densify_labels(pieces: Column | str, entities: Column | str) -> Column:
     on one piece the later wins."""
 
     def labels(piece: Column) -> Column:
-        def landing(e: Column) -> Column:
+        def landing(e: Column, j: Column) -> Column:
             word = F.replace(e["word"], F.lit("##"), F.lit(""))
             at = e["index"].cast("int") - 1
             place = F.when(F.endswith(F.get(piece, at), word), at).when(
                 F.endswith(F.get(piece, at + 1), word), at + 1
             )
-            return F.struct(place.alias("at"), e["entity"].alias("label"))
-
-        def dense(landed: Column) -> Column:
-            def label(i: Column) -> Column:
-                here = F.filter(landed, lambda h: h["at"] == i)
-                return F.coalesce(F.try_element_at(here, F.lit(-1))["label"], F.lit(OUTSIDE))
+            return F.struct(place.alias("key"), (-j).alias("place"), e["entity"].alias("label"))
 
-            return F.transform(positions(piece), label)
-
-        return let(F.transform(col(entities), landing), dense)
+        none = F.array().cast("array<struct<key:int,place:int,label:string>>")
+        landed = F.coalesce(F.transform(col(entities), landing), none)
+        found = F.filter(landed, lambda e: e["key"].isNotNull())
+        outside = F.transform(
+            positions(piece), lambda i: F.struct(i.alias("key"), F.lit(1).alias("place"), F.lit(OUTSIDE).alias("label"))
+        )
+        kept = first_per_key(F.concat(found, outside))
+        return F.transform(kept, lambda e: F.coalesce(e["label"], F.lit(OUTSIDE)))
 
     return let(col(pieces), labels)
 

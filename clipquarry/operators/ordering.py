@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from clipquarry.operators.prefix import broadcast_if_small, null_safe_join
 from clipquarry.session import freeze, require_batch
 
+PLACE_BITS = 33  # of monotonically_increasing_id: below them the partition's number
+
 
 def _as_columns(order_by: Sequence[Column | str] | Column | str) -> list[Column]:
     listed = [order_by] if isinstance(order_by, (str, Column)) else order_by
@@ -58,25 +60,26 @@ def number_rows(
     anew for each value of ``within``. Pass a table that is cheap to read, with only the columns that
     are needed later: it is read twice, once to find the ranges.
 
-    The rows are stored range-partitioned by the order; each partition then counts its own rows on
-    from the number of rows in the partitions before it."""
+    The rows are shuffled once: range-partitioned, sorted and stored with their place in the partition. A
+    row's number is that place on from the number of rows in the partitions before it, which are
+    one row per partition and value of ``within``."""
     require_batch(df, "number_rows")
     up = [ascending] * len(order_by) if isinstance(ascending, bool) else ascending
     order = [F.col(o).asc() if a else F.col(o).desc() for o, a in zip(order_by, up)]
+    keys = [F.col(w).asc() for w in within]
     ranged = freeze(
-        df.repartitionByRange(*[F.col(w) for w in within], *order).withColumn(
-            "_range", F.spark_partition_id()
-        )
-    )
+        df.repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_at", F.monotonically_increasing_id())
+    ).withColumn("_range", F.shiftright("_at", PLACE_BITS))
     earlier = Window.partitionBy(*within).orderBy("_range")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition, plus one per value of ``within``.
-    starts = ranged.groupBy(*within, "_range").agg(F.count(F.lit(1)).alias("_start"))
+    starts = ranged.groupBy(*within, "_range").agg(
+        F.count(F.lit(1)).alias("_start"), F.min("_at").alias("_first")
+    )
     starts = starts.withColumn("_start", F.coalesce(F.sum("_start").over(earlier), F.lit(0)))
-    inside = Window.partitionBy(*within, "_range").orderBy(*order)
-    counted = ranged.withColumn("_inside", F.row_number().over(inside) - 1)
     return (
-        null_safe_join(counted, broadcast_if_small(starts), [*within, "_range"])
-        .withColumn(out, (F.col("_start") + F.col("_inside")).cast("long"))
-        .drop("_range", "_start", "_inside")
+        null_safe_join(ranged, broadcast_if_small(starts), [*within, "_range"])
+        .withColumn(out, (F.col("_start") + F.col("_at") - F.col("_first")).cast("long"))
+        .drop("_range", "_start", "_at", "_first")
     )

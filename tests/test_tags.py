@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from clipquarry import schema as sc
 from clipquarry.functions import tags as tg
@@ -175,3 +176,26 @@ def test_evaluations_map_the_gold_side(spark):
     )
     rows = {r["type"]: r["f1"] for r in taggers.evaluate_pieces(pieces, sc.TO_FOUR_ENTITIES).collect()}
     assert rows["PER"] == 1.0
+
+
+def test_labels_of_missing_and_repeated_entries(spark):
+    df = spark.createDataFrame(
+        [(["a", "##b", "c"], None, [0, 0, 1, None, 7, 1], ["X", "Y", None, "Z", "W", "V"])],
+        "p array<string>, e array<struct<index:int,word:string,entity:string>>, ids array<int>, t array<string>",
+    )
+    row = df.select(tg.densify_labels("p", "e").alias("d"), tg.first_subword_labels("ids", "t", 3).alias("f")).first()
+    assert row["d"] == ["O", "O", "O"] and row["f"] == ["X", "O", "O"]
+
+
+def test_tag_functions_take_long_rows(spark):
+    n = 40_000
+    row = spark.range(1).select(
+        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.concat(F.lit("w"), i.cast("string"))).alias("p"),
+        F.sequence(F.lit(0), F.lit(n - 1)).alias("ids"),
+    )
+    entities = F.transform("p", lambda w, i: F.struct((i + 1).alias("index"), w.alias("word"), F.lit("B-x").alias("entity")))
+    found = row.select(
+        F.size(F.filter(tg.densify_labels("p", entities), lambda t: t == "B-x")).alias("d"),
+        F.size(F.filter(tg.first_subword_labels("ids", "p", n), lambda t: t.startswith("w"))).alias("f"),
+    ).first()
+    assert (found["d"], found["f"]) == (n, n)  # minutes if each place were looked for in the whole row
