@@ -18,6 +18,7 @@ SF_DIR = "/root/testdata/sf0.001"
 ODD = [
     "", " ", "\n\n", "a", "don't WON'T  it's", "x  y\n z\t\t", "naïve Éa é  b", "12345 6,7", "<|endoftext|>",
     "a<|endoftext|>b <|startoftext|>c", "ΣΑΣ İx ß", "日本語 テキスト", "a\x1cb \x85c", "!!! a.b. c!?", "  lead", "trail  ",
+    "Émile, ÄÖÜ! ǅ. ŉ, Ŀ İs, ſt. ẞ. Ñandú;", "e\u0301a, É\u0301. ª º.",
     "x" * 3000, "the " * 2000, "ab." * 500, "​　x", "🙂👍🏽 ok", "'s 't 'LL", "a|b <|x|>",
 ]
 ALPHABET = st.sampled_from(list("abcAB'st.,!19 \n\té́ß Σ<|>endoftxr \x1c日🙂"))
