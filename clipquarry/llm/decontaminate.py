@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW = 13
 SHARE = 20  # a document is contaminated if at least one in so many of its words is hit
@@ -206,10 +207,8 @@ def contamination(
     carry = docs.columns if carry is None else carry
     row = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")
     rows = docs.select(row) if text in carry else docs.select(row, F.col(text).alias("text"))
-    schema = (
-        f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_hit long, "
-        "spans array<struct<start:int,words:int>>, items array<string>, longest_match int"
-    )
+    added = "n_words long, n_hit long, spans array<struct<start:int,words:int>>, items array<string>, longest_match int"
+    schema = T.StructType([rows.schema["row"], *T.DataType.fromDDL(added).fields])
     span = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())]))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipquarry.llm.common import WORKER_CACHE, fresh, labelled_sample, trained
 
@@ -157,7 +158,8 @@ def score_quality(docs: DataFrame, model: bytes, *, carry: list[str] | None = No
     carry = docs.columns if carry is None else carry
     row = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")
     rows = docs.select(row) if text in carry else docs.select(row, F.col(text).alias("text"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, expected_grade double, tail_probability double"
+    added = T.DataType.fromDDL("expected_grade double, tail_probability double")
+    schema = T.StructType([rows.schema["row"], *added.fields])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
