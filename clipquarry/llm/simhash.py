@@ -8,10 +8,11 @@ Parts and thresholds are chosen by dynamic programming on the candidate counts t
 fingerprints lets expect. To probe part ``i``, each fingerprint is filed under its bits there with every choice of
 ``t_i`` bits left out; members of a bucket are verified bit by bit.
 
-Only distinct fingerprints are filed, so copies cost one row. A bucket of more than ``BUCKET`` members is not
-compared: it only names its key, and its members are filed again by the bits that are still free, by the same principle, until
-buckets are small; a bucket with eleven free bits cannot be larger. A bucket gives a spanning forest of its
-links, not all pairs. Classes come from repeated hooking of nodes to the smallest node around, with both
+Copies are one node. A bucket of more than ``BUCKET`` members only names its key at first. If it is much larger than that
+and than any group of equal fingerprints in it, its members are filed again by the bits that are still free, by the same
+principle. Otherwise (nodes that only differ in what is verified share their fingerprint, and no filing parts them), or if
+too few bits are free, it is dealt into blocks and every two blocks are compared. A bucket gives a spanning forest
+of its links, not all pairs. Classes come from repeated hooking of nodes to the smallest node around, with both
 steps as joins and map-side minima, each round written to the shared folder."""
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ BUCKET = 2_048
 SAMPLE = 4_096  # fingerprints whose pairs estimate the candidate counts
 SCREEN = 64  # members up to which a bucket is first looked through for any link
 MOST_KEYS = 160  # keys that one fingerprint is filed under, at most, per level
+FILED_AGAIN = 8  # times ``BUCKET``, and times its largest group of equal fingerprints, that a bucket is filed again beyond
+TILE = 256  # rows of a bucket that are compared with all at once
 ROUNDS = 60
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -144,8 +147,8 @@ def allocate(bits: np.ndarray, free: Sequence[int], max_bits: int) -> list[tuple
             cost, chosen = state[max_bits + 1]
             if best is None or cost < best[0]:
                 best = cost, [(p, t) for p, t in zip(parts, chosen) if t >= 0]
-    if best is None:  # too few bits for the keys allowed: compare whole buckets of what is left
-        return [([], 0)]
+    if best is None:  # a bit for each of max_bits + 1 parts is enough
+        raise ValueError(f"{len(free)} bits cannot be filed for links of {max_bits} bits")
     return best[1]
 
 
@@ -206,9 +209,12 @@ def bucket_links(
 ) -> list[tuple[int, int]]:
     """A spanning forest of the links of a bucket: ``fp`` within the first limit, ``verify`` together within the other."""
     n = len(node)
-    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= limits[0]
-    if verify:
-        near &= sum(np.bitwise_count(v[:, None] ^ v[None, :]).astype(np.int16) for v in verify) <= limits[1]
+    near = np.empty((n, n), bool)
+    for i in range(0, n, TILE):
+        apart = lambda v: np.bitwise_count(v[i:i + TILE, None] ^ v[None, :])  # noqa: B023, E731
+        near[i:i + TILE] = apart(fp) <= limits[0]
+        if verify:
+            near[i:i + TILE] &= sum(apart(v).astype(np.int16) for v in verify) <= limits[1]
     left, out = np.ones(n, bool), []
     for root in np.flatnonzero(near.sum(axis=1) > 1).tolist():
         if not left[root]:
@@ -247,45 +253,70 @@ def links(
     bits = _bits_of(np.array([r["fp"] for r in sample], np.int64).view(np.uint64))
     level = nodes.select(F.lit(0).cast("long").alias("key"), F.lit(-1).cast("long").alias("free"), "fp", *extra)
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] | None = None
-        for batch in batches:
-            rows = [np.asarray(c) for c in batch.columns]
-            if not len(rows[0]):
-                continue
-            rows = [np.concatenate(x) for x in zip(rest, rows)] if rest else rows
-            cut = np.flatnonzero(np.diff(rows[0])) + 1
-            # the last bucket may go on in the next batch; of a large one no more is held than shows that it is
-            last = int(cut[-1]) if cut.size else 0
-            if last:
-                yield _linked([r[:last] for r in rows], np.concatenate(([0], cut)))
-            rest = [r[last:last + bucket + 1] for r in rows]
-        if rest is not None:
-            yield _linked(rest, np.array([0, len(rest[0])]))
-
-    def _linked(rows: list[np.ndarray], bounds: np.ndarray) -> pa.RecordBatch:
-        found: list[tuple[int, int | None]] = []
-        prints = [r.view(np.uint64) for r in rows[2:]]
-        for k in _screened(rows[0], prints[0], bounds, max_bits):
-            a, b = bounds[k], bounds[k + 1]
-            if b - a > bucket:
-                found.append((int(rows[0][a]), None))
-            else:
-                found += bucket_links(rows[1][a:b], prints[0][a:b], [p[a:b] for p in prints[1:]], limits)
-        columns = [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+    def compared(rows: DataFrame, most: int | None) -> DataFrame:
+        """``a``, ``b``: links in the buckets of ``rows``; of one of more than ``most`` rows its key and null."""
+
+        def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rest: list[np.ndarray] | None = None
+            for batch in batches:
+                rows = [np.asarray(c) for c in batch.columns]
+                if not len(rows[0]):
+                    continue
+                rows = [np.concatenate(x) for x in zip(rest, rows)] if rest else rows
+                cut = np.flatnonzero(np.diff(rows[0])) + 1
+                # the last bucket may go on in the next batch; of a large one no more is held than shows that it is
+                last = int(cut[-1]) if cut.size else 0
+                if last:
+                    yield _linked([r[:last] for r in rows], np.concatenate(([0], cut)))
+                rest = [r[last:None if most is None else last + most + 1] for r in rows]
+            if rest is not None:
+                yield _linked(rest, np.array([0, len(rest[0])]))
+
+        def _linked(rows: list[np.ndarray], bounds: np.ndarray) -> pa.RecordBatch:
+            found: list[tuple[int, int | None]] = []
+            prints = [r.view(np.uint64) for r in rows[2:]]
+            for k in _screened(rows[0], prints[0], bounds, max_bits):
+                a, b = bounds[k], bounds[k + 1]
+                if most is not None and b - a > most:
+                    found.append((int(rows[0][a]), None))
+                else:
+                    found += bucket_links(rows[1][a:b], prints[0][a:b], [p[a:b] for p in prints[1:]], limits)
+            columns = [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+        dealt = rows.select("key", "node", "fp", *verify).repartition("key").sortWithinPartitions("key")
+        return store(dealt.mapInArrow(verified, "a long, b long"), "bucket_links")
 
     found: DataFrame | None = None
     while True:
         filed = _file(level, bits, max_bits, extra)
-        rows = filed.select("key", "node", "fp", *verify)
-        out = store(rows.repartition("key").sortWithinPartitions("key").mapInArrow(verified, "a long, b long"), "bucket_links")
+        out = compared(filed, bucket)
         pairs = out.where("b IS NOT NULL")
         found = pairs if found is None else found.unionByName(pairs)
         large = store(out.where("b IS NULL").select(F.col("a").alias("key")).distinct(), "large_buckets")
         if not large.count():
             return found.distinct()
+        # a bucket is filed again only where that can make it small; else it is compared block by block
         level = filed.join(small_side(large), "key", "left_semi")
+        equal = level.groupBy("key", "free", "fp").agg(F.count("*").alias("n"))
+        sizes = equal.groupBy("key", "free").agg(F.sum("n").alias("n"), F.max("n").alias("equal"))
+        again = (F.col("n") > FILED_AGAIN * F.greatest(F.lit(bucket), "equal")) & (F.bit_count("free") > max_bits)
+        sizes = store(sizes.select("key", F.ceil(F.col("n") / bucket).alias("blocks"), again.alias("again")), "bucket_sizes")
+        whole = sizes.where("NOT again").select("key", "blocks")
+        if whole.count():
+            found = found.unionByName(compared(_block_pairs(filed.join(small_side(whole), "key")), None))
+        more = sizes.where("again").select("key")
+        if not more.count():
+            return found.distinct()
+        level = filed.join(small_side(more), "key", "left_semi")
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """``rows`` of buckets dealt by a hash into ``blocks`` blocks, at least two; a row for each other block, whose ``key``
+    both blocks share."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    both = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("own <> other")
+    return both.withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
 
 
 def classes(edges: DataFrame) -> DataFrame:

@@ -118,3 +118,38 @@ def test_classes_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1400)], "a long, b long")
     roots = {r["node"]: r["root"] for r in simhash.classes(chain).collect()}
     assert {roots[i] for i in range(301)} == {0} and {roots[i] for i in range(1000, 1400)} == {1000}
+
+
+def test_many_nodes_of_one_fingerprint(spark):
+    """Hundreds of nodes share a fingerprint, or nearly, and differ in what is verified: no filing makes the bucket small."""
+    rng = random.Random(8)
+    flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(64), n))
+    centres = [(rng.getrandbits(64), rng.getrandbits(64)) for _ in range(40)]
+    nodes = set()
+    for fp in (0, 7, rng.getrandbits(64)):
+        for _ in range(200):
+            v1, v2 = rng.choice(centres)
+            nodes.add((fp, flip(v1, rng.randrange(7)), flip(v2, rng.randrange(7))))
+    nodes |= {(flip(0, rng.randrange(1, 12)), *rng.choice(centres)) for _ in range(100)}
+    nodes = sorted(nodes)
+    signed = np.array(nodes, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(signed)], "node long, fp long, v1 long, v2 long").repartition(3)
+    edges = simhash.links(df, 7, verify=["v1", "v2"], verify_bits=24, bucket=16)
+    roots = {r["node"]: r["root"] for r in simhash.classes(edges).collect()}
+    left, want = set(range(len(nodes))), {}
+    while left:
+        front = [min(left)]
+        own = set(front)
+        left -= own
+        while front:
+            f, v, w = nodes[front.pop()]
+            near = {
+                b for b in left if (f ^ nodes[b][0]).bit_count() <= 7
+                and (v ^ nodes[b][1]).bit_count() + (w ^ nodes[b][2]).bit_count() <= 24
+            }
+            left -= near
+            own |= near
+            front += near
+        want |= dict.fromkeys(own, min(own))
+    assert {i: roots.get(i, i) for i in want} == want
+    assert 1 < len(set(want.values())) < len(nodes)
