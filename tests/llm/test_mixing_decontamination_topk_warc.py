@@ -109,6 +109,41 @@ def test_hits_against_brute_force(spark, window, alphabet, chunk):
     assert left.columns == d.columns and left.count() == sum(not r["contaminated"] for r in out)
 
 
+def slow_longest(text, items):
+    """The longest run shared with an item: its words, start, item and start in the item; the first of several."""
+    words, best = slow_words(text), (0, 0, "", 0)
+    for name, item in items:
+        own = slow_words(item)
+        for i in range(len(own)):
+            for j in range(len(words)):
+                n = 0
+                while i + n < len(own) and j + n < len(words) and own[i + n] == words[j + n]:
+                    n += 1
+                best = min(best, (-n, j, name, i) if n else best)
+    return best
+
+
+@pytest.mark.parametrize("batch, chunk", [(10_000, 4_000_000), (3, 4_000_000), (7, 30)])
+def test_longest_matches_and_their_places(spark, batch, chunk):
+    """Of every copy and of documents with the same passage, in one batch and in several."""
+    rng = random.Random(11)
+    text = lambda n, m=30: " ".join(f"w{rng.randrange(m)}" for _ in range(n))
+    items = [(f"i{k}", text(n)) for k, n in enumerate([25, 14, 20, 3, 1, 25])]
+    passage = " ".join(items[0][1].split()[4:20])
+    docs = [passage, f"new {passage} more", f"{text(4)} x {passage}"] * 4 + [" ".join(passage.split()[:9]) + " y"] * 5
+    docs += [text(rng.randrange(40), 60) for _ in range(40)] + [None, "", "no known word", items[1][1], "w1 z w2 z"]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1)
+    b = spark.createDataFrame(items, "item_id string, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = decontaminate.contamination(d, b, chunk_words=chunk).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for r in out:
+        n, start, item, item_start = slow_longest(r["row"]["text"], items)
+        assert (r["longest_match"], r["longest_at"]) == (-n, (start, item, item_start) if n else None)
+
+
 def test_empty_sides_of_decontamination(spark):
     d = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     b = spark.createDataFrame([("x", "a b c")], "item_id string, text string")
