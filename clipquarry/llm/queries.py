@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipquarry.llm import decontaminate, language, mixing, quality, simhash, token_counts, token_output, topk, toxicity, warc_zip
+from clipquarry.llm import decontaminate, language, merkle, mixing, quality, simhash, token_counts, token_output, topk, toxicity, warc_zip
 from clipquarry.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,74 @@ def op10_decontaminate(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def _merkle_sql(levels: int = 7) -> str:
+    """Trees of up to 16 ** (levels - 1) leaves, a level per step: the twin has no loop."""
+    value = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+    before = "||".join(value.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + "||"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    tree = lambda own, order, source: f"""
+      SELECT {source} AS tree, row_number() OVER (PARTITION BY {source} ORDER BY {order}) - 1 AS i,
+        count(*) OVER (PARTITION BY {source}) AS n, {own} AS h"""
+
+    def steps(name: str) -> str:
+        out = []
+        for k in range(1, levels):
+            out.append(f"""{name}{k} AS (
+              SELECT tree, i // 16 AS i, any_value((n + 15) // 16) AS n, sha256(string_agg(h, '' ORDER BY i)) AS h
+              FROM {name}{k - 1} WHERE n > 1 GROUP BY tree, i // 16)""")
+        union = " UNION ALL ".join(f"SELECT {k} AS level, * FROM {name}{k}" for k in range(levels))
+        return ",\n".join(out) + f",\n{name}_all AS ({union})"
+
+    def climb(name: str, start: str) -> str:
+        """Left and right siblings of ``start`` (key, tree, i) at every level, and the proof so far."""
+        out = [f"{name}_up0 AS (SELECT *, h AS f FROM {start})"]
+        for k in range(1, levels):
+            out.append(f"""{name}_up{k} AS (
+              SELECT u.key, u.tree, u.i // 16 AS i, any_value(u.proof) || coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i <> u.i), '') AS proof,
+                CASE WHEN any_value(s.n) > 1 THEN sha256(string_agg(CASE WHEN s.i = u.i THEN u.f ELSE s.h END, '' ORDER BY s.i)) ELSE any_value(u.f) END AS f
+              FROM {name}_up{k - 1} u LEFT JOIN {name}_all s
+                ON s.level = {k - 1} AND s.n > 1 AND s.tree = u.tree AND s.i // 16 = u.i // 16
+              GROUP BY u.key, u.tree, u.i)""")
+        return ",\n".join(out)
+
+    return f"""
+WITH tab AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) AS r(b)
+),
+ids AS (
+  SELECT *, xor(4294967295, list_reduce([unicode(x) for x in string_split(doc_id::VARCHAR, '')],
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS crc
+  FROM documents, tab
+),
+d AS (
+  SELECT row_number() OVER () AS key, doc_id, coalesce(':' || source, '-') AS tree,
+    sha256({before}{value.format("text")}) AS leaf,
+    CASE WHEN crc % 5 = 0 THEN sha256({before}{value.format(lower)}) ELSE sha256({before}{value.format("text")}) END AS candidate
+  FROM ids
+),
+a0 AS ({tree("leaf", "doc_id NULLS FIRST, leaf, key", "tree")} FROM d),
+place AS (SELECT key, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, key) - 1 AS i, candidate FROM d),
+{steps("a")},
+subroots AS (SELECT tree, h FROM a_all WHERE n = 1),
+b0 AS ({tree("h", "tree", "''")} FROM subroots),
+sources AS (SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS i FROM subroots),
+{steps("b")},
+root AS (SELECT h FROM b_all WHERE n = 1),
+start AS (SELECT key, tree, i, '' AS proof, candidate AS h FROM place),
+{climb("a", "start")},
+middle AS (SELECT u.key, '' AS tree, s.i, u.proof, u.f AS h FROM a_up{levels - 1} u JOIN sources s USING (tree)),
+{climb("b", "middle")}
+SELECT d.doc_id, d.leaf, s.h AS subroot, r.h AS root, sha256(u.proof) AS proof_sha256, u.f AS folded_root, u.f = r.h AS verified
+FROM d JOIN b_up{levels - 1} u USING (key) JOIN subroots s ON s.tree = d.tree, root r
+"""
+
+
+@query(_merkle_sql())
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", *merkle.FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = merkle.leaves(docs, changed=lambda c: {"text": merkle.lower_ascii(c["text"])}, when=tampered)
+    return merkle.prove(merkle.build(rows))
