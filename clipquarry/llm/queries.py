@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipquarry.llm import decontaminate, language, merkle, mixing, quality, simhash, token_counts, token_output, topk, toxicity, warc_zip
+from clipquarry.llm import decontaminate, importance, language, merkle, mixing, quality, simhash, token_counts, token_output, topk, toxicity, warc_zip
 from clipquarry.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,6 +187,11 @@ def op10_decontaminate(spark, sf_dir):
         "contaminated",
     )
 
+_TABLE = """
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) AS r(b)
+"""  # of CRC-32
+
 
 def _merkle_sql(levels: int = 7) -> str:
     """Trees of up to 16 ** (levels - 1) leaves, a level per step: the twin has no loop."""
@@ -219,10 +224,7 @@ def _merkle_sql(levels: int = 7) -> str:
         return ",\n".join(out)
 
     return f"""
-WITH tab AS (
-  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS t
-  FROM range(256) AS r(b)
-),
+WITH tab AS ({_TABLE}),
 ids AS (
   SELECT *, xor(4294967295, list_reduce([unicode(x) for x in string_split(doc_id::VARCHAR, '')],
     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS crc
@@ -257,3 +259,54 @@ def op13_merkle_manifest(spark, sf_dir):
     tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     rows = merkle.leaves(docs, changed=lambda c: {"text": merkle.lower_ascii(c["text"])}, when=tampered)
     return merkle.prove(merkle.build(rows))
+
+
+
+@query(f"""
+WITH tab AS ({_TABLE}),
+d AS (SELECT row_number() OVER () AS key, doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+b AS (SELECT row_number() OVER () AS key, coalesce({_WORDS.format("text")}, []) AS w FROM benchmark),
+runs AS (
+  SELECT 'd' AS side, key, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM d, range(1, 4) AS r(n), LATERAL (SELECT unnest(range(1, greatest(len(w) - n + 2, 1))) AS i)
+  UNION ALL
+  SELECT 'b', key, array_to_string(w[i:i + n - 1], ' ')
+  FROM b, range(1, 4) AS r(n), LATERAL (SELECT unnest(range(1, greatest(len(w) - n + 2, 1))) AS i)
+),
+features AS (SELECT side, key, g, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT g, list_transform(range(1, octet_length(encode(g)) + 1), lambda i: ('0x' || substr(hex(encode(g)), 2 * i - 1, 2))::BIGINT) AS l
+  FROM (SELECT DISTINCT g FROM features)
+),
+placed AS (
+  SELECT g, xor(4294967295, list_reduce(l, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 10000 AS bucket
+  FROM bytes, tab
+),
+counts AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM features JOIN placed USING (g) GROUP BY bucket
+),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM counts) + 10000)::DOUBLE)
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counts) + 10000)::DOUBLE)))::BIGINT AS gain FROM counts
+),
+weights AS (
+  SELECT key, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM features JOIN placed USING (g) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY key
+),
+scored AS (
+  SELECT key, doc_id, len(w) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+      + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (key)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS FIRST, n_features, key) AS r FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN able AND r <= 5 * (SELECT count(*) FROM scored WHERE able) // 100 THEN r END AS rank
+FROM ranked
+""")
+def op12_importance_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark", "text"))
