@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipquarry.llm import decontaminate, importance, language, merkle, mixing, quality, simhash, token_counts, token_output, topk, toxicity, warc_zip
+from clipquarry.llm import decontaminate, importance, language, merkle, mixing, phrases, quality, simhash, token_counts, token_output, topk, toxicity, warc_zip
 from clipquarry.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,6 +187,11 @@ def op10_decontaminate(spark, sf_dir):
         "contaminated",
     )
 
+@query()
+def op11_phrase_fingerprint(spark, sf_dir):
+    return phrases.edited_neighbours(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 _TABLE = """
   SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS t
   FROM range(256) AS r(b)
