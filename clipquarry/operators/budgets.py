@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from clipquarry.operators.exact import adder
 from clipquarry.operators.prefix import (
     Coarse,
     broadcast_if_small,
@@ -65,16 +66,16 @@ def find_budget(
     rows finds a score below which none can be kept, and the exact totals are made above it; where
     each of its bins held one score, as with small counts, they are exact already."""
     require_batch(df, "find_budget")
-    coarse = Coarse(None, None)
+    coarse, add = Coarse(None, None), adder(where(df), F.col(amount))
     if limit is not None:
-        coarse = coarse_budget(where(df), score, F.col(amount), out, limit, parts)
+        coarse = coarse_budget(where(df), score, F.col(amount), out, limit, parts, add)
     totals = coarse.totals
     if totals is None:
         above = df if coarse.floor is None else df.filter(F.col(score) >= F.lit(coarse.floor))
         totals = running_total(
-            score_totals(where(above), score, F.col(amount), parts),
+            score_totals(where(above), score, F.col(amount), parts, add),
             [F.col(score).desc_nulls_last()],
-            "_amount",
+            add,
             out,
             parts,
             one_task_rows,
@@ -143,15 +144,16 @@ def take_within_budget(
         spent < 0, F.raise_error(F.lit(f"take_within_budget: negative {amount}"))
     ).otherwise(spent)
 
-    edge = first_overflow(df, [score], checked, limit, True, one_task_rows)
+    add = adder(df, spent)
+    edge = first_overflow(df, [score], checked, limit, True, one_task_rows, add)
     if edge is None:  # everything fits
         return df
     # Whole groups above the edge fit; the edge group is filled up in tie-break order.
-    value, room = edge["keys"][0], limit - edge["before"]
+    value = edge.keys[0]
     at_edge = F.col(score).eqNullSafe(F.lit(value))
-    tie = first_overflow(df.filter(at_edge), tie_break, checked, room, False, one_task_rows)
+    tie = first_overflow(df.filter(at_edge), tie_break, checked, limit, False, one_task_rows, add, edge.before)
     above = F.col(score).isNotNull() if value is None else F.col(score) > F.lit(value)
-    within = at_edge if tie is None else at_edge & _before(df, tie_break, tie["keys"])
+    within = at_edge if tie is None else at_edge & _before(df, tie_break, tie.keys)
     # The first test is implied by the second, but alone it can reach the scan.
     reach = F.lit(True) if value is None else F.col(score) >= F.lit(value)
     return df.filter(reach & (above | within))

@@ -21,14 +21,13 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clipquarry.operators.exact import ROWS, Adder, adder
 from clipquarry.session import freeze, require_batch
 
 ONE_TASK_ROWS = 1_000_000  # of ~40 bytes each: what one ordering task may be given
 BROADCAST_ROWS = 200_000  # what a broadcast may hold
 BROADCAST_BYTES = 64 << 20
 
-EXACT_AMOUNT = T.DecimalType(28, 10)  # what floating amounts are added as
-
 _FIRST, _BEFORE = Window.unboundedPreceding, Window.currentRow
 
 
@@ -56,39 +55,31 @@ def broadcast_if_small(stored: DataFrame) -> DataFrame:
 
 
 def score_totals(
-    df: DataFrame, score: str | Sequence[str], amount: Column, parts: Sequence[str] = ()
+    df: DataFrame, score: str | Sequence[str], amount: Column, parts: Sequence[str] = (), add: Adder | None = None
 ) -> DataFrame:
-    """One stored row per distinct (parts, score): the summed ``_amount`` (null without any) and the
-    ``_rows``. Floating amounts are added as decimals, so that their order does not matter."""
+    """One stored row per distinct (parts, score): the sums of the amount (null without any) and the
+    ``_rows``."""
     require_batch(df, "score_totals")
-    if isinstance(df.select(amount.alias("a")).schema["a"].dataType, (T.FloatType, T.DoubleType)):
-        amount = amount.cast(EXACT_AMOUNT)
+    add = adder(df, amount) if add is None else add
     scores = [score] if isinstance(score, str) else list(score)
-    return freeze(
-        df.groupBy(*parts, *scores).agg(
-            F.sum(amount).alias("_amount"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
-    )
+    return freeze(df.groupBy(*parts, *scores).agg(*add.sums(amount), F.count(F.lit(1)).alias("_rows")))
 
 
 def running_total(
     totals: DataFrame,
     order: Sequence[Column],
-    amount: str,
+    add: Adder,
     out: str,
     parts: Sequence[str] = (),
     one_task_rows: int | None = None,
+    start: Sequence[int] = (),
 ) -> DataFrame:
-    """Running sum of ``amount`` over the rows of a stored table in ``order``, within ``parts``: null
-    before the first amount that is not. Decimals come back as doubles."""
+    """Running total over the rows of a stored table in ``order``, within ``parts``, on from the sums
+    ``start``: null before the first amount that is not. The sums behind it are in ``_run`` columns."""
     one_task_rows = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
-    plain = lambda df: (
-        df.withColumn(out, F.col(out).cast("double")) if isinstance(df.schema[out].dataType, T.DecimalType) else df
-    )
     if totals.count() <= one_task_rows:
-        window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(_FIRST, _BEFORE)
-        return plain(totals.withColumn(out, F.sum(amount).over(window)))
+        run = add.run(totals, Window.partitionBy(*parts).orderBy(*order).rowsBetween(_FIRST, _BEFORE))
+        return _finished(run, add, out, start)
 
     # The partition number must not change between the two uses, so it is stored with the rows.
     ranged = freeze(
@@ -99,18 +90,21 @@ def running_total(
     inside = Window.partitionBy(*parts, "_range").orderBy(*order).rowsBetween(_FIRST, _BEFORE)
     # One row per (parts, range): as many as there are shuffle partitions, plus one per part.
     earlier = Window.partitionBy(*parts).orderBy("_range").rowsBetween(_FIRST, -1)
-    shifts = (
-        ranged.groupBy(*parts, "_range")
-        .agg(F.sum(amount).alias("_shift"))
-        .withColumn("_shift", F.sum("_shift").over(earlier))
-    )
-    shifted = null_safe_join(
-        ranged.withColumn(out, F.sum(amount).over(inside)),
-        broadcast_if_small(shifts),
-        [*parts, "_range"],
-    )
-    both = F.coalesce(F.col(out) + F.col("_shift"), F.col(out), F.col("_shift"))
-    return plain(shifted.withColumn(out, both)).drop("_range", "_shift")
+    shifts = ranged.groupBy(*parts, "_range").agg(*[F.sum(n).alias(n) for n in add.names])
+    shifts = add.run(shifts, earlier, "_shift").drop(*add.names)
+    run = null_safe_join(add.run(ranged, inside), broadcast_if_small(shifts), [*parts, "_range"])
+    both = {
+        f"_run{n}": F.coalesce(F.col(f"_run{n}") + F.col(f"_shift{n}"), F.col(f"_run{n}"), F.col(f"_shift{n}"))
+        for n in add.names
+    }
+    run = run.withColumns(both).drop("_range", *[f"_shift{n}" for n in add.names])
+    return _finished(run, add, out, start)
+
+
+def _finished(run: DataFrame, add: Adder, out: str, start: Sequence[int] = ()) -> DataFrame:
+    if any(start):
+        run = run.withColumns({f"_run{n}": F.col(f"_run{n}") + F.lit(s) for n, s in zip(add.names, start)})
+    return run.withColumn(out, add.value(add.columns()))
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
@@ -131,17 +125,18 @@ def _bin(score: str) -> Column:
 
 
 def coarse_totals(
-    df: DataFrame, score: str, amount: Column, parts: Sequence[str] = ()
+    df: DataFrame, score: str, amount: Column, parts: Sequence[str] = (), add: Adder | None = None
 ) -> DataFrame:
     """One stored row per (parts, bin of scores): what is needed to know where an exact total lies."""
     require_batch(df, "coarse_totals")
+    add = adder(df, amount) if add is None else add
     value = F.col(score).cast("double")
     return freeze(
         df.groupBy(*parts, _bin(score).alias("_bin")).agg(
-            F.coalesce(F.sum(amount), F.lit(0)).alias("_amount"),
+            *add.sums(amount, empty=True),
             F.min(amount).alias("_least"),
             F.count(amount).alias("_known"),
-            F.count(F.lit(1)).alias("_rows"),
+            F.count(F.lit(1)).alias("_all"),
             F.min(score).alias("_low"),
             F.max(score).alias("_high"),
             F.avg(value).alias("_mean"),
@@ -165,17 +160,24 @@ def coarse_budget(
     out: str,
     limit: int | float,
     parts: Sequence[str] = (),
+    add: Adder | None = None,
 ) -> Coarse:
     """One pass over ``df`` to narrow a budget down. Amounts below zero make totals fall again, so
     they rule a floor out."""
     if not is_numeric(df, score):
         return Coarse(None, None)
+    add = adder(df, amount) if add is None else add
     down = Window.partitionBy(*parts).orderBy(F.col("_bin").desc_nulls_last())
     so_far = down.rowsBetween(_FIRST, _BEFORE)
-    totals = coarse_totals(df, score, amount, parts).withColumns(
-        {out: F.sum("_amount").over(so_far), "_known": F.sum("_known").over(so_far)}
+    totals = add.run(coarse_totals(df, score, amount, parts, add), so_far)
+    totals = totals.withColumns(
+        {
+            out: add.value(add.columns()),
+            "_earlier": add.value([r - F.col(n) for r, n in zip(add.columns(), add.names)]),
+            "_known": F.sum("_known").over(so_far),
+        }
     )
-    within = F.col(out) - F.col("_amount") <= limit
+    within = F.col("_earlier") <= limit
     one_score = F.col("_low").eqNullSafe(F.col("_high"))
     found = totals.agg(
         F.min(F.when(within, F.col("_low"))).alias("lowest"),
@@ -186,12 +188,19 @@ def coarse_budget(
     if (found["least"] or 0) < 0:
         return Coarse(None, None)
     running = F.when(F.col("_known") > 0, F.col(out)).alias(out)
-    exact = totals.filter(within).select(*parts, F.col("_low").alias(score), "_amount", running)
+    exact = totals.filter(within).select(*parts, F.col("_low").alias(score), running)
     return Coarse(
         None if found["nulls"] else found["lowest"], exact if found["exact"] else None
     )
 
 
+class Edge(NamedTuple):
+    """A group of equal keys, and the sums of the amounts before it."""
+
+    keys: Row
+    before: tuple[int, ...]
+
+
 def first_overflow(
     df: DataFrame,
     keys: Sequence[str],
@@ -199,33 +208,36 @@ def first_overflow(
     limit: int | float,
     down: bool,
     one_task_rows: int | None = None,
-) -> Row | None:
+    add: Adder | None = None,
+    start: Sequence[int] = (),
+) -> Edge | None:
     """The first group of equal ``keys``, in descending order with nulls last or ascending with nulls
-    first, whose running total is over ``limit``: its ``keys`` and the total ``before`` it. None when
-    all amounts, which must not be negative, fit. For one numeric key only the bin that holds the
-    overflow gets exact totals."""
-    reached = 0
+    first, whose running total, on from the sums ``start``, is over ``limit``. None when all amounts,
+    which must not be negative, fit. For one numeric key only the bin that holds the overflow gets
+    exact totals."""
+    add = adder(df, amount) if add is None else add
     if len(keys) == 1 and is_numeric(df, keys[0]):
         order = F.col("_bin").desc_nulls_last() if down else F.col("_bin").asc_nulls_first()
         window = Window.orderBy(order).rowsBetween(_FIRST, _BEFORE)  # a bounded number of bins
-        totals = coarse_totals(df, keys[0], amount)
-        totals = totals.withColumn("_total", F.sum("_amount").over(window))
+        totals = add.run(coarse_totals(df, keys[0], amount, (), add), window)
+        totals = _finished(totals, add, "_total", start)
         found = totals.filter(F.col("_total") > limit).orderBy(order).first()
         if found is None:
             return None
-        reached, low, high = found["_total"] - found["_amount"], found["_low"], found["_high"]
+        start, low, high = _sums_before(found, add), found["_low"], found["_high"]
         if low == high:
-            return Row(keys=Row(low), before=reached)
+            return Edge(Row(low), start)
         df = df.filter(F.col(keys[0]).between(F.lit(low), F.lit(high)))
 
     order = [F.col(k).desc_nulls_last() if down else F.col(k).asc_nulls_first() for k in keys]
-    totals = score_totals(df, keys, amount)
-    totals = running_total(totals, order, "_amount", "_total", (), one_task_rows)
-    found = totals.filter(F.col("_total") + reached > limit).orderBy(*order).first()
-    if found is None:
-        return None
-    group = Row(*[found[k] for k in keys])
-    return Row(keys=group, before=reached + found["_total"] - found["_amount"])
+    totals = score_totals(df, keys, amount, (), add)
+    totals = running_total(totals, order, add, "_total", (), one_task_rows, start)
+    found = totals.filter(F.col("_total") > limit).orderBy(*order).first()
+    return None if found is None else Edge(Row(*[found[k] for k in keys]), _sums_before(found, add))
+
+
+def _sums_before(row: Row, add: Adder) -> tuple[int, ...]:
+    return tuple(row[f"_run{n}"] - row[n] for n in add.names)
 
 
 def quantile_row(
@@ -241,7 +253,7 @@ def quantile_row(
 
     One pass makes a coarse histogram, with each bin's mean and variance. A second pass counts the
     distinct values of just the bins that hold a wanted rank. Only finished rows reach the driver."""
-    coarse = coarse_totals(df.filter(F.col(value).isNotNull()), value, F.lit(1))
+    coarse = coarse_totals(df.filter(F.col(value).isNotNull()), value, F.lit(1), (), ROWS)
     up = Window.orderBy("_bin").rowsBetween(_FIRST, _BEFORE)  # a bounded number of bins
     coarse = coarse.withColumn("_last", F.sum("_rows").over(up))
     weighted = F.sum(F.col("_mean") * F.col("_rows"))
@@ -269,8 +281,8 @@ def quantile_row(
         inside = reduce(
             lambda a, b: a | b, [F.col(value).between(F.lit(x), F.lit(y)) for x, y in ranges]
         )
-        totals = score_totals(df.filter(inside), value, F.lit(1))
-        ranked = running_total(totals, [F.col(value).asc()], "_rows", "_rank", (), one_task_rows)
+        totals = df.filter(inside).groupBy(value).agg(*ROWS.sums(F.lit(1)))
+        ranked = running_total(freeze(totals), [F.col(value).asc()], ROWS, "_rank", (), one_task_rows)
         # Rows of wanted bins further down stand before a bin in this ranking too.
         lower = {r: F.when(F.col(value) < F.lit(found[f"low{r}"]), F.col("_rank")) for r in open_ranks}
         shifts = ranked.agg(

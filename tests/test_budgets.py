@@ -1,4 +1,6 @@
 import random
+from decimal import Decimal
+from fractions import Fraction
 from itertools import groupby
 
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clipquarry.operators import budgets, ordering
+from clipquarry.operators.exact import adder
 from clipquarry.operators.prefix import quantile_row
 from clipquarry.plans import curation
 
@@ -198,3 +201,72 @@ def test_a_cap_below_the_limit_is_refused(spark):
         curation.curate_basic(spark.range(1), "email", limit=100, cap=50)
     with pytest.raises(ValueError, match="can lose rows"):
         curation.curate_categories(spark.range(1), ["email"], limit=100, cap=50)
+
+
+# --- exact totals of floating amounts ---------------------------------------------------------------
+
+
+def odd_amounts(n, seed):
+    draw = random.Random(seed)
+    sizes = [lambda: draw.random() / 3, lambda: 10.0 ** draw.uniform(-300, 300), lambda: draw.randrange(1000) / 8,
+             lambda: 5e-324 * draw.randrange(1, 9), lambda: 0.0, lambda: 1e19, lambda: 1e-11, lambda: 0.1]
+    return [draw.choice(sizes)() for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_sums_of_any_doubles_are_exact(spark, seed):
+    amounts = odd_amounts(300, seed)
+    amounts += [-a for a in odd_amounts(200, seed + 9)]
+    df = spark.createDataFrame([(a,) for a in amounts], "x double").repartition(5)
+    add = adder(df, F.col("x"))
+    found = df.agg(*add.sums(F.col("x"))).select(add.value([F.col(n) for n in add.names]).alias("t")).first()["t"]
+    want = sum(map(Fraction, amounts))
+    assert found == pytest.approx(float(want), rel=1e-15)
+    kept = sum(Fraction(2) ** (24 * (add.low + k)) * v for k, v in enumerate(df.agg(*add.sums(F.col("x"))).first()))
+    assert kept == want
+
+
+@pytest.mark.parametrize("seed, ways", [(0, [(None, 5)]), (1, [(None, 3), (0, 7)])])
+def test_limits_keep_the_same_rows_as_totals(spark, seed, ways):
+    draw = random.Random(seed)
+    rows = [(draw.choice([None, 7.0, 7.0, draw.uniform(0, 60)]), a, i) for i, a in enumerate(odd_amounts(250, seed))]
+    if seed:  # sizes that meet, so that lower limbs decide; seed 0 has all sizes from 1e-300 to 1e300
+        rows = [(s, draw.random() * 10 ** draw.randrange(-9, 3), i) for s, _, i in rows]
+    df = spark.createDataFrame(rows, "score double, amount double, id int")
+    whole = {r["id"]: r["running_total"] for r in budgets.running_budget(df, "score", "amount").collect()}
+    totals, total = {}, Fraction(0)
+    for s, group in groupby(sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0))), key=lambda r: r[0]):
+        totals[s] = total = total + sum(Fraction(r[1]) for r in group)
+    assert all(whole[i] == pytest.approx(float(totals[s]), rel=1e-15) for s, _, i in rows)
+    for limit in sorted(whole.values())[90::100 if seed else 200]:
+        want = {i: t for i, t in whole.items() if t <= limit}
+        for way, parts in ways:
+            found = budgets.running_budget(df.repartition(parts), "score", "amount", limit=limit, one_task_rows=way)
+            assert {r["id"]: r["running_total"] for r in found.collect()} == want
+        kept = budgets.take_within_budget(df.repartition(4), "score", "amount", limit, ["id"])
+        total, want = Fraction(0), set()
+        for s, a, i in sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[2])):
+            total += Fraction(a)
+            if float(total) > limit:
+                break
+            want.add(i)
+        assert {r["id"] for r in kept.collect()} == want
+
+
+def test_three_tenths(spark):
+    df = spark.createDataFrame([(1, 0.1), (1, 0.1), (1, 0.1)], "score int, amount double")
+    whole = budgets.running_budget(df, "score", "amount").collect()
+    assert {r["running_total"] for r in whole} == {float(3 * Fraction(0.1))}
+    for limit in (0.3, float(3 * Fraction(0.1))):
+        kept = budgets.running_budget(df, "score", "amount", limit=limit).count()
+        assert kept == sum(r["running_total"] <= limit for r in whole)
+
+
+def test_decimals_stay_decimals_and_endless_amounts_are_refused(spark):
+    df = spark.createDataFrame([(2, Decimal("0.10")), (1, Decimal("0.20")), (0, Decimal("0.01"))], "s int, a decimal(9,2)")
+    found = budgets.running_budget(df, "s", "a", limit=Decimal("0.30")).collect()
+    assert sorted(r["running_total"] for r in found) == [Decimal("0.10"), Decimal("0.30")]
+    assert budgets.take_within_budget(df, "s", "a", Decimal("0.30"), ["s"]).count() == 2
+    for bad in (float("inf"), float("nan")):
+        with pytest.raises(ValueError, match="finite"):
+            budgets.running_budget(spark.createDataFrame([(1, bad)], "s int, a double"), "s", "a", limit=1)
