@@ -225,3 +225,58 @@ def test_a_category_is_published(spark, tmp_path, category):
         assert "total_duration: 100" in log and f"mean_{category}_count: 5.000" in log
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+# --- taggers that take few words at a time ----------------------------------------------------------
+
+
+def counting_tagger(limit, calls=None):
+    """Marks a word that stands in the same call before; refuses long inputs."""
+
+    def make():
+        def tag(chunks):
+            if max(map(len, chunks)) > limit or len(chunks) > 4:
+                raise ValueError("too much at once")
+            return [["R" if w in words[:i] else "O" for i, w in enumerate(words)] for words in chunks]
+
+        return tag
+
+    return make
+
+
+def slow_tags(words, size, context):
+    out = []
+    for i, w in enumerate(words):
+        first = i - i % size
+        out.append("R" if w in words[max(first - min(context, size), 0) if first else 0:i] else "O")
+    return out
+
+
+@pytest.mark.parametrize("size, context", [(512, 10), (5, 2), (3, 7), (1, 0)])
+def test_chunks_are_tagged_with_their_context(spark, size, context):
+    rows = [(0, None), (1, ""), (2, " \n"), (3, "a"), (4, "a b a"), (5, "x y " * 700), (6, " ".join(str(k % 37) for k in range(2_000)))]
+    rows += [(10 + k, "w " * k) for k in range(30)]
+    df = spark.createDataFrame(rows, "id int, transcript string").repartition(3)
+    options = {"size": size, "context": context, "together": 4}
+    want = {i: slow_tags(t.split(), size, context) for i, t in rows if t is not None}
+    whole = {r["id"]: r for r in metrics.annotate_chunked(df, counting_tagger(size + context), **options).collect()}
+    assert {i: r["tags"] for i, r in whole.items() if i} == want and whole[0]["tags"] is None
+    assert all(whole[i]["tokens"] == t.split() for i, t in rows if i)
+    chunks = metrics.tag_chunks(df, counting_tagger(size + context), **options).orderBy("id", "chunk").collect()
+    joined = {}
+    for r in chunks:
+        joined.setdefault(r["id"], []).extend(r["tags"])
+    assert joined == {i: t for i, t in want.items() if t}
+
+
+def test_a_text_of_a_hundred_thousand_words(spark):
+    words = [str(k * k % 1_009) for k in range(100_000)]
+    df = spark.createDataFrame([(1, " ".join(words))], "id int, transcript string")
+    tags = metrics.annotate_chunked(df, counting_tagger(522), together=4).first()["tags"]
+    assert tags == slow_tags(words, 512, 10)
+
+
+def test_taggers_that_lose_words_are_refused():
+    for tagger in (lambda chunks: [w[1:] for w in chunks], lambda chunks: []):
+        with pytest.raises(ValueError, match="returned"):
+            list(metrics.tag_together(iter([([], ["a", "b"])]), tagger, 4))

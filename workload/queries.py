@@ -751,6 +751,29 @@ def w2_running_budget_null_amounts(spark, sf_dir):
     return found.select("event_id", F.col("running_total").cast("long").alias("running_total"))
 
 
+# Floating amounts as whole multiples of 2 ** -60, which is exact for those of the table.
+_FRACTIONS = "CAST(value * 1152921504606846976 AS HUGEINT)"
+
+
+@query(
+    f"SELECT event_id, CAST(total // 1152921504606846976 AS BIGINT) AS whole FROM (SELECT event_id, sum({_FRACTIONS}) OVER "
+    "(PARTITION BY event_type ORDER BY user_id DESC) AS total FROM events) WHERE total <= CAST(5000.5 * 1152921504606846976 AS HUGEINT)"
+)
+def w2_running_budget_fractions(spark, sf_dir):
+    events = fx.table(spark, sf_dir, "events", ["event_id", "event_type", "user_id", "value"])
+    found = budgets.running_budget(events, "user_id", "value", "total", ["event_type"], 5000.5)
+    return found.select("event_id", F.floor("total").alias("whole"))
+
+
+@query(
+    f"SELECT event_id FROM (SELECT event_id, sum({_FRACTIONS}) OVER (ORDER BY user_id DESC, event_id ROWS UNBOUNDED PRECEDING) "
+    "AS total FROM events) WHERE total <= CAST(20000.25 * 1152921504606846976 AS HUGEINT)"
+)
+def w4_take_within_budget_fractions(spark, sf_dir):
+    events = fx.table(spark, sf_dir, "events", ["event_id", "user_id", "value"])
+    return budgets.take_within_budget(events, "user_id", "value", 20000.25, ["event_id"]).select("event_id")
+
+
 @query(
     with_(
         q.CLIPS,
@@ -1649,6 +1672,66 @@ def d1_annotate(spark, sf_dir):
     )
 
 
+@query(
+    with_(
+        q.DOCUMENT_TAGS,
+        select="SELECT doc_id, count(*) AS n_tokens, sha256(string_agg(tag, ' ' ORDER BY i)) AS tags, "
+        "count(*) FILTER (WHERE tag LIKE 'I-%') AS n_inside FROM doc_tags GROUP BY doc_id",
+    )
+)
+def d1_annotate_chunked(spark, sf_dir):
+    """Whole texts through a tagger that takes 522 words and looks at the word before."""
+
+    def name_tagger():
+        import re
+
+        name = re.compile("[A-Z][a-z]+").fullmatch
+        kinds = ["person", "location", "group"]
+
+        def tag(chunks):
+            if max(map(len, chunks)) > 522:
+                raise ValueError("more words than the tagger takes")
+            return [
+                [("I-" if i and name(words[i - 1]) else "B-") + kinds[len(w) % 3] if name(w) else "O" for i, w in enumerate(words)]
+                for words in chunks
+            ]
+
+        return tag
+
+    docs = metrics.annotate_chunked(fx.table(spark, sf_dir, "documents", ["doc_id", "text"]), name_tagger, "text")
+    return docs.filter(F.size("tokens") > 0).select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("tags", " "), 256).alias("tags"),
+        F.size(F.filter("tags", lambda t: t.startswith("I-"))).cast("long").alias("n_inside"),
+    )
+
+
+@query(
+    with_(
+        q.words(),
+        "seen AS (SELECT doc_id, p, p // 512 AS chunk, lag(p) OVER (PARTITION BY doc_id, word ORDER BY p) AS before FROM word_rows)",
+        select="SELECT doc_id, chunk, count(*) AS n_tokens, CAST(coalesce(sum(p % 512) FILTER (WHERE before >= chunk * 512 - 10), 0) "
+        "AS BIGINT) AS repeated FROM seen GROUP BY doc_id, chunk",
+    )
+)
+def d1_tag_chunks(spark, sf_dir):
+    """A tagger that marks words it has seen in the same call: context counts, words before it do not."""
+
+    def repeat_tagger():
+        return lambda chunks: [["R" if w in words[:i] else "O" for i, w in enumerate(words)] for words in chunks]
+
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "text"])
+    rows = metrics.tag_chunks(docs, repeat_tagger, "text", ["doc_id"])
+    places = F.transform("tags", lambda t, i: F.when(t == "R", i).otherwise(0).cast("long"))
+    return rows.select(
+        "doc_id",
+        F.col("chunk").cast("long").alias("chunk"),
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.aggregate(places, F.lit(0).cast("long"), lambda a, x: a + x).alias("repeated"),
+    )
+
+
 @query(
     with_(
         q.TRANSCRIPTS,
