@@ -18,6 +18,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settled(value: Column) -> Column:
+    """``value`` as a column that no optimizer rule moves into the expressions that use it: a Python function takes no
+    argument whose lambdas are renamed on the way, as those of sorting are."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def positions(array: Column) -> Column:
     """0 to size-1; empty for an empty array."""
     return F.when(F.size(array) > 0, F.sequence(F.lit(0), F.size(array) - 1)).otherwise(

@@ -3,6 +3,9 @@ scoring a corpus needs no shuffle until the counts are summed."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -157,57 +160,79 @@ def densify_labels(pieces: Column | str, entities: Column | str) -> Column:
 def align_tokens(actual: Column | str, pieces: Column | str, labels: Column | str) -> Column:
     """Labels for ``actual`` words from the labels of sub-word ``pieces``, glued greedily: a word is
     labelled by the piece that completes it, and ``O`` when the glued text departs from it; the
-    departing piece is tried on the next word, the ones before it are spent.
-
-    One fold over at most words + pieces moves. Each move either takes a piece into the current word
-    or goes to the next word."""
-
-    def fold(given: Column) -> Column:
-        words, parts, tags = given["words"], given["parts"], given["tags"]
-        start = F.struct(
-            F.lit(0).alias("word"),
-            F.lit(0).alias("piece"),
-            F.lit("").alias("glued"),
-            no_strings().alias("out"),
-        )
-
-        def move(state: Column, _: Column) -> Column:
-            # Written out rather than bound with ``let``, which would copy the state in every move.
-            target = F.get(words, state["word"])
-            glued = F.concat(state["glued"], F.get(parts, state["piece"]))
-            complete = glued == target
-            take = F.struct(
-                state["word"].alias("word"),
-                (state["piece"] + 1).alias("piece"),
-                glued.alias("glued"),
-                state["out"].alias("out"),
-            )
-            label = F.when(complete, F.get(tags, state["piece"])).otherwise(OUTSIDE)
-            go_on = F.struct(
-                (state["word"] + 1).alias("word"),
-                (state["piece"] + complete.cast("int")).alias("piece"),
-                F.lit("").alias("glued"),
-                F.concat(state["out"], F.array(label)).alias("out"),
-            )
-            done = (state["word"] >= F.size(words)) | (state["piece"] >= F.size(parts))
-            growing = F.startswith(target, glued) & ~complete
-            return F.when(done, state).when(growing, take).otherwise(go_on)
-
-        moves = F.concat(positions(words), positions(parts))
-        found = F.aggregate(moves, start, move, lambda s: s["out"])
-        return let(
-            found,
-            lambda out: F.concat(
-                out, F.array_repeat(F.lit(OUTSIDE), F.size(words) - F.size(out))
-            ),
-        )
-
-    given = F.struct(
-        col(actual).alias("words"),
-        F.transform(col(pieces), _bare).alias("parts"),
-        col(labels).alias("tags"),
-    )
-    return let(given, fold)
+    departing piece is tried on the next word, the ones before it are spent. Null arrays give null; a
+    null word is ``O``, a null piece completes no word.
+
+    Where the pieces spell the words, the ends of both are sorted lists of running lengths, and a word's
+    piece is found by its end, for all rows of a batch at once. Other rows are glued piece by piece from
+    the first word whose end is no end of a piece. Either way the work is linear in words and pieces."""
+    bare = F.transform(col(pieces), _bare)
+    found = F.arrow_udf(_aligned, "array<string>").asNondeterministic()  # keeps it out of lambdas
+    return found(col(actual), bare, col(labels))
+
+
+def _aligned(words: pa.Array, parts: pa.Array, labels: pa.Array) -> pa.Array:
+    out: list[list[str] | None] = []
+    ends = [_ends(words), _ends(parts)]
+    for r in range(len(words)):
+        if not (words[r].is_valid and parts[r].is_valid and labels[r].is_valid):
+            out.append(None)
+            continue
+        given, tags = [ends[0][r], ends[1][r]], labels[r].as_py()
+        first, used, found = 0, 0, []
+        if given[0] is not None and given[1] is not None and len(given[0][0]) and len(given[1][0]):
+            (stops, text), (cuts, glued) = given
+            at = np.searchsorted(cuts, stops)
+            fits = at < len(cuts)
+            fits[fits] = cuts[at[fits]] == stops[fits]
+            same = _common(text, glued)
+            fits &= stops <= same
+            first = len(stops) if fits.all() else int(np.argmin(fits))
+            picked = at[:first].tolist()
+            found, used = [tags[k] if k < len(tags) else None for k in picked], picked[-1] + 1 if picked else 0
+        if first < len(words[r]):
+            found += _glued(words[r].as_py()[first:], parts[r].as_py(), tags, used)
+        out.append(found)
+    return pa.array(out, pa.list_(pa.string()))
+
+
+def _ends(lists: pa.Array) -> list[tuple[np.ndarray, bytes] | None]:
+    """Of each list of strings: where each string ends in all of them put together, and these. None for lists with
+    nulls or empty strings, whose ends do not tell them apart."""
+    flat = lists.flatten().cast(pa.string()).fill_null("")
+    _, offsets, data = flat.buffers()
+    stops = np.frombuffer(offsets, np.int32)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int32)
+    sizes, data = np.diff(stops), memoryview(data or b"")
+    counts = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    last = np.cumsum(counts)
+    out = []
+    for b, n in zip(last.tolist(), counts.tolist()):
+        a = b - n
+        plain = bool((sizes[a:b] > 0).all())
+        out.append((stops[a + 1:b + 1] - stops[a], bytes(data[stops[a]:stops[b]])) if plain else None)
+    return out
+
+
+def _common(one: bytes, other: bytes) -> int:
+    """How many bytes two texts share from the start."""
+    n = min(len(one), len(other))
+    if one[:n] == other[:n]:
+        return n
+    differ = np.frombuffer(one, np.uint8, n) != np.frombuffer(other, np.uint8, n)
+    return int(np.argmax(differ))
+
+
+def _glued(words: list[str | None], parts: list[str | None], tags: list[str], used: int) -> list[str | None]:
+    out = []
+    for word in words:
+        label, done = OUTSIDE, 0
+        while used < len(parts) and word is not None and parts[used] is not None and word.startswith(parts[used], done):
+            done, used = done + len(parts[used]), used + 1
+            if done == len(word):
+                label = tags[used - 1] if used <= len(tags) else None
+                break
+        out.append(label)
+    return out
 
 
 def merge_entities(words: Column | str, labels: Column | str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipquarry.functions.columns import settled
 from clipquarry.functions.tags import (
     align_tokens,
     densify_labels,
@@ -29,7 +30,7 @@ def word_predictions(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def piece_predictions(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """The same from ``pieces`` and sparse ``entities``: one label per piece, then per word."""
-    dense = df.withColumn("_labels", densify_labels("pieces", "entities"))
+    dense = df.withColumn("_labels", settled(densify_labels("pieces", "entities")))
     return dense.withColumns(
         {
             "pred": align_tokens("tokens", "pieces", "_labels"),

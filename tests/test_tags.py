@@ -1,4 +1,7 @@
 import random
+import time
+
+import pyarrow as pa
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +85,44 @@ def test_align_against_brute_force(spark):
         assert row["x"] == aligned_by_hand(row["a"], row["p"], row["l"]), row
 
 
+def test_align_rows_of_one_batch():
+    """Nulls, empty strings, departures in the middle, letters of several bytes, missing labels."""
+    draw, cases = random.Random(4), [(None, [], []), (["a"], None, []), ([], ["a"], ["L"]), (["a"], [], [])]
+    cases += [(["é", "日本", "x"], ["é", "日", "本", "y"], ["A", "B", "C", "D"]), (["", "a"], ["", "a"], ["A", "B"])]
+    for _ in range(500):
+        words = ["".join(draw.choices("aé日", k=draw.randint(0 if draw.random() < 0.1 else 1, 4))) for _ in range(draw.randint(0, 8))]
+        pieces = []
+        for word in words:
+            while word:
+                k = draw.randint(1, len(word))
+                pieces.append(word[:k])
+                word = word[k:]
+        for _ in range(draw.randint(0, 2)):
+            if pieces:
+                pieces[draw.randrange(len(pieces))] = draw.choice(["a", "zz", "", "é"])
+        cases.append((words, pieces, [f"L{i}" for i in range(len(pieces))]))
+    strings = pa.list_(pa.string())
+    found = tg._aligned(*[pa.array([c[i] for c in cases], strings) for i in range(3)]).to_pylist()
+    for case, labels in zip(cases, found):
+        assert labels == (None if None in case else aligned_by_hand(*case)), case
+
+
+def test_alignment_is_linear():
+    def seconds(n, hurt):
+        words = [f"word{i}x" for i in range(n)]
+        pieces = [p for w in words for p in (w[:3], w[3:5], w[5:])]
+        if hurt:
+            pieces[3] = "?"
+        arrays = [pa.array([x], pa.list_(pa.string())) for x in (words, pieces, pieces)]
+        start = time.perf_counter()
+        tg._aligned(*arrays)
+        return time.perf_counter() - start
+
+    for hurt in (False, True):
+        seconds(8_000, hurt)
+        assert min(seconds(80_000, hurt) for _ in range(3)) < 30 * min(seconds(8_000, hurt) for _ in range(3))
+
+
 def test_densify(spark):
     schema = f"p {STRINGS}, e array<struct<index:int,word:string,entity:string>>"
     pieces = ["New", "York", "Ci", "##ty", "x"]

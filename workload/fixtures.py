@@ -52,6 +52,12 @@ def stored(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return read
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a hash of their key, as a table of any size is stored: an input may be one block of one file,
+    which a single task would read and derive everything from."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _category(evidence: Column, n_words: Column) -> Column:
     count = F.size(evidence).cast("long")
     density = F.when(n_words > 0, count / n_words).otherwise(F.lit(0.0))
@@ -65,7 +71,7 @@ def _category(evidence: Column, n_words: Column) -> Column:
 
 @stored
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = dealt(table(spark, sf_dir, "documents"), "doc_id")
     doc_id = F.col("doc_id").cast("string")
     ext = F.get(F.array(*[F.lit(e) for e in AUDIO]), (F.col("doc_id") % 5).cast("int"))
     evidence = {c: F.regexp_extract_all("text", F.lit(p), F.lit(0)) for c, p in PATTERNS.items()}
@@ -108,7 +114,7 @@ def tag_of(tokens: Column, w: Column, i: Column) -> Column:
 @stored
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``transcripts`` with ``entities``, ``tags`` and ``pos``."""
-    split = transcripts(spark, sf_dir).withColumn("tokens", tx.words("human_transcript_text"))
+    split = dealt(transcripts(spark, sf_dir), "raw_filepath").withColumn("tokens", tx.words("human_transcript_text"))
     tokens = F.col("tokens")
     labels = F.array(*[F.lit(x) for x in ENTITY_LABELS])
     names = F.regexp_extract_all("human_transcript_text", F.lit("[A-Z][A-Za-z]*"), F.lit(0))
@@ -170,6 +176,7 @@ def pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select(doc_id.alias("id"), uri.alias("transcript_gcs_uri"))
 
 
+@stored
 def vendor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as vendor JSON, one entry per line; French ones start with a byte order mark."""
     entries = F.transform(
@@ -180,7 +187,7 @@ def vendor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     mark = F.when(F.col("lang") == "fr", "\ufeff").otherwise("")
     doc_id = F.col("doc_id").cast("string")
-    return table(spark, sf_dir, "documents").select(
+    return dealt(table(spark, sf_dir, "documents"), "doc_id").select(
         F.concat(F.lit("gs://bkt/v/"), doc_id, F.lit(".json")).alias("uri"),
         F.concat(mark, F.to_json(entries)).alias("document"),
     )
@@ -204,7 +211,7 @@ def _blocks(spark: SparkSession, sf_dir: str, word: str) -> DataFrame:
         return F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(0), last), cut))
 
     words = F.regexp_extract_all("text", F.lit(word), F.lit(0))
-    cut = table(spark, sf_dir, "documents").select(
+    cut = dealt(table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id").select(
         "doc_id", F.posexplode(let(words, blocks)).alias("_b", "tokens")
     )
     sent_id = F.concat_ws("-", F.col("doc_id").cast("string"), F.col("_b").cast("string"))
@@ -281,4 +288,4 @@ def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STORED_FIXTURES = [clips, annotated, tagged_sentences, piece_sentences]
+STORED_FIXTURES = [clips, annotated, tagged_sentences, piece_sentences, vendor_documents]

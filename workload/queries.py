@@ -1509,14 +1509,30 @@ def x17_first_subword_labels(spark, sf_dir):
 @query(
     with_(
         q.PIECES,
-        select="SELECT sent_id, string_agg(piece_tag, ' ' ORDER BY i) AS labels FROM pieces "
-        "WHERE k = last_k GROUP BY sent_id",
+        "hurt AS (SELECT *, min(i) FILTER (WHERE length(word) % 13 = 0) OVER (PARTITION BY sent_id) AS first_hurt FROM pieces)",
+        select="SELECT sent_id, string_agg(piece_tag, ' ' ORDER BY i) AS labels, string_agg(CASE WHEN length(word) % 5 = 0 "
+        "OR i >= first_hurt THEN 'O' ELSE piece_tag END, ' ' ORDER BY i) AS hurt_labels FROM hurt WHERE k = last_k GROUP BY sent_id",
     )
 )
 def x18_align_tokens(spark, sf_dir):
+    """Whole pieces; and damaged ones: words of 5, 10, … letters that are spelt differently and lost their pieces, and pieces
+    of words of 13, 26, … letters that end in a sign no word has, on which the rest of the sentence is stuck."""
     pieces = fx.piece_sentences(spark, sf_dir)
-    labels = tags.align_tokens("tokens", "pieces", F.slice("subword_tags", 2, F.size("pieces")))
-    return pieces.select("sent_id", F.array_join(labels, " ").alias("labels"))
+    given = F.slice("subword_tags", 2, F.size("pieces"))
+    word_of = F.slice("word_ids", 2, F.size("pieces"))
+    letters = lambda p: F.length(F.get("tokens", p["word"]))
+    whole = F.transform(F.arrays_zip(F.col("pieces").alias("piece"), word_of.alias("word"), given.alias("tag")), lambda p: p)
+    left = F.transform(
+        F.filter(whole, lambda p: letters(p) % 5 != 0),
+        lambda p: F.struct(F.when(letters(p) % 13 == 0, F.concat(p["piece"], F.lit("¤"))).otherwise(p["piece"]).alias("piece"), p["tag"].alias("tag")),
+    )
+    words = F.transform("tokens", lambda w: F.when(F.length(w) % 5 == 0, F.concat(F.lit("¤"), w)).otherwise(w))
+    hurt = pieces.select("sent_id", "tokens", "pieces", given.alias("given"), words.alias("words"), left.alias("left"))
+    return hurt.select(
+        "sent_id",
+        F.array_join(tags.align_tokens("tokens", "pieces", "given"), " ").alias("labels"),
+        F.array_join(tags.align_tokens("words", "left.piece", "left.tag"), " ").alias("hurt_labels"),
+    )
 
 
 @query(
