@@ -42,15 +42,21 @@ SAMPLE_ROWS = 2_000  # pieces of id arrays that the dictionary is trained on, at
 PIECE_IDS = 4_096  # ids in such a piece, at most
 LEVEL = 3
 
+SLICE = 64  # texts whose new words are learned at once
+TOGETHER = 512  # words that the library is given as one text
+MEMO_CHARACTERS = 32 << 20  # of remembered words, in each half of the memo
+
 _MARKS = ".,!?;:%$*#&"
+_LATIN = "\u0180"  # letters below it are parted from the marks behind them as ASCII letters are
 
 
 class WordEncoder:
     """The ids of whole texts as the library gives them, word by word.
 
     A vocabulary that drops blanks and never merges across them gives a text the ids of its blank-separated
-    words in turn, so each distinct word goes through the library once while it is remembered. In an
-    all-ASCII word, letters and the marks behind them are separate pieces, and letters are lower-cased."""
+    words in turn, so each distinct word goes through the library once while it is remembered. Latin letters and
+    the marks behind them are separate pieces, and ASCII letters are lower-cased. Where tokens say that they end
+    a word, many words go through the library as one text."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -59,52 +65,80 @@ class WordEncoder:
         if probe("ab , \n ab") != probe("ab") + probe(",") + probe("ab") or probe("ab,") != probe("ab") + probe(","):
             raise ValueError(f"{path} does not treat blank-separated words alone")
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.memo: dict[str, bytes] = {"": b""}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool) if suffix else None
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget()
         self.older: dict[str, bytes] = {}
 
+    def _forget(self) -> None:
+        self.older, self.memo, self.held = getattr(self, "memo", {}), {"": b""}, 0
+
     def _pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
+    def _ask_together(self, parts: list[str]) -> list[str]:
+        """Puts words of letters into the memo from one text of all of them: each ends with a token that ends a word. Words
+        of a text with more such tokens than words are given back."""
+        if self.ends is None:
+            return parts
+        left: list[str] = []
+        for i in range(0, len(parts), TOGETHER):
+            some = parts[i:i + TOGETHER]
+            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            data = np.array(ids, f"<u{self.width}")
+            stops = np.flatnonzero(self.ends[data]) + 1
+            if len(stops) != len(some) or (len(some) and stops[-1] != len(data)):
+                left += some
+                continue
+            data, first = data.tobytes(), 0
+            for part, last in zip(some, (stops * self.width).tolist()):
+                self.memo[part] = data[first:last]
+                first = last
+        return left
+
     def _learn(self, words: set[str]) -> None:
         """Puts words into the memo: from the older half of it, or else from the library."""
-        memo, older, plans, ask = self.memo, self.older, [], {}
+        memo, older, plans, letters, other = self.memo, self.older, [], set(), set()
         for word in words:
             if (found := older.get(word)) is not None:
                 memo[word] = found
                 continue
             core = word.rstrip(_MARKS)
-            part = core.lower() if self.lower and core.isascii() and core.isalpha() else None
-            if part is None:
-                core, part = word, word
-            if part not in memo and part not in ask:
+            plain = core.isascii()
+            if not core.isalpha() or not (plain or max(core) < _LATIN):
+                other.add(word)
+                continue
+            part = core.lower() if self.lower and plain else core
+            if part not in memo:
                 if (found := older.get(part)) is not None:
                     memo[part] = found
                 else:
-                    ask[part] = None
+                    letters.add(part)
             if part != word:
-                plans.append((word, part, word[len(core):]))
-                if len(core) < len(word) and word[len(core):] not in memo:
-                    ask[word[len(core):]] = None
-        for part, found in zip(ask, self.tokenizer.encode_batch_fast(list(ask), add_special_tokens=False)):
+                marks = word[len(core):]
+                plans.append((word, part, marks))
+                if marks not in memo:
+                    other.add(marks)
+        other.update(self._ask_together(list(letters)))
+        for part, found in zip(other, self.tokenizer.encode_batch_fast(list(other), add_special_tokens=False)):
             memo[part] = self._pack(found.ids)
         for word, part, marks in plans:
             memo[word] = memo[part] + memo[marks]
+        self.held += sum(map(len, words))
 
-    def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
-        """Of each text its serialized ids with the end id behind them."""
-        out = []
-        for text in texts:
+    def encode(self, texts: list[str | None], end: bytes) -> Iterator[bytes]:
+        """Of each text its serialized ids with the end id behind them. Words of many texts are learned at once."""
+        for i in range(0, len(texts), SLICE):
             # both are blanks that no piece reaches over
-            words = text.replace("\n", " ").split(" ") if text else []
-            try:
-                packed = b"".join(map(self.memo.__getitem__, words))
-            except KeyError:
-                if len(self.memo) > WORKER_CACHE:  # words that come up again move on from the older half
-                    self.memo, self.older = {"": b""}, self.memo
-                self._learn(set(words).difference(self.memo))
-                packed = b"".join(map(self.memo.__getitem__, words))
-            out.append(packed + end)
-        return out
+            split = [t.replace("\n", " ").split(" ") if t else [] for t in texts[i:i + SLICE]]
+            if len(self.memo) > WORKER_CACHE or self.held > MEMO_CHARACTERS:
+                self._forget()  # words that come up again move on from the older half
+            self._learn(set().union(*split).difference(self.memo))
+            for words in split:
+                yield b"".join(map(self.memo.__getitem__, words)) + end
 
 
 @lru_cache(maxsize=2)
