@@ -129,16 +129,17 @@ class WordEncoder:
             memo[word] = memo[part] + memo[marks]
         self.held += sum(map(len, words))
 
-    def encode(self, texts: list[str | None], end: bytes) -> Iterator[bytes]:
+    def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
         """Of each text its serialized ids with the end id behind them. Words of many texts are learned at once."""
+        out = []
         for i in range(0, len(texts), SLICE):
             # both are blanks that no piece reaches over
             split = [t.replace("\n", " ").split(" ") if t else [] for t in texts[i:i + SLICE]]
             if len(self.memo) > WORKER_CACHE or self.held > MEMO_CHARACTERS:
                 self._forget()  # words that come up again move on from the older half
             self._learn(set().union(*split).difference(self.memo))
-            for words in split:
-                yield b"".join(map(self.memo.__getitem__, words)) + end
+            out += [b"".join(map(self.memo.__getitem__, words)) + end for words in split]
+        return out
 
 
 @lru_cache(maxsize=2)
