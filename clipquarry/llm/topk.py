@@ -6,9 +6,8 @@ component is negative); vectors seen for the first time are scored in full; and
 score of a vector with the components at the current depth of all lists - is below the k-th score so far. Ties are
 safe: at equality it goes on. Depths are doubled, so that a step is a few vectorised operations.
 
-Queries are packed into chunks the same way. Each pair of a chunk and a block is one row of a join on the block's
-number, of bounded size; the best k of each block are merged per query at the end. Only the numbers of the
-blocks, one row per block, are counted on the driver."""
+Queries are packed into chunks the same way, which are small next to blocks: every chunk is sent to every block of its
+length, and the best k of each block are merged per query at the end. Only counts reach the driver."""
 
 from __future__ import annotations
 
@@ -20,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipquarry.llm.common import store
+from clipquarry.llm.common import small_side, store
 
 K = 20
 SCALE = 64
@@ -84,34 +83,27 @@ def pack(vectors: DataFrame, rows: int, *, scale: int, vec_id: str, vector: str,
     return rows_in.mapInArrow(packed, schema)
 
 
-def by_rank(values: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the sorted lists, a row per dimension: the place of each vector, and the components in falling order."""
-    dims, n = lists.shape
-    places = np.empty((dims, n), np.int32)
-    np.put_along_axis(places, lists, np.arange(n, dtype=np.int32)[None, :], axis=1)
-    return places, np.take_along_axis(values.T, lists, axis=1)
-
-
 def threshold_search(
-    ids: np.ndarray, values: np.ndarray, places: np.ndarray, falling: np.ndarray, own: int, query: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray]:
+    ids: np.ndarray, values: np.ndarray, lists: np.ndarray, own: int, query: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, int]:
     """The rows of the block with the best ``k`` scores against ``query``, ties to smaller ids, without rows whose
-    id is ``own``; and the scores. Walking all lists to a depth reaches the vectors whose least place, in any
-    list, is above it."""
+    id is ``own``; the scores; and how many entries of the lists were read. Lists are read from the end that
+    raises the score, all to the same depth; nothing below it is looked at."""
     n = len(values)
     down, up = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-    reached = np.full(n, n, np.int32)
-    if up.size:
-        reached = n - 1 - places[up].max(axis=0)
-    if down.size:
-        reached = np.minimum(reached, places[down].min(axis=0))
-    if not up.size and not down.size:  # a zero query scores zero everywhere
-        reached = np.zeros(n, np.int32)
-    reached[ids == own] = n
-    rows, scores = np.zeros(0, np.int64), np.zeros(0, values.dtype)
-    done, depth = 0, min(FIRST_DEPTH, n)
+    seen = ids == own
+    rows, scores, read = np.zeros(0, np.int64), np.zeros(0, values.dtype), 0
+    done, depth = 0, min(FIRST_DEPTH, n) if down.size + up.size else n
     while True:
-        found = np.flatnonzero((reached >= done) & (reached < depth))
+        met = np.zeros(n, bool)
+        if down.size + up.size:
+            met[lists[down, done:depth]] = True
+            met[lists[up, n - depth:n - done]] = True
+            read += (down.size + up.size) * (depth - done)
+        else:  # a zero query scores zero everywhere
+            met[:] = True
+        found = np.flatnonzero(met & ~seen)
+        seen |= met
         if found.size:
             rows = np.concatenate((rows, found))
             scores = np.concatenate((scores, values[found] @ query))
@@ -121,12 +113,24 @@ def threshold_search(
                 rows, scores = rows[best], scores[best]
         if depth >= n:
             break
-        bound = (falling[down, depth - 1] * query[down]).sum() + (falling[up, n - depth] * query[up]).sum()
+        bound = (values[lists[down, depth - 1], down] * query[down]).sum() + (values[lists[up, n - depth], up] * query[up]).sum()
         if len(rows) == k and bound < scores.min():
             break
         done, depth = depth, min(depth * 2, n)
     best = np.lexsort((ids[rows], -scores))[:k]
-    return rows[best], scores[best]
+    return rows[best], scores[best], read
+
+
+def _kind(values: np.ndarray, queries: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both as numbers that add these products exactly: single or double ones, or whole ones of any size."""
+    most = lambda x: float(np.abs(x).max()) if x.size else 0.0
+    largest = most(values) * most(queries) * max(dims, 1)
+    if largest >= EXACT:
+        whole = np.frompyfunc(int, 1, 1)
+        return whole(values), whole(queries)
+    if largest < EXACT_SINGLE:
+        return values.astype(np.float32), queries.astype(np.float32)
+    return values, queries
 
 
 def exact_top_k(
@@ -145,53 +149,47 @@ def exact_top_k(
     them where there are fewer. Ties go to the smaller id.
 
     Null ids, null vectors and vectors with null or non-finite components take no part. A query meets vectors of
-    its own length only. Empty vectors score 0. Rows that repeat an id and a vector are one; different vectors of
-    one id are separate candidates, and a query id with several vectors gets the best of all. Scores are exact;
-    beyond 64 bits they stop at the largest 64-bit number. Empty tables give an empty result."""
+    its own length only. Empty vectors score 0. Every row is a candidate of its own, also one that repeats another;
+    a query id that stands on several rows gets the best of what all of them find, each find counted. Scores are
+    exact; beyond 64 bits they stop at the largest 64-bit number. Empty tables give an empty result."""
     options = {"scale": scale, "vec_id": vec_id, "vector": vector}
     blocks = store(pack(vectors, block_rows, sort=True, **options), "vector_blocks")
     chunks = store(pack(queries, chunk_rows, sort=False, **options), "query_chunks")
-    keys = blocks.select("part", "number", F.col("dims").alias("_dims"))
-    # numbers of blocks for each chunk of the same length: the grid of a stated query set against all rows
-    grid = chunks.select("dims", "ids", "values").join(
-        F.broadcast(keys.groupBy("_dims").agg(F.collect_list(F.struct("part", "number")).alias("_b"))),
-        F.col("dims") == F.col("_dims"),
-    ).select(F.explode("_b").alias("_b"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
-    pairs = (
-        grid.select("q_ids", "q_values", F.col("_b.part").alias("part"), F.col("_b.number").alias("number"))
-        .join(blocks, ["part", "number"])
-        .select("q_ids", "q_values", "dims", "ids", "values", "lists")
-    )
-    # by their bytes the pairs would be few tasks, but each is seconds of work
-    tasks = max(1, min(chunks.count() * blocks.count(), TASKS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism))
-    pairs = pairs.repartition(tasks, "part", "number", F.xxhash64("q_ids"))
+    keys = store(blocks.select("part", "number", "dims"), "block_keys")
+    n_blocks = keys.count()
+    # few blocks are sent to several tasks, each of which gets a share of the chunks
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    shares = max(1, min(chunks.count(), -(-TASKS_PER_CORE * cores // max(1, n_blocks))))
+    share = F.pmod(F.xxhash64("part", "number"), F.lit(shares)).cast("int").alias("share")
+    asked = chunks.select("dims", share, "ids", "values", F.lit(b"").alias("lists"), F.lit(1).alias("kind"))
+    columns = ["part", "number", "share", "kind", "dims", "ids", "values", "lists"]
+    given = blocks.withColumns({"share": F.explode(F.sequence(F.lit(0), F.lit(shares - 1))), "kind": F.lit(0)})
+    rows = given.select(columns).unionByName(asked.join(small_side(keys), "dims").select(columns))
+    # the chunks go to the blocks: a block is read once and stands before them
+    pairs = rows.repartition(max(1, 2 * n_blocks * shares), "part", "number", "share")
+    pairs = pairs.sortWithinPartitions("part", "number", "share", "kind").select("kind", "dims", "ids", "values", "lists")
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         for batch in batches:
-            for q_ids, q_values, dims, ids, values, lists in zip(*batch.columns):
+            for kind, dims, ids, values, lists in zip(*batch.columns):
                 dims = dims.as_py()
-                q_ids = np.frombuffer(q_ids.as_buffer(), np.int64)
                 ids = np.frombuffer(ids.as_buffer(), np.int64)
                 values = np.frombuffer(values.as_buffer(), np.float64).reshape(len(ids), dims)
-                q_values = np.frombuffer(q_values.as_buffer(), np.float64).reshape(len(q_ids), dims)
-                lists = np.frombuffer(lists.as_buffer(), np.int32).reshape(dims, len(ids))
-                most = lambda x: float(np.abs(x).max()) if x.size else 0.0
-                largest = most(values) * most(q_values) * max(dims, 1)
-                if largest >= EXACT:  # beyond what doubles add exactly
-                    whole = np.frompyfunc(int, 1, 1)
-                    values, q_values = whole(values), whole(q_values)
-                elif largest < EXACT_SINGLE:
-                    values, q_values = values.astype(np.float32), q_values.astype(np.float32)
-                places, falling = by_rank(values, lists)
+                if kind.as_py() == 0:
+                    lists = np.frombuffer(lists.as_buffer(), np.int32).reshape(dims, len(ids))
+                    block = (ids.copy(), values.copy(), lists.copy())
+                    continue
                 out: list[list] = [[], [], []]
-                for own, query in zip(q_ids.tolist(), q_values):
-                    rows, scores = threshold_search(ids, values, places, falling, own, query, k)
+                held, queries = _kind(block[1], values, dims)
+                for own, query in zip(ids.tolist(), queries):
+                    rows, scores, _ = threshold_search(block[0], held, block[2], own, query, k)
                     out[0] += [own] * len(rows)
-                    out[1] += ids[rows].tolist()
+                    out[1] += block[0][rows].tolist()
                     out[2] += [min(max(int(s), LONG[0]), LONG[1]) for s in scores]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["query_id", "vec_id", "score"])
 
     best = pairs.mapInArrow(searched, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

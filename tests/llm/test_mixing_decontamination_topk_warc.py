@@ -164,16 +164,26 @@ def test_suffix_array_orders_suffixes():
 
 
 def slow_top(vectors, queries, k):
+    """Every row is a candidate of its own; rows of one query id put what they find together."""
     fit = lambda v: v is not None and all(x is not None and math.isfinite(x) for x in v)
     whole = lambda v: [math.floor(64 * x) for x in v]
-    out = []
-    for q, qv in {(q, tuple(v)) for q, v in queries if q is not None and fit(v)}:
-        scores = {
-            (-sum(a * b for a, b in zip(whole(qv), whole(v))), i)
-            for i, v in vectors if i is not None and fit(v) and i != q and len(v) == len(qv)
-        }
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k], 1)]
-    return sorted(out)
+    found = {}
+    for q, qv in queries:
+        if q is not None and fit(qv):
+            found.setdefault(q, []).extend(
+                (-sum(a * b for a, b in zip(whole(qv), whole(v))), i)
+                for i, v in vectors if i is not None and fit(v) and i != q and len(v) == len(qv)
+            )
+    return sorted((q, r, i, -s) for q, scores in found.items() for r, (s, i) in enumerate(sorted(scores)[:k], 1))
+
+
+def test_repeated_rows_are_candidates(spark):
+    vectors = [(7, [1.0, 1.0])] * 30 + [(8, [0.5, x]) for x in (0.5, 0.25, 0.5)] + [(20, [1.0, 0.5]), (40, [0.5, 1.0]), (40, [1.0, 1.0])]
+    vectors += [(100 + i, [0.125, 0.125]) for i in range(38) if (100 + i) % 20] + [(60, [1.0, 1.0])] * 3
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(4)
+    for k, block in ((20, 16_384), (35, 9), (200, 5)):
+        got = topk.exact_top_k(df, df.where("vec_id % 20 = 0"), k=k, block_rows=block, chunk_rows=2)
+        assert sorted(map(tuple, got.collect())) == slow_top(vectors, [v for v in vectors if v[0] % 20 == 0], k)
 
 
 @pytest.mark.parametrize("block, chunk, dims", [(16_384, 512, 8), (7, 3, 3), (32, 1, 1)])
@@ -201,17 +211,24 @@ def test_numbers_beyond_doubles(spark):
 def test_search_stops_early():
     rng = np.random.default_rng(0)
     values = np.floor(rng.normal(size=(20_000, 2)) * 640)
-    lists, touched = np.argsort(-values, axis=0, kind="stable").T.astype(np.int32), []
+    lists, scored, listed = np.argsort(-values, axis=0, kind="stable").T.astype(np.int32), [], []
 
     class Counting(np.ndarray):
+        log: list
+
         def __getitem__(self, k):
-            touched.append(len(k) if isinstance(k, np.ndarray) else 0)
-            return np.asarray(self).__getitem__(k)
+            found = np.asarray(self).__getitem__(k)
+            self.log.append(found.size)
+            return found
+
+    def counting(array, log):
+        out = array.view(Counting)
+        out.log = log
+        return out
 
-    places, falling = topk.by_rank(values, lists)
-    rows, _ = topk.threshold_search(np.arange(20_000), values.view(Counting), places, falling, 0, values[0], 5)
+    rows, _, read = topk.threshold_search(np.arange(20_000), counting(values, scored), counting(lists, listed), 0, values[0], 5)
     assert sorted((values @ values[0])[rows]) == sorted(np.delete(values @ values[0], 0))[-5:]
-    assert sum(touched) < 10_000
+    assert sum(scored) < 10_000 and read <= sum(listed) < 10_000  # of 40,000 components and 40,000 list entries
 
 
 # --- WARC packages ---------------------------------------------------------------------------------------
