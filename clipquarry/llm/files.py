@@ -8,7 +8,9 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 
 
@@ -42,3 +44,12 @@ def read_range(file: pa.NativeFile, start: int, size: int) -> bytes:
     if len(data) != size:
         raise ValueError(f"{size} bytes from {start} on: the file ends after {len(data)}")
     return data
+
+
+def read_numbers(folder: str, column: str) -> np.ndarray:
+    """A column of whole numbers of all Parquet files in a folder; none where there is no such folder."""
+    system, path = resolve(folder)
+    found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    files = [f.path for f in found if f.is_file and f.path.endswith(".parquet")]
+    parts = [pq.read_table(f, columns=[column], filesystem=system)[column].to_numpy() for f in files]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)

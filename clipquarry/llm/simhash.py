@@ -27,6 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipquarry.llm.common import fresh, small_side, store
+from clipquarry.llm.files import read_numbers
+from clipquarry.operators.ordering import PLACE_BITS
+from clipquarry.session import scratch_path
 
 SEED = 42
 BITS = 64
@@ -383,34 +386,52 @@ def near_duplicates(
 def deduplicate(
     docs: DataFrame,
     *,
-    max_bits: int = 7,
-    verify_bits: int = 24,
-    shingle_words: int = 5,
+    shingle_words: int = 3,
+    max_bits: int = 2,
     seed: int = SEED,
     doc_id: str = "doc_id",
     text: str = "text",
     bucket: int = BUCKET,
 ) -> DataFrame:
     """One row of each class of near copies, with the columns of ``docs``: the one with the smallest id, null ids
-    last, ties as the rows come.
-
-    Two texts link if the fingerprints of their different words are within ``max_bits`` of 64 bits, which finds
-    the candidates, and two fingerprints of their shingles of ``shingle_words`` words are within ``verify_bits`` of 128
-    bits together. Bits of fingerprints differ by the angle between the texts, so that the defaults stand for a
-    Jaccard similarity of about 0.8 on five-word shingles: 19 of 128 bits differ on average there, 27 at 0.65.
-    A class is what links reach. Null, empty and blank texts are copies of each other. An empty table
-    gives an empty one; columns may have any names."""
+    last, ties as the rows come. Classes are those of :func:`near_duplicates`: what links of at most ``max_bits`` bits
+    between fingerprints reach. Null, empty and blank texts are copies of each other. An empty table gives an
+    empty one; columns may have any names.
+
+    Rows are stored with their fingerprint and number once, and the numbers of rows that go are stored by the task that
+    wrote the row; each task drops its own, so that texts are never shuffled, whatever the size."""
     given = docs.columns
-    names = [fresh(docs, n) for n in ("_words", "_first", "_second", "_row")]
-    kinds = {names[0]: (1, True, seed), names[1]: (shingle_words, False, seed + 1), names[2]: (shingle_words, False, seed + 2)}
-    made = fingerprints(docs, kinds, carry=given, text=text).withColumn(names[3], F.monotonically_increasing_id())
-    rows = store(made, "fingerprinted")
-    narrow = rows.select(F.col(f"`{doc_id}`").alias("i"), *[F.col(n).alias(k) for n, k in zip(names, ("fp", "v1", "v2", "r"))])
+    print_, number = fresh(docs, "_print"), fresh(docs, "_row")
+    made = fingerprints(docs, {print_: (shingle_words, False, seed)}, carry=given, text=text)
+    rows = store(made.withColumn(number, F.monotonically_increasing_id()), "fingerprinted")
+    narrow = rows.select(F.col(f"`{doc_id}`").alias("i"), F.col(print_).alias("fp"), F.col(number).alias("r"))
     best = F.min(F.struct(F.col("i").isNull().alias("none"), "i", "r")).alias("best")
-    nodes = store(narrow.groupBy("fp", "v1", "v2").agg(best).withColumn("node", F.xxhash64("fp", "v1", "v2")), "distinct_fingerprints")
-    edges = links(nodes.select("node", "fp", "v1", "v2"), max_bits, verify=["v1", "v2"], verify_bits=verify_bits, bucket=bucket)
-    roots = classes(edges).withColumnRenamed("node", "_node")
-    member = nodes.join(roots, F.col("node") == F.col("_node"), "left").select("best", F.coalesce("root", "node").alias("root"))
-    kept = member.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.r").alias("_kept_row"))
-    kept = store(kept, "kept_rows")
-    return rows.join(kept, F.col(names[3]) == F.col("_kept_row"), "left_semi").select(*[F.col(f"`{c}`") for c in given])
+    nodes = store(narrow.groupBy("fp").agg(best), "distinct_fingerprints")
+    edges = links(nodes.select(F.col("fp").alias("node"), "fp"), max_bits, bucket=bucket)
+    roots = classes(edges)
+    member = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("best", F.coalesce("root", "fp").alias("root"))
+    kept = member.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.r").alias("r"))
+    return without_rows(rows, number, narrow.select("r").join(kept, "r", "left_anti")).select(*[F.col(f"`{c}`") for c in given])
+
+
+def without_rows(rows: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
+    """Stored ``rows`` without those whose ``number`` (of ``monotonically_increasing_id``) is in ``dropped`` (``r``). Numbers are
+    stored by their partition, which their upper bits name, and looked up there by the task that reads its rows."""
+    folder = scratch_path(rows.sparkSession, "dropped")
+    parts = dropped.select("r", F.shiftright("r", PLACE_BITS).alias("part"))
+    parts.repartition("part").write.partitionBy("part").parquet(folder)
+    at = rows.columns.index(number)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gone: dict[int, np.ndarray] = {}
+        for batch in batches:
+            own = np.asarray(batch.column(at))
+            part = own >> PLACE_BITS
+            for p in set(np.unique(part).tolist()).difference(gone):
+                gone[p] = read_numbers(f"{folder}/part={p}", "r")
+            keep = np.ones(len(own), bool)
+            for p in np.unique(part).tolist():
+                keep &= (part != p) | ~np.isin(own, gone[p])
+            yield batch.filter(pa.array(keep))
+
+    return rows.mapInArrow(keep, rows.schema)
