@@ -110,3 +110,14 @@ def validate_params(
     ):
         if value not in known:
             raise ValueError(f"unsupported {name} {value!r}; choose from {', '.join(known)}")
+
+
+def param_problem(category: Column | str, stat_field: Column | str, path_field: Column | str) -> Column:
+    """The same test for a table of requested selections: what is wrong with a request's names, null where nothing is."""
+    checks = (("category", category, CATEGORIES), ("category_stat_field", stat_field, STAT_FIELDS), ("filepath_field", path_field, PATH_FIELDS))
+    found = F.lit(None).cast("string")
+    for name, value, known in reversed(checks):
+        given = F.col(value) if isinstance(value, str) else value
+        wrong = ~F.coalesce(given.isin(*known), F.lit(False))
+        found = F.when(wrong, F.concat(F.lit(f"unsupported {name} "), F.coalesce(given, F.lit("null")))).otherwise(found)
+    return found

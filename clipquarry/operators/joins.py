@@ -1,8 +1,8 @@
 """Joins of selections, later transcripts and file listings with the tables they came from.
 
-A selection is stored before it is joined, as it is small next to its table and used twice. Where it
-was counted and found small its keys are broadcast, and the table is thinned by them in the scan's own
-tasks, without a shuffle; beyond that size both sides are shuffled and AQE splits skewed keys.
+A selection is stored before it is joined, as it is small next to its table and used twice. The table is
+thinned in the scan's own tasks, by the keys themselves where they were counted and found small and by a
+Bloom filter of them otherwise, so that at most the selection's own rows and few others are shuffled.
 """
 
 from __future__ import annotations
@@ -13,14 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipquarry.operators.filters import prefixed
+from clipquarry.operators.keyfilter import key_words, may_hold
 from clipquarry.operators.ordering import keep_latest, sample_head
 from clipquarry.operators.prefix import broadcast_if_small, fits_broadcast
 from clipquarry.session import freeze, require_batch
 
 
-def _thinned(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def thinned(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key may be in the stored selection, found in the scan's own tasks: by the keys themselves where they
+    were counted and found small, else by a filter of them that lets few other rows pass."""
     keys = stored.select(key)
-    return df.join(F.broadcast(keys), key, "left_semi") if fits_broadcast(keys) else df
+    if fits_broadcast(keys):
+        return df.join(F.broadcast(keys), key, "left_semi")
+    return may_hold(df, key, key_words(keys, key, keys.count()))
 
 
 def join_back(
@@ -37,7 +42,7 @@ def join_back(
     else:
         metrics = selected.select(key, *columns)
     metrics = freeze(metrics)
-    return _thinned(orig, metrics, key).join(metrics, key, "inner")
+    return thinned(orig, metrics, key).join(metrics, key, "inner")
 
 
 def attach_selection(
@@ -47,7 +52,7 @@ def attach_selection(
     rows on both sides gives every pair of them."""
     columns = [c for c in selected.columns if c not in orig.columns] if columns is None else columns
     stored = freeze(selected.select(key, *columns))
-    return _thinned(orig, stored, key).join(stored, key, "inner")
+    return thinned(orig, stored, key).join(stored, key, "inner")
 
 
 def restrict_to_keys(
@@ -70,7 +75,8 @@ def overlay(
     have a column; of several originals the first in ``order_by`` counts; without one the row stays
     as it is."""
     extra = [c for c in orig.columns if c not in selected.columns]
-    one_each = keep_latest(orig, key, order_by, "_rn").select(key, *extra)
+    named = thinned(orig, freeze(selected.select(key)), key)  # only these are ranked
+    one_each = keep_latest(named, key, order_by, "_rn").select(key, *extra)
     return selected.join(one_each, key, "left")
 
 

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipquarry.functions.text import strip_text
 from clipquarry.schema import VENDOR_DOCUMENT
+from clipquarry.session import freeze
 
+LISTED_TOGETHER = 10_000  # entries of a batch that a listing task hands on
 MANIFEST = "Index bigint, Paths string, Labels string, Dataset string"
 _TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"', "emptyValue": ""}
 
 
-def _decoded(path: str) -> Column:
+def decoded(path: str) -> Column:
     """File metadata is percent-encoded, with ``+`` left as it is."""
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
@@ -21,16 +27,33 @@ def read_transcript_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row per ``*.txt`` file: ``audio_name`` is its name less ``.txt``."""
     files = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     return files.select(
-        F.regexp_extract(_decoded("_metadata.file_name"), r"(?s)^(.*)\.txt$", 1).alias("audio_name"),
+        F.regexp_extract(decoded("_metadata.file_name"), r"(?s)^(.*)\.txt$", 1).alias("audio_name"),
         strip_text("value").alias("transcript"),
     )
 
 
+def write_transcript_files(df: DataFrame, folder: str) -> None:
+    """One ``<audio_name>.txt`` file per row, written by the tasks; a task that runs again writes the same files. Folders
+    of local file systems are made."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, path, _ = store_of(folder)
+        if isinstance(system, fs.LocalFileSystem):
+            system.create_dir(path, recursive=True)
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with system.open_output_stream(f"{path}/{name}.txt") as out:
+                    out.write((text or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    df.select("audio_name", "transcript").mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def read_vendor_json(spark: SparkSession, folder: str) -> DataFrame:
     """One row per ``*.json`` document with the label made from it."""
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     return files.select(
-        _decoded("_metadata.file_path").alias("uri"), vendor_label("value").alias("label")
+        decoded("_metadata.file_path").alias("uri"), vendor_label("value").alias("label")
     )
 
 
@@ -53,6 +76,51 @@ def list_objects(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LISTED = "path string, length long, folder boolean"
+
+
+def list_in_tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for stores of any size: executors list folders and hand back the folders below them, a level at a time, until
+    none is left. Every level is stored as it is listed; just the number of folders reaches the driver. Names that
+    Spark's own file sources skip (a leading ``_`` or ``.``) are skipped here as well."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                system, path, head = store_of(uri)
+                found = system.get_file_info(fs.FileSelector(path))
+                found = [f for f in found if not f.base_name.startswith(("_", "."))]
+                for i in range(0, len(found), LISTED_TOGETHER):
+                    some = found[i:i + LISTED_TOGETHER]
+                    made = [
+                        pa.array([head + f.path for f in some], pa.string()),
+                        pa.array([f.size if f.is_file else None for f in some], pa.int64()),
+                        pa.array([not f.is_file for f in some], pa.bool_()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(made, ["path", "length", "folder"])
+
+    most, n = 4 * spark.sparkContext.defaultParallelism, 1
+    level, files = spark.createDataFrame([(folder,)], "path string"), spark.createDataFrame([], "path string, length long")
+    while n:
+        rows = freeze(level.repartition(min(most, n), "path").mapInArrow(listed, _LISTED))
+        files = files.unionByName(rows.filter(~F.col("folder")).select("path", "length"))
+        level = rows.filter("folder").select("path")
+        n = level.count()
+    return files
+
+
+def store_of(uri: str) -> tuple[fs.FileSystem, str, str]:
+    """The file system of a URI or path, the path there, and what its paths lack to be URIs as Spark names them."""
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri.removeprefix("file:"), "file:"
+    scheme, rest = uri.split("://", 1)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/"), "file:"
+    system, path = fs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme)}://{rest}")
+    head = f"{scheme}://{rest.split('/', 1)[0]}" if path.startswith("/") else f"{scheme}://"
+    return system, path, head
+
+
 def write_manifest(df: DataFrame, path: str) -> None:
     """Tab-separated text with a header; fields are quoted where they must be."""
     df.select("Index", "Paths", "Labels", "Dataset").write.mode("overwrite").options(**_TSV).csv(path)

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from clipquarry import schema as sc
 from clipquarry.functions import ids, paths, tags
 from clipquarry.functions import text as tx
-from clipquarry.operators import budgets, filters, joins, ordering, scoring, segments, stats
+from clipquarry.operators import budgets, filters, joins, ordering, scoring, segments, sketches, stats
 from clipquarry.plans import curation, manifest, metrics, publish, taggers
 from clipquarry.session import scratch_path
-from clipquarry.sources import files, tables
+from clipquarry.sources import files, tables, versions
 from workload import fixtures as fx
 from workload import sql as q
 
@@ -91,6 +91,30 @@ def s7_list_objects(spark, sf_dir):
     return listed.groupBy(lang).agg((F.sum("length") > 0).alias("has_bytes"))
 
 
+@query("SELECT lang, source, count(*) > 0 AS has_files, true AS same FROM documents GROUP BY lang, source")
+def s7_list_in_tasks(spark, sf_dir):
+    """Folders below folders, listed by tasks; the same paths and lengths as a listing by the driver."""
+    path = scratch_path(spark, "by_lang_and_source")
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "lang", "source", "n_chars"])
+    tables.write_table(docs, path, partition_by=["lang", "source"])
+    there = files.list_in_tasks(spark, path).select("path", "length", F.lit(1).alias("a"))
+    plain = files.list_objects(spark, path).select("path", "length", F.lit(1).alias("b"))
+    both = there.join(plain, ["path", "length"], "full")
+    parts = [F.regexp_extract("path", f"{c}=([^/]*)/", 1).alias(c) for c in ("lang", "source")]
+    return both.groupBy(*parts).agg(
+        (F.count("a") > 0).alias("has_files"), F.bool_and(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("same")
+    )
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS audio_name, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS transcript FROM documents WHERE NOT contains(text, chr(13))")
+def s5_read_transcript_files(spark, sf_dir):
+    """Every document as a text file of its own, then read back."""
+    path = scratch_path(spark, "texts")
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "text"]).filter(~F.contains("text", F.lit("\r")))
+    files.write_transcript_files(docs.select(F.col("doc_id").cast("string").alias("audio_name"), F.col("text").alias("transcript")), path)
+    return files.read_transcript_files(spark, path)
+
+
 @query("SELECT doc_id, source, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 100")
 def s2_sample_head(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents", ["doc_id", "source", "n_chars"])
@@ -361,6 +385,19 @@ def f12_prefixed(spark, sf_dir):
     return spoken.select("raw_filepath", *filters.prefixed(spoken, "temp_", exclude))
 
 
+@query(
+    "SELECT doc_id, CASE WHEN lang <> 'en' THEN 'unsupported category ' || lang WHEN doc_id % 3 = 0 THEN 'unsupported category_stat_field ' || "
+    "source WHEN doc_id % 5 = 0 THEN 'unsupported filepath_field null' END AS problem FROM documents"
+)
+def f13_validate_params(spark, sf_dir):
+    """A table of requests: some name a language as category, some a source as statistic, some no path."""
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "lang", "source"])
+    category = F.when(F.col("lang") == "en", sc.CATEGORIES[0]).otherwise(F.col("lang"))
+    stat = F.when(F.col("doc_id") % 3 == 0, F.col("source")).otherwise(sc.STAT_FIELDS[0])
+    path = F.when(F.col("doc_id") % 5 > 0, sc.PATH_FIELDS[0])
+    return docs.select("doc_id", filters.param_problem(category, stat, path).alias("problem"))
+
+
 @query(
     with_(
         q.CLIPS,
@@ -471,6 +508,23 @@ def j5_merge_update(spark, sf_dir):
     return manifest.attach_vendor_uri(target, fx.pointers(spark, sf_dir))
 
 
+@query(
+    "SELECT d.doc_id, d.source, CASE WHEN p.doc_id IS NOT NULL THEN 'gs://bkt/v/' || p.doc_id || '.json' END AS vendor_transcript, "
+    "CASE WHEN p.doc_id IS NOT NULL THEN 2 ELSE 1 END AS version FROM documents d LEFT JOIN "
+    "(SELECT doc_id FROM labels WHERE doc_id < 2 * (SELECT max(doc_id) FROM documents) / 3) p USING (doc_id)"
+)
+def j5_merge_versioned(spark, sf_dir):
+    """A stored table updated in the files that hold matched keys; rows of other files are as they were written."""
+    folder = scratch_path(spark, "versioned")
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "source"]).withColumn("version", F.lit(1))
+    top = docs.agg(F.max("doc_id")).first()[0]
+    versions.create_versioned(docs.repartitionByRange(12, "doc_id"), folder, "doc_id")
+    uri = F.concat(F.lit("gs://bkt/v/"), F.col("doc_id").cast("string"), F.lit(".json"))
+    pointers = fx.table(spark, sf_dir, "labels", ["doc_id"]).filter(F.col("doc_id") < 2 * top / 3)
+    updates = {"vendor_transcript": "uri", "version": "two"}
+    return versions.merge_versioned(spark, folder, pointers.withColumns({"uri": uri, "two": F.lit(2)}), "doc_id", updates)
+
+
 @query(
     with_(
         q.CLIPS,
@@ -609,6 +663,32 @@ def a2_category_statistics_sketch_error(spark, sf_dir):
     return ranked.select("percentile", fits.alias("within_rank_error"), "n")
 
 
+@query(
+    "SELECT source, percentile, true AS within_rank_error, any_value(n) AS n FROM (SELECT source, count(*) AS n FROM documents GROUP BY source "
+    "UNION ALL SELECT 'all', count(*) FROM documents), (SELECT unnest(['P50', 'P90', 'P99']) AS percentile) GROUP BY source, percentile"
+)
+def a2_sketch_parts(spark, sf_dir):
+    """Sketches of the lengths per source and language, stored; merged per source and over all, against the ranks of all rows."""
+    docs = fx.table(spark, sf_dir, "documents", ["source", "lang", "n_chars"])
+    path = scratch_path(spark, "sketches")
+    parts = tables.write_table(sketches.sketch_parts(docs, ["n_chars"], ["source", "lang"]), path)
+    merged = sketches.merge_parts(parts, ["n_chars"], ["source"])
+    whole = sketches.merge_parts(parts, ["n_chars"]).withColumn("source", F.lit("all"))
+    found = sketches.sketch_statistics(merged.unionByName(whole), ["n_chars"])
+    listed = [F.struct(F.lit(f"P{p}").alias("percentile"), F.lit(p / 100).alias("share"), F.col(f"P{p}_n_chars").alias("v")) for p in (50, 90, 99)]
+    wanted = found.select("source", F.inline(F.array(*listed)))
+    rows = docs.select("n_chars", F.explode(F.array(F.col("source"), F.lit("all"))).alias("source"))
+    counts = rows.groupBy("source", "n_chars").agg(F.count(F.lit(1)).alias("k"))
+    ranked = wanted.join(counts, "source").groupBy("source", "percentile", "share").agg(
+        F.sum(F.when(F.col("n_chars") < F.col("v"), F.col("k")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("n_chars") <= F.col("v"), F.col("k")).otherwise(0)).alias("up_to"),
+        F.sum("k").alias("n"),
+    )
+    error = F.col("n") * sketches.RANK_ERROR + 1
+    fits = (F.col("below") <= F.col("share") * F.col("n") + error) & (F.col("up_to") >= F.col("share") * F.col("n") - error)
+    return ranked.select("source", "percentile", fits.alias("within_rank_error"), "n")
+
+
 @query()
 def a2_category_statistics_sketch(spark, sf_dir):
     return stats.category_statistics(fx.clips(spark, sf_dir), "proper_noun")
