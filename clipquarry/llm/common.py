@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clipquarry.session import scratch_path
 
 BROADCAST_ROWS = 10_000
+SPARE = 1.5  # times the rows that are wanted of a label: what is ranked
 WORKER_CACHE = 400_000  # entries of a per-process memo; it is emptied when full
 
 
@@ -55,16 +56,35 @@ def labelled_sample(
     """``label`` and ``text`` of at most ``rows_per_label`` documents of each label: those whose hashed ids are the
     smallest. Ids are chosen from ``labels`` alone, so the texts are joined with a bounded list; the cut
     is made again behind the join, in case one id stands on many rows. Null ids and null labels take no part;
-    an id with several labels has its largest."""
+    an id with several labels has its largest.
+
+    Labels are few keys with any number of rows, so rows are ranked only after a bound on their hash, read off the number of
+    rows of a label, has left about ``SPARE`` times as many as are wanted, however many there were."""
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     one = known.groupBy(F.col(doc_id).alias("_i")).agg(F.max(label).cast("int").alias("label"))
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("_i"), "_i")
-    ids = store(one.withColumn("_r", F.row_number().over(by_hash)).where(F.col("_r") <= rows_per_label), "sample_ids")
+    one = store(one.withColumn("_h", F.xxhash64("_i")), "labelled_ids")
+    by_hash = Window.partitionBy("label").orderBy("_h", "_i")
+    few = _smallest(one, one, rows_per_label)
+    ids = store(few.withColumn("_r", F.row_number().over(by_hash)).where(F.col("_r") <= rows_per_label), "sample_ids")
     texts = docs.select(F.col(doc_id).alias("_d"), F.col(text).alias("text"))
-    joined = texts.join(F.broadcast(ids.drop("_r")), F.col("_d") == F.col("_i"))
+    picked = F.broadcast(ids.select("_i", "label"))  # at most rows_per_label rows of each label
+    joined = texts.join(picked, F.col("_d") == F.col("_i"))
+    # rows of one id are told apart by their place, so that no group of copies is kept or dropped whole
+    joined = joined.withColumn("_h", F.xxhash64("_d", "text", F.monotonically_increasing_id()))
+    counted = docs.select(F.col(doc_id).alias("_d")).join(picked, F.col("_d") == F.col("_i"))
     again = Window.partitionBy("label").orderBy(F.xxhash64("_d"), "_d", F.xxhash64("text"))
-    rows = joined.withColumn("_r", F.row_number().over(again)).where(F.col("_r") <= rows_per_label)
-    return rows.select("label", "text")
+    rows = _smallest(joined, counted, rows_per_label).withColumn("_r", F.row_number().over(again))
+    return rows.where(F.col("_r") <= rows_per_label).select("label", "text")
+
+
+def _smallest(rows: DataFrame, counted: DataFrame, most: int) -> DataFrame:
+    """The rows whose hash ``_h`` is among the smallest of their label, about ``SPARE`` times ``most`` of them, or all where there
+    are fewer. ``counted`` has as many rows of each label."""
+    shares = counted.groupBy("label").agg(F.least(F.lit(1.0), F.lit(SPARE * most) / F.count("*")).alias("_share"))
+    shares = F.broadcast(store(shares, "label_shares"))  # one row per label
+    # a share of the range of hashes, from the smallest on
+    bound = F.col("_share") * F.lit(2.0**64) - F.lit(2.0**63)
+    return rows.join(shares, "label").where((F.col("_share") == 1) | (F.col("_h") < bound)).drop("_share")
 
 
 def trained(sample: DataFrame, fit) -> bytes:

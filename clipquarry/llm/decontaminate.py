@@ -8,11 +8,13 @@ shortest window. Every suffix of every benchmark item is then narrowed down word
 At every length all places that still match are noted, which leaves each place its longest verbatim match, and, at the
 length of a window, all places of that window.
 
-The benchmark is the small, stated side. It goes to the executors in chunks of at most ``CHUNK_WORDS`` words
-that a task takes one after another, so that its size is bounded in every process."""
+The benchmark is the small, stated side. Tasks number its words and store it in chunks of at most ``CHUNK_WORDS`` words (or one
+item). Every task reads the chunks one after another and holds one at a time, so that neither the driver nor a
+worker ever has the whole of it; only the names of the chunks reach the driver."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -22,9 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clipquarry.llm.common import store
+from clipquarry.llm.files import create, open_file
+from clipquarry.session import scratch_path
+
 WINDOW = 13
 SHARE = 20  # a document is contaminated if at least one in so many of its words is hit
 CHUNK_WORDS = 4_000_000
+BYTES_PER_WORD = 6  # of the benchmark, about: how many tasks pack it
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(
     b if b in _KEEP else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
@@ -190,27 +197,48 @@ def scan(
     return out
 
 
-def item_chunks(benchmark: DataFrame, *, window: int, item_id: str, text: str, chunk_words: int) -> list:
-    """Broadcasts of :class:`ItemChunk`, each of at most ``chunk_words`` words or one item. Items are read one
-    partition at a time."""
-    spark, chunks, held, size = benchmark.sparkSession, [], [], 0
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t"))
+def item_chunks(benchmark: DataFrame, *, window: int, item_id: str, text: str, chunk_words: int) -> list[str]:
+    """URIs of stored :class:`ItemChunk` objects, each of at most ``chunk_words`` words or one item. Equal rows count once."""
+    spark = benchmark.sparkSession
+    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).cast("string").alias("t")).distinct()
+    size = benchmark.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    folder = scratch_path(spark, "benchmark")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
 
-    def close() -> None:
+        def close() -> pa.RecordBatch:
+            uri, out = create(folder, ".items")
+            with out:
+                pickle.dump(ItemChunk(held, window), out, protocol=5)
+            return pa.RecordBatch.from_arrays([pa.array([uri])], ["chunk"])
+
+        for batch in batches:
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = words_of(value)
+                if held and n + len(words) > chunk_words:
+                    yield close()
+                    held, n = [], 0
+                if words:
+                    held.append((name, words))
+                    n += len(words)
         if held:
-            chunks.append(spark.sparkContext.broadcast(ItemChunk(list(held), window)))
-            held.clear()
+            yield close()
+
+    parts = max(1, -(-size // (BYTES_PER_WORD * chunk_words)))
+    found = store(rows.repartition(parts, "i", "t").mapInArrow(packed, "chunk string"), "benchmark_chunks")
+    return sorted(r["chunk"] for r in found.collect())
+
+
+_HELD: dict[str, ItemChunk] = {}  # the chunk that this process read last
+
 
-    for row in rows.distinct().toLocalIterator():
-        words = words_of(row["t"])
-        if held and size + len(words) > chunk_words:
-            close()
-            size = 0
-        if words:
-            held.append((row["i"], words))
-            size += len(words)
-    close()
-    return chunks
+def stored_chunk(uri: str) -> ItemChunk:
+    if uri not in _HELD:
+        _HELD.clear()
+        with open_file(uri) as f:
+            _HELD[uri] = pickle.loads(f.read())
+    return _HELD[uri]
 
 
 def contamination(
@@ -251,7 +279,7 @@ def contamination(
         for batch in batches:
             row = batch.column(0)
             texts = row.flatten()[carry.index(text)] if text in carry else batch.column(1)
-            found = scan(texts.to_pylist(), (c.value for c in chunks), longest)
+            found = scan(texts.to_pylist(), map(stored_chunk, chunks), longest)
             n_words, spans, items, best = zip(*found) if found else ((), (), (), ())
             n_hit = [sum(w for _, w in s) for s in spans]
             listed = [[{"start": a, "words": w} for a, w in s] for s in spans]

@@ -1,8 +1,9 @@
 """WARC records in ZIP packages, read by ranges.
 
-A package holds *stored* (uncompressed) members, so that a byte of a member is a byte of the package: an archive
-``archive/data.warc.gz`` of gzip members, one per record, and its index ``indexes/index.cdxj``, one line per
-record with offset and length in the archive. The writer streams; sizes follow the data in data descriptors, and the
+A package holds *stored* (uncompressed) members, so that a byte of a member is a byte of the package: archives below
+``archive/`` of gzip members, one per record, and indexes below ``indexes/`` (plain or gzip'd), one line per record with
+archive, offset and length. The writer makes one of each; the reader takes any number, and other members, compressed or
+not, are left alone. The writer streams; sizes follow the data in data descriptors, and the
 central directory uses ZIP64 fields where a number needs them. The reader takes the end record (or its
 ZIP64 form), the central directory, the local header of the index, and then ranges of the archive; no member is
 ever extracted.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,7 +31,8 @@ from clipquarry.llm.common import spread, store
 from clipquarry.llm.files import create, open_file, read_range
 from clipquarry.session import scratch_path
 
-ARCHIVE, LISTING = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVES, INDEXES = "archive/", "indexes/"
+ARCHIVE, LISTING = f"{ARCHIVES}data.warc.gz", f"{INDEXES}index.cdxj"
 LEAST_BYTES = 100  # of payloads that may be revisited
 PACKAGE_BYTES = 256 << 20
 # Fixed values of the formats.
@@ -89,9 +92,10 @@ class PackageWriter:
         self._put(END + struct.pack("<HHHHIIH", 0, 0, n, n, size, start, 0))
 
 
-def directory(file: pa.NativeFile) -> dict[str, tuple[int, int, int]]:
-    """Of each stored member its first byte in the package, its size and its CRC, from the end record, its ZIP64
-    form where there is one, the central directory and the local headers."""
+def directory(file: pa.NativeFile, below: tuple[str, ...] = ("",)) -> dict[str, tuple[int, int, int]]:
+    """Of each member whose name begins with one of ``below``, which has to be a stored one, its first byte in the package, its
+    size and its CRC, from the end record, its ZIP64 form where there is one, the central directory and the local
+    headers."""
     total = file.size()
     tail_at = max(0, total - 22 - MAX16)
     tail = read_range(file, tail_at, total - tail_at)
@@ -126,6 +130,8 @@ def directory(file: pa.NativeFile) -> dict[str, tuple[int, int, int]]:
                 packed = next(wide) if packed == MAX32 else packed
                 offset = next(wide) if offset == MAX32 else offset
             extra = extra[4 + length:]
+        if not name.startswith(below) or name.endswith("/"):
+            continue
         if method:
             raise ValueError(f"{name} is compressed; only stored members can be read by ranges")
         header = read_range(file, offset, 30)
@@ -162,11 +168,11 @@ def parse_record(data: bytes) -> dict:
     fields = {k.lower(): v.strip() for k, v in fields.items()}
     block = rest[:int(fields["content-length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
-    length = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    number = lambda x: int(n) if (n := x.strip("<>").rpartition(":")[2]) else None
+    sizes = (int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+    number = lambda x: int(n) if re.fullmatch("-?[0-9]+", n := x.strip("<>").rpartition(":")[2]) else None
     return {
-        "type": fields["warc-type"], "page_id": number(fields["warc-record-id"]), "url": fields["warc-target-uri"],
-        "digest": fields["warc-payload-digest"].partition(":")[2], "length": length, "payload": payload,
+        "type": fields["warc-type"], "page_id": number(fields["warc-record-id"]), "url": fields.get("warc-target-uri"),
+        "digest": fields.get("warc-payload-digest"), "length": next(sizes, len(payload)), "payload": payload,
         "refers_to": number(fields["warc-refers-to"]) if "warc-refers-to" in fields else None,
     }
 
@@ -225,7 +231,7 @@ def write_packages(
                     b"" if again else payload, len(payload), first if again else None,
                 )
                 package.add(record)
-                line = {"url": link, "digest": f"sha256:{digest}", "offset": offset, "length": len(record)}
+                line = {"url": link, "digest": f"sha256:{digest}", "filename": ARCHIVE.split("/")[1], "offset": offset, "length": len(record)}
                 listing.append(f"{'' if page is None else page} {DATE} {json.dumps(line)}\n".encode())
                 offset += len(record)
                 if offset >= package_bytes:
@@ -239,24 +245,35 @@ def write_packages(
 
 
 def read_index(file: pa.NativeFile) -> list[dict]:
-    """The lines of a package's index."""
-    start, size, crc = directory(file)[LISTING]
-    data = read_range(file, start, size)
-    if zlib.crc32(data) != crc:
-        raise ValueError("the index is damaged")
-    return [json.loads(x.split(b" ", 2)[2]) for x in data.split(b"\n") if x]
+    """The lines of all of a package's indexes, each with its ``archive``, in the order of archive and offset."""
+    lines = []
+    for name, (start, size, crc) in sorted(directory(file, (INDEXES,)).items()):
+        data = read_range(file, start, size)
+        if zlib.crc32(data) != crc:
+            raise ValueError(f"{name} is damaged")
+        data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+        for x in filter(None, data.split(b"\n")):
+            line = json.loads(x.split(b" ", 2)[2])
+            archive = ARCHIVES + line["filename"] if "filename" in line else ARCHIVE
+            lines.append(line | {"archive": archive, "offset": int(line["offset"]), "length": int(line["length"])})
+    return sorted(lines, key=lambda line: (line["archive"], line["offset"]))
 
 
 def read_packages(manifest: DataFrame, *, step_bytes: int = 8 << 20) -> DataFrame:
     """One row per record: ``page_id``, ``url``, ``record_type``, ``refers_to``, ``payload_digest``,
     ``payload_bytes`` (both of the full payload, for revisits too) and ``payload`` (null for revisits). Neighbouring records are
-    read in ranges of about ``step_bytes``. The digest of every response is computed anew and compared."""
+    read in ranges of about ``step_bytes``. A SHA-256 of a response is computed anew and compared; records of other writers
+    that give none get it. Their ids are null where they do not end in a number. All records of all archives that an
+    index names are read; an index that names a missing archive is an error."""
     names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
     def ranges(lines: list[dict]) -> Iterator[list[dict]]:
         held, size = [], 0
         for line in lines:
+            if held and (line["archive"] != held[-1]["archive"] or line["offset"] != held[-1]["offset"] + held[-1]["length"]):
+                yield held
+                held, size = [], 0
             held.append(line)
             size += line["length"]
             if size >= step_bytes:
@@ -269,18 +286,24 @@ def read_packages(manifest: DataFrame, *, step_bytes: int = 8 << 20) -> DataFram
         for batch in batches:
             for uri in batch.column(0).to_pylist():
                 with open_file(uri) as file:
-                    start, lines = directory(file)[ARCHIVE][0], read_index(file)
+                    archives, lines = directory(file, (ARCHIVES,)), read_index(file)
                     for part in ranges(lines):
+                        if part[0]["archive"] not in archives:
+                            raise ValueError(f"{uri}: the index names {part[0]['archive']}, which is not in the package")
+                        start = archives[part[0]["archive"]][0]
                         first, last = part[0]["offset"], part[-1]["offset"] + part[-1]["length"]
                         data, rows = read_range(file, start + first, last - first), []
                         for line in part:
                             at = line["offset"] - first
                             r = parse_record(data[at:at + line["length"]])
-                            again = r["type"] == "revisit"
-                            if not again and hashlib.sha256(r["payload"]).hexdigest() != r["digest"]:
+                            again, own = r["type"] == "revisit", hashlib.sha256(r["payload"]).hexdigest()
+                            kind, _, digest = (r["digest"] or "").partition(":")
+                            if kind == "sha256" and not again and own != digest:
                                 raise ValueError(f"{uri}: the payload of page {r['page_id']} is damaged")
+                            if kind != "sha256":  # of another kind, or none: that of a revisit is not known
+                                digest = None if again else own
                             rows.append((
-                                r["page_id"], line["url"], r["type"], r["refers_to"], r["digest"], r["length"],
+                                r["page_id"], line.get("url"), r["type"], r["refers_to"], digest, r["length"],
                                 None if again else r["payload"],
                             ))
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)

@@ -187,3 +187,19 @@ def test_op4_on_held_out_rows(spark):
     assert len(rows) == 1_000
     held = [truth[r["doc_id"]] == r["lang_pred"] for r in rows if r["held_out"]]
     assert sum(held) >= 0.98 * len(held)
+
+
+def test_samples_of_large_labels_are_the_smallest_hashes(spark):
+    from clipquarry.llm.common import labelled_sample
+
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") < 50, 0).otherwise(1).alias("grade"))
+    got = labelled_sample(docs, labels, 300, doc_id="doc_id", label="grade").collect()
+    hashed = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h").collect()
+    want = {(r["grade"], f"t{r['doc_id']}") for g in (0, 1) for r in [r for r in hashed if r["grade"] == g][:300]}
+    assert {tuple(r) for r in got} == want and len(got) == 350
+    # one id on very many rows, all alike
+    many = docs.where("doc_id < 40").unionByName(spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text")))
+    got = labelled_sample(many, labels, 300, doc_id="doc_id", label="grade").collect()
+    assert len(got) == 300 and {r["label"] for r in got} == {0} and "same" in {r["text"] for r in got}
+    assert labelled_sample(docs.where("false"), labels, 9, doc_id="doc_id", label="grade").count() == 0

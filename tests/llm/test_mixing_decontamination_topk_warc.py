@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import json
 import io
 import math
 import random
@@ -306,3 +307,31 @@ def test_directories_of_packages(tmp_path, zip64):
         z.writestr("m", b"x" * 100)
     with open_file(str(tmp_path / "packed.zip")) as f, pytest.raises(ValueError, match="compressed"):
         warc_zip.directory(f)
+
+
+def test_packages_of_several_archives(spark, tmp_path):
+    """Another writer: two archives, three indexes (one gzip'd, one out of order), compressed and foreign members beside them."""
+    def member(page, text, digest=True):
+        body = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n" + text
+        head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{page}>\r\nWARC-Target-URI: http://x/{page}\r\n"
+        head += f"WARC-Payload-Digest: sha256:{hashlib.sha256(text).hexdigest()}\r\n" if digest else ""
+        return gzip.compress(head.encode() + f"Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n")
+
+    texts = {1: b"one", 2: b"two" * 90, 3: b"", "uuid-x": b"four"}
+    records = {k: member(k, t, k != 2) for k, t in texts.items()}
+    line = lambda k, name, at: f'x,y)/ 2020 {json.dumps({"url": f"u{k}", "filename": name, "offset": str(at), "length": str(len(records[k]))})}\n'.encode()
+    with zipfile.ZipFile(tmp_path / "p.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("archive/a.warc.gz", records[1] + records[2])
+        z.writestr("datapackage.json", "{}" * 500, zipfile.ZIP_DEFLATED)
+        z.writestr("archive/b.warc.gz", b"gap" + records[3] + records["uuid-x"])
+        z.writestr("indexes/1.cdxj", line(2, "a.warc.gz", len(records[1])) + line(1, "a.warc.gz", 0))
+        z.writestr("indexes/2.cdx.gz", gzip.compress(line("uuid-x", "b.warc.gz", 3 + len(records[3]))))
+        z.writestr("indexes/3.cdxj", line(3, "b.warc.gz", 3))
+    manifest = spark.createDataFrame([(str(tmp_path / "p.zip"), 4)], "package string, records long")
+    got = {(r["page_id"], r["url"], r["payload_digest"], r["payload_bytes"]) for r in warc_zip.read_packages(manifest).collect()}
+    want = {(k if isinstance(k, int) else None, f"u{k}", hashlib.sha256(t).hexdigest(), len(t)) for k, t in texts.items()}
+    assert got == want
+    with zipfile.ZipFile(tmp_path / "q.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("indexes/1.cdxj", line(2, "gone.warc.gz", 0))
+    with pytest.raises(Exception, match="not in the package"):
+        warc_zip.read_packages(spark.createDataFrame([(str(tmp_path / "q.zip"), 1)], "package string, records long")).collect()
