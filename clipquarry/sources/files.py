@@ -15,7 +15,7 @@ from clipquarry.session import freeze
 
 LISTED_TOGETHER = 10_000  # entries of a batch that a listing task hands on
 MANIFEST = "Index bigint, Paths string, Labels string, Dataset string"
-_TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"', "emptyValue": ""}
+TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"', "emptyValue": ""}
 
 
 def decoded(path: str) -> Column:
@@ -123,9 +123,9 @@ def store_of(uri: str) -> tuple[fs.FileSystem, str, str]:
 
 def write_manifest(df: DataFrame, path: str) -> None:
     """Tab-separated text with a header; fields are quoted where they must be."""
-    df.select("Index", "Paths", "Labels", "Dataset").write.mode("overwrite").options(**_TSV).csv(path)
+    df.select("Index", "Paths", "Labels", "Dataset").write.mode("overwrite").options(**TSV).csv(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A written manifest; labels may hold tabs, quotes and newlines."""
-    return spark.read.schema(MANIFEST).options(**_TSV, multiLine="true").csv(path)
+    return spark.read.schema(MANIFEST).options(**TSV, multiLine="true").csv(path)

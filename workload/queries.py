@@ -14,7 +14,7 @@ from clipquarry.functions import text as tx
 from clipquarry.operators import budgets, filters, joins, ordering, scoring, segments, sketches, stats
 from clipquarry.plans import curation, manifest, metrics, publish, taggers
 from clipquarry.session import scratch_path
-from clipquarry.sources import files, tables, versions
+from clipquarry.sources import files, ordered, tables, versions
 from workload import fixtures as fx
 from workload import sql as q
 
@@ -131,6 +131,16 @@ def s6_vendor_label(spark, sf_dir):
     return docs.select("uri", files.vendor_label("document").alias("label"))
 
 
+@query("SELECT doc_id, source, sha256(text) AS digest FROM documents")
+def s8_read_json_array(spark, sf_dir):
+    """All documents as one JSON array in one file, read back in ranges of bytes."""
+    path = scratch_path(spark, "array") + ".json"
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
+    ordered.write_ordered(docs, F.to_json(F.struct("doc_id", "source", "text")), path, ["doc_id"], head="[", between=",\n", last="", tail="]\n")
+    rows = ordered.read_json_array(spark, path, "doc_id bigint, source string, text string", range_bytes=300_000)
+    return rows.select("doc_id", "source", F.sha2("text", 256).alias("digest"))
+
+
 @query(with_(q.CLIPS, q.category("email"), select="SELECT id, duration, cnt AS n_mails FROM cat"))
 def s8_load_results(spark, sf_dir):
     found = fx.clips(spark, sf_dir).select(
@@ -220,6 +230,14 @@ def k4_write_manifest(spark, sf_dir):
     return files.read_manifest(spark, path)
 
 
+@query(MANIFEST_SQL)
+def k4_write_manifest_file(spark, sf_dir):
+    """The manifest as one file in order, written by many tasks."""
+    path = scratch_path(spark, "manifest") + ".tsv"
+    ordered.write_manifest_file(_manifest(spark, sf_dir), path)
+    return files.read_manifest(spark, path)
+
+
 @query("SELECT doc_id, source FROM documents")
 def k5_write_json(spark, sf_dir):
     path = scratch_path(spark, "json")
