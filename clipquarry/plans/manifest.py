@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clipquarry.functions.ids import encode_id
 from clipquarry.functions.paths import extension, file_name, stem
-from clipquarry.operators.joins import merge_update, pair_audio
+from clipquarry.operators.joins import merge_update, pair_audio, thinned
 from clipquarry.operators.ordering import first_labelled_per_id, number_rows
 from clipquarry.session import freeze
 
@@ -125,9 +125,11 @@ def vendor_manifest(
     needed = dict.fromkeys(["category", "id", path, column, *order_by])
     numbered = number_rows(freeze(tables.select(*needed)), order_by, within=["category"])
     numbered = numbered.withColumn("_id", F.struct("category", "id"))
-    first = first_labelled_per_id(numbered, "_id", column, ["Index"])
+    first = freeze(first_labelled_per_id(numbered, "_id", column, ["Index"]).drop("_id"))
     dataset = F.concat_ws("_", "category", F.lit(suffix))
-    usable = labels.filter(F.col("label").isNotNull())
+    # documents that no row points to are left out before their labels are made
+    wanted = freeze(first.select(F.col(column).alias("uri")).distinct())
+    usable = thinned(labels, wanted, "uri").filter(F.col("label").isNotNull())
     joined = first.join(usable.select(F.col("uri").alias(column), "label"), column, "inner")
     return joined.select(
         "Index",

@@ -3,6 +3,7 @@ as sorted text; averages are rounded."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -192,6 +193,16 @@ def k2_write_table_ignore(spark, sf_dir):
     return tables.write_table(labels.withColumn("quality", F.lit(0)), path, "ignore")
 
 
+@query("SELECT doc_id, quality + 10 AS grade FROM labels")
+def k2_write_table_recreate(spark, sf_dir):
+    """A catalog table with other columns in place of one of the same name."""
+    labels = fx.table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    database = f"clipquarry_{uuid.uuid4().hex}"  # in the shared folder, apart from what other runs left
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'catalog')}'")
+    tables.write_table(labels, f"{database}.grades", "overwrite")
+    return tables.write_table(labels.select("doc_id", (F.col("quality") + 10).alias("grade")), f"{database}.grades", "recreate")
+
+
 @query("SELECT event_id, event_type || '_' || strftime(ts, '%Y%m%d%H%M%S') AS table_name FROM events")
 def k3_add_timestamp_suffix(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events", ["event_id", "event_type", "ts"])

@@ -7,6 +7,7 @@ BLANKS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WORD = f"[^{BLANKS}]+"
+# The patterns that results have to agree on.
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 PHONE = r"\b(?:\+\d{1,2}\s?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b"
 CATEGORY_PATTERNS = {
