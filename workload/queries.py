@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipquarry import schema as sc
-from clipquarry.functions import ids, paths, tags
+from clipquarry.functions import farm, ids, paths, tags
 from clipquarry.functions import text as tx
 from clipquarry.operators import budgets, filters, joins, ordering, scoring, segments, sketches, stats
 from clipquarry.plans import curation, manifest, metrics, publish, taggers
@@ -1734,6 +1734,53 @@ def x23_hash_bucket_checks(spark, sf_dir):
     )
 
 
+def _farm_sql() -> str:
+    """The fingerprint of texts of 1 to 16 ASCII characters, step by step in 128-bit whole numbers."""
+    m, k0, k2 = "18446744073709551616::UHUGEINT", "14097894508562428199::UHUGEINT", "11160318154034397263::UHUGEINT"
+    byte = lambda i: f"unicode(s[{i}])::UHUGEINT"
+    word = lambda i, n: "(" + " + ".join(f"{byte(f'{i} + {k}')} * {256**k}::UHUGEINT" for k in range(n)) + ")"
+    turn = lambda x, n: f"({x} // {2**n}::UHUGEINT + ({x} % {2**n}::UHUGEINT) * {2**(64 - n)}::UHUGEINT)"
+    mixed = lambda x: f"xor({x}, {x} // 140737488355328::UHUGEINT)"
+    return f"""
+WITH names AS (
+  SELECT doc_id, 'id' AS kind, doc_id::VARCHAR AS s FROM documents UNION ALL SELECT doc_id, 'name', source || '-' || doc_id FROM documents
+),
+a AS (SELECT *, length(s)::UHUGEINT AS n, {k2} + 2 * length(s)::UHUGEINT AS mul FROM names),
+b AS (
+  SELECT *, CASE WHEN n < 4 THEN 0::UHUGEINT WHEN n < 8 THEN n + {word('1', 4)} * 8 ELSE ({word('1', 8)} + {k2}) % {m} END AS p,
+    CASE WHEN n < 4 THEN 0::UHUGEINT WHEN n < 8 THEN {word('length(s) - 3', 4)} ELSE {word('length(s) - 7', 8)} END AS q,
+    CASE WHEN n < 4 THEN xor(({byte('1')} + {byte('1 + length(s) // 2')} * 256) * {k2} % {m},
+      (n + {byte('length(s)')} * 4) * {k0} % {m}) ELSE 0::UHUGEINT END AS t
+  FROM a
+),
+c AS (
+  SELECT *, CASE WHEN n < 8 THEN p ELSE ({turn('q', 37)} * mul % {m} + p) % {m} END AS u,
+    CASE WHEN n < 8 THEN q ELSE ({turn('p', 25)} + q) % {m} * mul % {m} END AS v
+  FROM b
+),
+d AS (SELECT *, xor(u, v) * mul % {m} AS x FROM c),
+e AS (SELECT *, xor(v, {mixed('x')}) * mul % {m} AS y FROM d),
+f AS (SELECT doc_id, kind, CASE WHEN n < 4 THEN {mixed('t')} * {k2} % {m} ELSE {mixed('y')} * mul % {m} END AS z FROM e),
+g AS (SELECT doc_id, kind, CASE WHEN z >= 9223372036854775808::UHUGEINT THEN z::HUGEINT - 18446744073709551616 ELSE z::HUGEINT END::BIGINT AS fingerprint FROM f)
+SELECT doc_id, kind, fingerprint, CAST(fingerprint % 20 AS INTEGER) AS remainder, CAST((fingerprint % 20 + 20) % 20 AS INTEGER) AS bucket FROM g
+"""
+
+
+@query(_farm_sql())
+def x23_farm_fingerprint(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents", ["doc_id", "source"])
+    doc_id = F.col("doc_id").cast("string")
+    kinds = {"id": doc_id, "name": F.concat("source", F.lit("-"), doc_id)}
+    named = docs.select("doc_id", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("s")) for k, c in kinds.items()])))
+    return named.select(
+        "doc_id",
+        "kind",
+        farm.farm_fingerprint("s").alias("fingerprint"),
+        farm.farm_bucket("s", signed=True).alias("remainder"),
+        farm.farm_bucket("s").alias("bucket"),
+    )
+
+
 @query()
 def x23_hash_bucket(spark, sf_dir):
     clips = fx.clips(spark, sf_dir)
