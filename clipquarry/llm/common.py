@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,22 @@ def spread(files: DataFrame, name: str) -> DataFrame:
     return files.repartition(max(1, min(files.count(), 4 * cores)), name)
 
 
+def released(run):
+    """A map over Arrow batches that gives the memory of its batches back to the system when it is done, so that a worker that
+    waits for its next task, or runs one of another stage, does not hold it."""
+
+    @wraps(run)
+    def wrapped(batches):
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def held_out(doc_id: str) -> Column:
     """The fold that is never learned from: crc32 of the id as text, modulo 3, is 1. Null ids are not in it."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipquarry.llm.common import store
+from clipquarry.llm.common import released, store
 from clipquarry.llm.files import create, open_file
 from clipquarry.session import scratch_path
 
@@ -275,6 +275,7 @@ def contamination(
     place = pa.struct([("start", pa.int32()), ("item", pa.string()), ("item_start", pa.int32())])
     span = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())]))
 
+    @released
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = batch.column(0)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipquarry.llm.common import WORKER_CACHE, fresh, labelled_sample, trained
+from clipquarry.llm.common import WORKER_CACHE, fresh, labelled_sample, released, trained
 
 SAMPLE_ROWS = 3_000  # documents of each grade that are learned from, at most
 DIMENSIONS = 1 << 18
@@ -162,12 +162,13 @@ def score_quality(docs: DataFrame, model: bytes, *, carry: list[str] | None = No
     schema = T.StructType([rows.schema["row"], *added.fields])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @released
     def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grader = Grader(shared.value)
         for batch in batches:
             row = batch.column(0)
             texts = row.flatten()[carry.index(text)] if text in carry else batch.column(1)
-            found = np.array([grader.score(t) for t in texts.to_pylist()]).reshape(-1, 2)
+            found = np.array([grader.score(t.as_py()) for t in texts]).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([row, pa.array(found[:, 0]), pa.array(found[:, 1])], ["row", "expected_grade", "tail_probability"])
 
     return rows.mapInArrow(graded, schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipquarry.llm.common import fresh, small_side, store
+from clipquarry.llm.common import fresh, released, small_side, store
 from clipquarry.llm.files import read_numbers
 from clipquarry.operators.ordering import PLACE_BITS
 from clipquarry.session import scratch_path
@@ -72,14 +72,18 @@ def fingerprints(
 ) -> DataFrame:
     """The columns ``carry`` of ``docs`` and one signed 64-bit column for each of ``kinds``: words of a shingle,
     whether equal shingles count once, seed. Null and empty texts have no shingle: fingerprint 0."""
-    rows = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text).alias(fresh(docs, "_text")))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    rows = docs.select(*[F.col(f"`{c}`") for c in carry])
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
+    at = list(carry).index(text) if text in carry else len(carry)  # texts that are carried go to the worker once
+    rows = rows if text in carry else docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text).alias(fresh(docs, "_text")))
     names = [*carry, *kinds]
 
+    @released
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[str, list[int]] = {k: [] for k in kinds}
-            for value in batch.column(len(carry)).to_pylist():
+            for value in batch.column(at):
+                value = value.as_py()
                 made: dict[tuple[int, bool], list[bytes]] = {}
                 for k, (n, distinct, seed) in kinds.items():
                     parts = made.get((n, distinct))
@@ -422,6 +426,7 @@ def without_rows(rows: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
     parts.repartition("part").write.partitionBy("part").parquet(folder)
     at = rows.columns.index(number)
 
+    @released
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gone: dict[int, np.ndarray] = {}
         for batch in batches:

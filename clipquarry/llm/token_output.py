@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clipquarry.llm.common import WORKER_CACHE, spread, store
+from clipquarry.llm.common import WORKER_CACHE, released, spread, store
 from clipquarry.llm.files import create, open_file, read_range
 from clipquarry.session import scratch_path
 
@@ -208,6 +208,7 @@ def write_tokens(
     with out:
         out.write(trained)
 
+    @released
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         end, part = coder._pack([end_id]), TaskContext.get().partitionId()
@@ -237,6 +238,7 @@ def write_tokens(
                     stream, number = None, number + 1
         if stream is not None:
             yield close()
+        coder.older = {}  # the next task starts with the newer half
 
     ordered = rows.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie").select("_id", "_text")
     shards = store(
@@ -290,6 +292,7 @@ def read_tokens(manifest: DataFrame, dictionary_uri: str, *, step: int = 512) ->
     """One row per document from the files: ``doc_id``, ``start`` (tokens of all documents before it),
     ``n_tokens`` and ``ids`` (serialized as little-endian unsigned 32-bit integers)."""
 
+    @released
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = None
         for batch in batches:
