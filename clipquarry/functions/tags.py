@@ -3,6 +3,8 @@ scoring a corpus needs no shuffle until the counts are summed."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -96,7 +98,7 @@ def tag_histogram(tags: Column | str, keep: list[str] | None = None) -> Column:
 def first_per_key(entries: Column) -> Column:
     """Of structs ``key``, ``place``, … the one with the least place for each key, in order of the keys."""
     return let(
-        F.array_sort(entries),
+        F.sort_array(entries),
         lambda s: F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["key"] != e["key"])),
     )
 
@@ -172,54 +174,88 @@ def align_tokens(actual: Column | str, pieces: Column | str, labels: Column | st
 
 
 def _aligned(words: pa.Array, parts: pa.Array, labels: pa.Array) -> pa.Array:
-    out: list[list[str] | None] = []
-    ends = [_ends(words), _ends(parts)]
-    for r in range(len(words)):
-        if not (words[r].is_valid and parts[r].is_valid and labels[r].is_valid):
-            out.append(None)
-            continue
-        given, tags = [ends[0][r], ends[1][r]], labels[r].as_py()
-        first, used, found = 0, 0, []
-        if given[0] is not None and given[1] is not None and len(given[0][0]) and len(given[1][0]):
-            (stops, text), (cuts, glued) = given
-            at = np.searchsorted(cuts, stops)
-            fits = at < len(cuts)
-            fits[fits] = cuts[at[fits]] == stops[fits]
-            same = _common(text, glued)
-            fits &= stops <= same
-            first = len(stops) if fits.all() else int(np.argmin(fits))
-            picked = at[:first].tolist()
-            found, used = [tags[k] if k < len(tags) else None for k in picked], picked[-1] + 1 if picked else 0
-        if first < len(words[r]):
-            found += _glued(words[r].as_py()[first:], parts[r].as_py(), tags, used)
-        out.append(found)
-    return pa.array(out, pa.list_(pa.string()))
-
-
-def _ends(lists: pa.Array) -> list[tuple[np.ndarray, bytes] | None]:
-    """Of each list of strings: where each string ends in all of them put together, and these. None for lists with
-    nulls or empty strings, whose ends do not tell them apart."""
-    flat = lists.flatten().cast(pa.string()).fill_null("")
-    _, offsets, data = flat.buffers()
-    stops = np.frombuffer(offsets, np.int32)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int32)
-    sizes, data = np.diff(stops), memoryview(data or b"")
-    counts = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-    last = np.cumsum(counts)
-    out = []
-    for b, n in zip(last.tolist(), counts.tolist()):
-        a = b - n
-        plain = bool((sizes[a:b] > 0).all())
-        out.append((stops[a + 1:b + 1] - stops[a], bytes(data[stops[a]:stops[b]])) if plain else None)
+    valid = np.all([pc.is_valid(x).to_numpy(zero_copy_only=False) for x in (words, parts, labels)], axis=0)
+    word, part = _Ends(words), _Ends(parts)
+    tags, n_tags = labels.flatten(), _lengths(labels)
+    tag_first = np.cumsum(n_tags) - n_tags
+    plain = word.plain & part.plain
+    # the rows one behind the other, each with room for the longer of both texts
+    room = np.maximum(word.size, part.size) + 1
+    base = np.cumsum(room) - room
+    cuts = base[part.row] + part.stop
+    stops = base[word.row] + word.stop
+    at = np.searchsorted(cuts, stops)
+    fits = at < len(cuts)
+    fits[fits] = cuts[at[fits]] == stops[fits]
+    fits &= plain[word.row] & (word.stop <= _common(word, part, plain)[word.row])
+    spelt = _first(np.flatnonzero(~fits) - word.first[word.row[~fits]], word.row[~fits], word.count)  # words up to the first that does not fit
+    nth = np.arange(len(word.row)) - word.first[word.row]
+    good = nth < spelt[word.row]
+    place = at - part.first[word.row] if len(word.row) else at
+    index = np.where(good & (place < n_tags[word.row]), tag_first[word.row] + place, -1)
+    # the others are glued piece by piece
+    hurt = valid & (spelt < word.count)
+    glued: list[str | None] = []
+    if hurt.any():
+        picked = pa.array(hurt)
+        lists = [_lists(x.filter(picked)) for x in (words, parts, labels)]
+        for r, w, p, t in zip(np.flatnonzero(hurt).tolist(), *lists):
+            first = int(spelt[r])
+            used = int(place[word.first[r] + first - 1]) + 1 if first else 0
+            glued += _glued(w[first:], p, t, used)
+        index[hurt[word.row] & ~good] = len(tags) + np.arange(len(glued))
+    values = pa.concat_arrays([tags.cast(pa.string()), pa.array(glued, pa.string())])
+    kept = index[valid[word.row]]
+    found = values.take(pa.array(kept, mask=kept < 0))
+    ends = np.append(0, np.cumsum(np.where(valid, word.count, 0))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), found, mask=pa.array(~valid))
+
+
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _lists(lists: pa.Array) -> Iterator[list[str | None]]:
+    values, end = lists.flatten().to_pylist(), 0
+    for n in _lengths(lists).tolist():
+        yield values[end:end + n]
+        end += n
+
+
+def _first(places: np.ndarray, rows: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+    """Of each row the first of its places, which are in order; ``otherwise`` where it has none."""
+    out = otherwise.copy()
+    new = np.diff(rows, prepend=-1) != 0
+    out[rows[new]] = places[new]
     return out
 
 
-def _common(one: bytes, other: bytes) -> int:
-    """How many bytes two texts share from the start."""
-    n = min(len(one), len(other))
-    if one[:n] == other[:n]:
-        return n
-    differ = np.frombuffer(one, np.uint8, n) != np.frombuffer(other, np.uint8, n)
-    return int(np.argmax(differ))
+class _Ends:
+    """Lists of strings, flat: the ``row`` of each string and where it ends in all strings of its row put together. ``plain``: rows
+    with strings, none of them null or empty, as their ends tell them apart."""
+
+    def __init__(self, lists: pa.Array) -> None:
+        flat = lists.flatten().cast(pa.string()).fill_null("")
+        _, offsets, data = flat.buffers()
+        stops = np.frombuffer(offsets, np.int32)[flat.offset:flat.offset + len(flat) + 1].astype(np.int64) if len(flat) else np.zeros(1, np.int64)
+        self.data = np.frombuffer(data or b"", np.uint8)
+        self.count = _lengths(lists)
+        last = np.cumsum(self.count)
+        self.first = last - self.count
+        self.row = np.repeat(np.arange(len(lists)), self.count)
+        self.start, self.size = stops[self.first], stops[last] - stops[self.first]
+        self.stop = stops[1:] - self.start[self.row]
+        empty = np.append(0, np.cumsum(np.diff(stops) == 0))
+        self.plain = (self.count > 0) & (empty[last] == empty[self.first])
+
+
+def _common(one: _Ends, other: _Ends, plain: np.ndarray) -> np.ndarray:
+    """How many bytes the texts of each plain row share from the start."""
+    n = np.where(plain, np.minimum(one.size, other.size), 0)
+    row = np.repeat(np.arange(len(n)), n)
+    byte = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+    differ = np.flatnonzero(one.data[one.start[row] + byte] != other.data[other.start[row] + byte])
+    return _first(byte[differ], row[differ], n)
 
 
 def _glued(words: list[str | None], parts: list[str | None], tags: list[str], used: int) -> list[str | None]:

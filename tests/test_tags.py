@@ -10,6 +10,7 @@ from clipquarry import schema as sc
 from clipquarry.functions import tags as tg
 from clipquarry.operators import scoring
 from clipquarry.plans import taggers
+from workload.fixtures import PieceCut
 
 STRINGS = "array<string>"
 
@@ -123,6 +124,21 @@ def test_alignment_is_linear():
         assert min(seconds(80_000, hurt) for _ in range(3)) < 30 * min(seconds(8_000, hurt) for _ in range(3))
 
 
+def test_alignment_takes_short_rows_at_once():
+    words = [f"word{i}x" for i in range(200_000)]
+    pieces = [p for w in words for p in (w[:3], w[3:5], w[5:])]
+
+    def seconds(n):
+        cut = lambda x: pa.array([x[i * len(x) // n:(i + 1) * len(x) // n] for i in range(n)], pa.list_(pa.string()))
+        arrays = [cut(x) for x in (words, pieces, pieces)]
+        start = time.perf_counter()
+        tg._aligned(*arrays)
+        return time.perf_counter() - start
+
+    seconds(1)
+    assert min(seconds(20_000) for _ in range(3)) < 4 * min(seconds(1) for _ in range(3))
+
+
 def test_densify(spark):
     schema = f"p {STRINGS}, e array<struct<index:int,word:string,entity:string>>"
     pieces = ["New", "York", "Ci", "##ty", "x"]
@@ -240,3 +256,22 @@ def test_tag_functions_take_long_rows(spark):
         F.size(F.filter(tg.first_subword_labels("ids", "p", n), lambda t: t.startswith("w"))).alias("f"),
     ).first()
     assert (found["d"], found["f"]) == (n, n)  # minutes if each place were looked for in the whole row
+
+
+def test_pieces_of_a_batch():
+    draw = random.Random(7)
+    tokens = [["".join(draw.choices("aBé日", k=draw.randint(1, 15))) for _ in range(draw.randint(1, 9))] for _ in range(60)]
+    gold = [[draw.choice(["O", "B-person", "I-group"]) for _ in t] for t in tokens]
+    strings = pa.list_(pa.string())
+    some = slice(5, 55)  # a batch may be a slice
+    found = PieceCut(*[pa.array(x, strings)[some] for x in (tokens, gold)])
+    columns = {c: getattr(found, c)().to_pylist() for c in ("pieces", "word_ids", "subword_tags", "entities")}
+    for r, (words, tags) in enumerate(zip(tokens[some], gold[some])):
+        plain = []
+        for i, (w, t) in enumerate(zip(words, tags)):
+            t = "O" if len(w) % 7 == 0 else t
+            plain += [(("##" if k else "") + w[k:k + 4], i, t if t == "O" or not k else "I" + t[1:]) for k in range(0, len(w), 4)]
+        assert columns["pieces"][r] == [p for p, _, _ in plain]
+        assert columns["word_ids"][r] == [None] + [i for _, i, _ in plain]
+        assert columns["subword_tags"][r] == ["O"] + [t for _, _, t in plain]
+        assert columns["entities"][r] == [{"index": n, "word": p, "entity": t} for n, (p, _, t) in enumerate(plain, 1) if t != "O"]

@@ -7,6 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,7 @@ def stored(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
             _STORED[key] = path
         return read_table(spark, _STORED[key])
 
+    read.derived = build  # the same rows made in the query that reads them, just the columns it needs
     return read
 
 
@@ -218,7 +222,6 @@ def _blocks(spark: SparkSession, sf_dir: str, word: str) -> DataFrame:
     return cut.select(sent_id.alias("sent_id"), "tokens")
 
 
-@stored
 def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``gold`` tags and two models' ``pred``: gold with words of certain lengths missed."""
     tokens = F.col("tokens")
@@ -238,7 +241,69 @@ def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select(F.col("_m.model").alias("model"), "sent_id", "tokens", "gold", pred.alias("pred"))
 
 
-@stored
+def _piece_column(name: str, kind: str) -> Column:
+    """A column of ``piece_sentences`` made from ``tokens`` and ``gold``, for all words of a batch at once. Each is a function of its
+    own, so that a query makes those it reads; non-deterministic, so that none is made twice."""
+    cut = F.arrow_udf(lambda tokens, gold: getattr(PieceCut(tokens, gold), name)(), kind)
+    return cut.asNondeterministic()("tokens", "gold").alias(name)
+
+
+class PieceCut:
+    """A batch of words cut into pieces of four letters. Put together, the words and their pieces are the same bytes."""
+
+    def __init__(self, tokens: pa.Array, gold: pa.Array) -> None:
+        words, self.gold = tokens.flatten().cast(pa.string()), gold.flatten()
+        letters = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.counts, self.missed = -(-letters // 4), letters % 7 == 0
+        self.word = np.repeat(np.arange(len(words)), self.counts)
+        self.nth = np.arange(len(self.word)) - np.repeat(np.cumsum(self.counts) - self.counts, self.counts)
+        _, offsets, data = words.buffers()
+        stops = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+        self.data = np.frombuffer(data or b"", np.uint8)[stops[0]:stops[-1]]
+        first = np.flatnonzero(self.data & 0xC0 != 0x80)  # the first byte of each letter
+        self.at = np.append(first[(np.cumsum(letters) - letters)[self.word] + 4 * self.nth], len(self.data)).astype(np.int32)
+        self.words = np.append(0, np.cumsum(pc.list_value_length(tokens).to_numpy(zero_copy_only=False)))  # ends of the sentences
+        self.ends = np.append(0, np.cumsum(self.counts))[self.words].astype(np.int32)
+
+    def _texts(self) -> pa.Array:
+        raw = pa.StringArray.from_buffers(len(self.word), pa.py_buffer(self.at), pa.py_buffer(self.data.copy()))
+        return pc.if_else(pa.array(self.nth > 0), pc.binary_join_element_wise("##", raw, ""), raw)
+
+    def _tags(self) -> pa.Array:
+        """The word's tag on its first piece and the same within an entity on the others; words of 7, 14, … letters are missed."""
+        coded = self.gold.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        table = pa.array([*names, *("O" if t == "O" else "I" + t[1:] for t in names), "O"], pa.string())
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.word]
+        return table.take(pa.array(np.where(self.missed[self.word], 2 * len(names), code + len(names) * (self.nth > 0))))
+
+    def _led(self, values: pa.Array, first: pa.Array) -> pa.Array:
+        """Lists of the pieces' values behind one more of their own, the special token's."""
+        special = self.ends[:-1] + np.arange(len(self.ends) - 1)
+        place = np.ones(len(values) + len(special), bool)
+        place[special] = False
+        index = np.where(place, np.cumsum(place) - 1, len(values))
+        return pa.ListArray.from_arrays(pa.array(self.ends + np.arange(len(self.ends), dtype=np.int32)), pa.concat_arrays([values, first]).take(pa.array(index)))
+
+    def pieces(self) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(self.ends), self._texts())
+
+    def word_ids(self) -> pa.Array:
+        inside = np.arange(self.words[-1]) - np.repeat(self.words[:-1], np.diff(self.words))
+        return self._led(pa.array(inside[self.word].astype(np.int32)), pa.array([None], pa.int32()))
+
+    def subword_tags(self) -> pa.Array:
+        return self._led(self._tags(), pa.array(["O"]))
+
+    def entities(self) -> pa.Array:
+        tags = self._tags()
+        kept = pc.not_equal(tags, "O").to_numpy(zero_copy_only=False)
+        index = np.arange(1, len(self.word) + 1) - np.repeat(self.ends[:-1], np.diff(self.ends))
+        columns = [pa.array(index.astype(np.int32)), self._texts(), tags]
+        found = pa.StructArray.from_arrays([c.filter(pa.array(kept)) for c in columns], ["index", "word", "entity"])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept))[self.ends].astype(np.int32)), found)
+
+
 def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences cut into sub-word pieces of four letters, with everything a tagger gives for them:
     ``pieces``, ``word_ids`` and ``subword_tags`` (one leading special token), sparse ``entities``."""
@@ -246,46 +311,15 @@ def piece_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _blocks(spark, sf_dir, f"(?U)[^{tx.BLANK}#Ġ]+").withColumn(
         "gold", F.transform(tokens, lambda w, i: tag_of(tokens, w, i))
     )
-
-    def cut(word: Column, gold: Column) -> Column:
-        w = word["w"]
-        count = F.ceil(F.length(w) / 4).cast("int")
-
-        def pieces(tag: Column) -> Column:
-            inner = F.when(tag == "O", "O").otherwise(F.concat(F.lit("I"), F.substr(tag, F.lit(2))))
-            return F.transform(
-                F.sequence(F.lit(0), count - 1),
-                lambda k: F.struct(
-                    F.concat(
-                        F.when(k > 0, "##").otherwise(""), F.substring(w, k * 4 + 1, F.lit(4))
-                    ).alias("piece"),
-                    word["i"].alias("word"),
-                    F.when(k == 0, tag).otherwise(inner).alias("tag"),
-                ),
-            )
-
-        return let(F.when(F.length(w) % 7 == 0, "O").otherwise(gold), pieces)
-
-    placed = F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    flat = F.flatten(F.zip_with(placed, "gold", cut))
-    cutted = base.withColumn("_p", flat)
-    pieces = F.col("_p")
-    numbered = F.transform(
-        pieces,
-        lambda p, i: F.struct(
-            (i + 1).alias("index"), p["piece"].alias("word"), p["tag"].alias("entity")
-        ),
-    )
-    special = F.array(F.lit(None).cast("int"))
-    return cutted.select(
+    return base.select(
         "sent_id",
         "tokens",
         "gold",
-        F.transform(pieces, lambda p: p["piece"]).alias("pieces"),
-        F.concat(special, F.transform(pieces, lambda p: p["word"])).alias("word_ids"),
-        F.concat(F.array(F.lit("O")), F.transform(pieces, lambda p: p["tag"])).alias("subword_tags"),
-        F.filter(numbered, lambda e: e["entity"] != "O").alias("entities"),
+        _piece_column("pieces", "array<string>"),
+        _piece_column("word_ids", "array<int>"),
+        _piece_column("subword_tags", "array<string>"),
+        _piece_column("entities", "array<struct<index:int,word:string,entity:string>>"),
     )
 
 
-STORED_FIXTURES = [clips, annotated, tagged_sentences, piece_sentences, vendor_documents]
+STORED_FIXTURES = [clips, annotated, vendor_documents]
