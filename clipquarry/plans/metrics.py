@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ MODES = ("shaped_entities", "tagged_words", "propn_tokens", "entities", "entity_
 Tagger = Callable[[Sequence[str]], Sequence[tuple[Sequence[str], Sequence[str]]]]
 WordTagger = Callable[[list[list[str]]], Sequence[Sequence[str]]]
 CHUNK, CONTEXT, TOGETHER = 512, 10, 32  # words of a chunk, words of context before it, chunks of one call
+PORTION = 1 << 20  # bytes of text that a tagger of whole texts gets at once
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -75,10 +77,23 @@ def document_metrics(df: DataFrame, mode: str, text: str = "transcript") -> Data
     )
 
 
+def portions(texts: pa.Array, most: int = PORTION) -> Iterator[pa.Array]:
+    """The array in slices, in order, each of at most ``most`` bytes of text or of one text."""
+    first, held = 0, 0
+    for i, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+        if i > first and held + n > most:
+            yield texts.slice(first, i - first)
+            first, held = i, 0
+        held += n
+    if first < len(texts):
+        yield texts.slice(first)
+
+
 def annotate(df: DataFrame, make_tagger: Callable[[], Tagger], text: str = "transcript") -> DataFrame:
     """Adds ``tokens`` and ``tags`` from a caller's tagger. ``make_tagger`` runs once per Python
     worker task, so a model is loaded once for all of its batches; the tagger gets a list of texts
-    and returns one (tokens, tags) pair for each.
+    and returns one (tokens, tags) pair for each. A list has at most a mebibyte of text, or one text, as words
+    held as Python strings take many times the room of the text.
 
     The function is declared non-deterministic, as models may be: otherwise a later filter on its
     result would be pushed below it with a second call of the model."""
@@ -88,9 +103,10 @@ def annotate(df: DataFrame, make_tagger: Callable[[], Tagger], text: str = "tran
     def tagged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = make_tagger()
         for batch in batches:
-            pairs = tagger([t or "" for t in batch.to_pylist()])
-            columns = [pa.array([list(p[i]) for p in pairs], strings) for i in (0, 1)]
-            yield pa.StructArray.from_arrays(columns, ["tokens", "tags"])
+            for texts in portions(batch):
+                pairs = tagger([t or "" for t in texts.to_pylist()])
+                columns = [pa.array([list(p[i]) for p in pairs], strings) for i in (0, 1)]
+                yield pa.StructArray.from_arrays(columns, ["tokens", "tags"])
 
     return (
         df.withColumn("_tagged", tagged.asNondeterministic()(F.col(text)))

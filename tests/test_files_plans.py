@@ -1,5 +1,6 @@
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -280,3 +281,18 @@ def test_taggers_that_lose_words_are_refused():
     for tagger in (lambda chunks: [w[1:] for w in chunks], lambda chunks: []):
         with pytest.raises(ValueError, match="returned"):
             list(metrics.tag_together(iter([([], ["a", "b"])]), tagger, 4))
+
+
+def test_a_tagger_gets_portions_of_text(spark):
+    def make():
+        def tag(texts):
+            if sum(map(len, texts)) > metrics.PORTION:
+                raise ValueError("more text than a portion")
+            return [(t.split(), ["O"] * len(t.split())) for t in texts]
+
+        return tag
+
+    texts = [("word " * 2_000,) for _ in range(400)] + [(None,), ("",)]
+    rows = metrics.annotate(spark.createDataFrame(texts, "transcript string").coalesce(1), make).collect()
+    assert [len(r["tokens"]) for r in rows] == [2_000] * 400 + [0, 0]
+    assert [len(p) for p in metrics.portions(pa.array(["aa", None, "b", "cccc", ""]), 3)] == [3, 1, 1]
