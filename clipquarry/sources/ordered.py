@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipquarry.session import freeze, require_batch, scratch_path
-from clipquarry.sources.files import TSV, store_of
+from clipquarry.sources.files import MANIFEST, TSV, store_of
 
 COPIED = 8 << 20  # bytes that a task copies at once
 RANGE = 64 << 20  # bytes of a range of a JSON array
@@ -98,8 +98,70 @@ def write_manifest_file(df: DataFrame, path: str, order_by: Sequence[str] = ("In
     write_ordered(df, line, path, order_by, head="\t".join(columns) + "\n")
 
 
+def read_manifest_file(spark: SparkSession, path: str, range_bytes: int = RANGE) -> DataFrame:
+    """The same rows as ``read_manifest`` gives of one file, in as many tasks as the file has ranges of bytes. A line end is the
+    end of a row where an even number of quotes stands before it: fields with quotes or line ends are quoted, and quotes in
+    them doubled. A range has the rows that begin behind a line end in it, which leaves out the head."""
+    system, place, _ = store_of(path)
+    size = system.get_file_info(place).size
+    n = max(1, -(-size // range_bytes))
+    ranges = spark.range(n).select("id", (F.col("id") * range_bytes).alias("start"), F.least((F.col("id") + 1) * range_bytes, F.lit(size)).alias("stop"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, own, _ = store_of(path)
+        with store.open_input_file(own) as file:
+            for batch in batches:
+                for i, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
+                    quotes = sum(file.read_at(min(COPIED, stop - at), at).count(b'"') for at in range(start, stop, COPIED))
+                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (i, start, stop, quotes)], ["id", "start", "stop", "quotes"])
+
+    found = freeze(ranges.repartition(n, "id").mapInArrow(counted, "id long, start long, stop long, quotes long"))
+    # one row per range
+    before = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    known = freeze(found.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, own, _ = store_of(path)
+        with store.open_input_file(own) as file:
+            for batch in batches:
+                for start, stop, inside in zip(*(c.to_pylist() for c in batch.columns)):
+                    held: list[str] = []
+                    for record in manifest_records(file, start, stop, inside):
+                        held.append(record)
+                        if len(held) == 1_000:
+                            yield pa.RecordBatch.from_arrays([pa.array(held)], ["record"])
+                            held = []
+                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["record"])
+
+    records = known.select("start", "stop", "inside").repartition(n, "start").mapInArrow(read, "record string")
+    options = {k: v for k, v in TSV.items() if k != "header"} | {"multiLine": "true", "lineSep": "\n"}
+    return records.select(F.from_csv("record", MANIFEST, options).alias("r")).select("r.*")
+
+
+def manifest_records(file, start: int, stop: int, inside: bool) -> Iterator[str]:
+    """The rows that begin behind a line end from ``start`` to ``stop``; the last one is read on to its end."""
+    end, at, held, begun = file.size(), start, [], False
+    while at < end and (at < stop or begun):
+        raw = file.read_at(min(COPIED, stop - at) if at < stop else min(BEYOND, end - at), at)
+        data = np.frombuffer(raw, np.uint8)
+        quoted = (np.cumsum(data == _QUOTE) + inside) % 2 == 1
+        first = 0
+        for place in np.flatnonzero((data == _LINE_END) & ~quoted).tolist():
+            if begun:
+                yield b"".join([*held, raw[first:place]]).decode()
+            held, first, begun = [], place + 1, at < stop and at + place + 1 < end
+            if at >= stop:
+                return
+        if begun:
+            held.append(raw[first:])
+        inside, at = bool(quoted[-1]), at + len(raw)
+    if begun:
+        yield b"".join(held).decode()
+
+
 # -- JSON arrays ------------------------------------------------------------------------------------------------------
 
+_LINE_END = ord("\n")
 _QUOTE, _BACK, _OPEN, _CLOSE = ord('"'), ord("\\"), np.frombuffer(b"{[", np.uint8), np.frombuffer(b"}]", np.uint8)
 _BLANKS = np.frombuffer(b" \t\r\n,[]\xef\xbb\xbf", np.uint8)
 

@@ -106,3 +106,16 @@ def test_other_arrays_are_refused(text):
 
     with pytest.raises(ValueError):
         list(ordered.json_records(File(), 0, len(text), False, 0))
+
+
+def test_manifest_file_is_read_in_ranges(spark, tmp_path):
+    labels = ["plain", "two\nlines", 'a "quote"', "tab\there", "é\r\n\"\n\"", "", None, "\n", "x" * 300] * 4
+    rows = [(i, f"p{i}", label, "d") for i, label in enumerate(labels)]
+    df = spark.createDataFrame(rows, files.MANIFEST)
+    path = f"{tmp_path}/m.tsv"
+    ordered.write_manifest_file(df, path)
+    whole = sorted(map(tuple, files.read_manifest(spark, path).collect()))
+    for n in (7, 100, 1 << 20):
+        read = ordered.read_manifest_file(spark, path, range_bytes=n)
+        assert sorted(map(tuple, read.collect())) == whole, n
+    assert len(whole) == len(rows)
