@@ -144,8 +144,8 @@ def vendor_unmatched(
 ) -> DataFrame:
     """The rows of the category tables that point to a vendor document without a label, with the
     ``reason``: ``missing`` or ``malformed``."""
-    known = labels.select(F.col("uri").alias(column), "label", F.lit(True).alias("_there"))
+    known = labels.select(F.col("uri").alias(column), F.col("label").isNotNull().alias("_usable"))
     pointing = tables.filter(F.col(column).isNotNull() & (F.col(column) != ""))
-    reason = F.when(F.col("_there").isNull(), "missing").when(F.col("label").isNull(), "malformed")
+    reason = F.when(F.col("_usable").isNull(), "missing").when(~F.col("_usable"), "malformed")
     found = pointing.join(known, column, "left").withColumn("reason", reason)
     return found.filter(F.col("reason").isNotNull()).select(*tables.columns, "reason")

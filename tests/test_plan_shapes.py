@@ -8,6 +8,7 @@ from clipquarry import session
 from clipquarry.plans import curation, manifest, metrics
 from clipquarry.sources.tables import read_table
 from workload import fixtures as fx
+from workload import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -109,3 +110,35 @@ def test_destinations_differ(spark):
     assert len(set(found)) == len(paths)
     other = [r["destination"] for r in manifest.media_route(df, "out", "set", key="l").collect()]
     assert not set(found) & set(other)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["f2_not_document_dump", "x13_skip_existing"])
+def test_clips_are_made_without_evidence_that_is_not_read(spark, name):
+    assert "regexp_extract_all" not in plan_of(queries.QUERIES[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["x8_noun_ratio_entities", "x8_noun_ratio_entity_tags", "a10_compare_taggers", "d3_evaluate_words"])
+def test_annotations_are_made_where_they_are_read(spark, name):
+    assert "Relation [doc_id" in plan_of(queries.QUERIES[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["u2_tag_set_difference", "x20_derive_tag_mapping"])
+def test_tags_are_distinct_before_they_are_rows(spark, name):
+    assert plan_of(queries.QUERIES[name](spark, SF_DIR)).count("explode(array_distinct(") == 2
+
+
+def test_category_tables_read_stored_counts(spark):
+    assert "regexp_extract_all" not in plan_of(queries._every_category(spark, SF_DIR))
+
+
+def test_unmatched_documents_are_joined_without_their_labels(spark):
+    tables = spark.createDataFrame([("c", "1", "u1"), ("c", "2", "u2"), ("c", "3", "u3")], "category string, id string, vendor_transcript string")
+    labels = spark.createDataFrame([("u1", "text"), ("u2", None)], "uri string, label string")
+    found = manifest.vendor_unmatched(tables, labels)
+    assert sorted((r["id"], r["reason"]) for r in found.collect()) == [("2", "malformed"), ("3", "missing")]
+    joined = plan_of(found).split("Join LeftOuter")[0] + plan_of(found).split("Join ")[1].splitlines()[0]
+    assert "label" not in joined
