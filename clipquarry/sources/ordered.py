@@ -26,7 +26,9 @@ from clipquarry.sources.files import MANIFEST, TSV, store_of
 
 COPIED = 8 << 20  # bytes that a task copies at once
 RANGE = 64 << 20  # bytes of a range of a JSON array
-BEYOND = 1 << 20  # bytes read at once behind a range, to the end of its last record
+BEYOND = 1 << 20  # bytes read at once behind a range, to the end of its last record; the first time LEAST_BEYOND, then twice as many
+LEAST_BEYOND = 16 << 10
+TASKS = 16  # tasks a core that ranges are dealt out to, if that leaves a task no more bytes than a range of RANGE
 LOOK_BACK = 256
 
 
@@ -99,23 +101,23 @@ def write_manifest_file(df: DataFrame, path: str, order_by: Sequence[str] = ("In
 
 
 def read_manifest_file(spark: SparkSession, path: str, range_bytes: int = RANGE) -> DataFrame:
-    """The same rows as ``read_manifest`` gives of one file, in as many tasks as the file has ranges of bytes. A line end is the
+    """The same rows as ``read_manifest`` gives of one file, read in ranges of bytes by many tasks. A line end is the
     end of a row where an even number of quotes stands before it: fields with quotes or line ends are quoted, and quotes in
     them doubled. A range has the rows that begin behind a line end in it, which leaves out the head."""
     system, place, _ = store_of(path)
-    size = system.get_file_info(place).size
-    n = max(1, -(-size // range_bytes))
-    ranges = spark.range(n).select("id", (F.col("id") * range_bytes).alias("start"), F.least((F.col("id") + 1) * range_bytes, F.lit(size)).alias("stop"))
+    ranges, tasks = _ranges(spark, system.get_file_info(place).size, range_bytes)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, own, _ = store_of(path)
         with store.open_input_file(own) as file:
             for batch in batches:
-                for i, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
-                    quotes = sum(file.read_at(min(COPIED, stop - at), at).count(b'"') for at in range(start, stop, COPIED))
-                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (i, start, stop, quotes)], ["id", "start", "stop", "quotes"])
+                quotes = [
+                    sum(file.read_at(min(COPIED, stop - at), at).count(b'"') for at in range(start, stop, COPIED))
+                    for start, stop in zip(*(c.to_pylist() for c in batch.columns[1:]))
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(quotes, pa.int64())], ["id", "start", "stop", "quotes"])
 
-    found = freeze(ranges.repartition(n, "id").mapInArrow(counted, "id long, start long, stop long, quotes long"))
+    found = freeze(ranges.mapInArrow(counted, "id long, start long, stop long, quotes long"))
     # one row per range
     before = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     known = freeze(found.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1))
@@ -124,25 +126,40 @@ def read_manifest_file(spark: SparkSession, path: str, range_bytes: int = RANGE)
         store, own, _ = store_of(path)
         with store.open_input_file(own) as file:
             for batch in batches:
-                for start, stop, inside in zip(*(c.to_pylist() for c in batch.columns)):
-                    held: list[str] = []
-                    for record in manifest_records(file, start, stop, inside):
-                        held.append(record)
-                        if len(held) == 1_000:
-                            yield pa.RecordBatch.from_arrays([pa.array(held)], ["record"])
-                            held = []
-                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["record"])
-
-    records = known.select("start", "stop", "inside").repartition(n, "start").mapInArrow(read, "record string")
+                todo = zip(*(c.to_pylist() for c in batch.columns))
+                yield from _batches(r for start, stop, inside in todo for r in manifest_records(file, start, stop, inside))
+
+    records = known.select("start", "stop", "inside").repartition(tasks, "start").mapInArrow(read, "record string")
     options = {k: v for k, v in TSV.items() if k != "header"} | {"multiLine": "true", "lineSep": "\n"}
     return records.select(F.from_csv("record", MANIFEST, options).alias("r")).select("r.*")
 
 
+def _ranges(spark: SparkSession, size: int, range_bytes: int) -> tuple[DataFrame, int]:
+    """``id``, ``start`` and ``stop`` of the ranges of a file, and the number of tasks they are dealt out to. A task has one
+    range, or as many neighbours as keep it below ``TASKS`` tasks a core; so short ranges of large files do not make more tasks."""
+    n = max(1, -(-size // range_bytes))
+    tasks = min(n, max(TASKS * spark.sparkContext.defaultParallelism, -(-size // RANGE)))
+    stop = F.least((F.col("id") + 1) * range_bytes, F.lit(size))
+    return spark.range(0, n, 1, tasks).select("id", (F.col("id") * range_bytes).alias("start"), stop.alias("stop")), tasks
+
+
+def _batches(records: Iterator[str]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for record in records:
+        held.append(record)
+        size += len(record)
+        if len(held) == 1_000 or size >= COPIED:
+            yield pa.RecordBatch.from_arrays([pa.array(held)], ["record"])
+            held, size = [], 0
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["record"])
+
+
 def manifest_records(file, start: int, stop: int, inside: bool) -> Iterator[str]:
     """The rows that begin behind a line end from ``start`` to ``stop``; the last one is read on to its end."""
-    end, at, held, begun = file.size(), start, [], False
+    end, at, held, begun, beyond = file.size(), start, [], False, min(BEYOND, LEAST_BEYOND)
     while at < end and (at < stop or begun):
-        raw = file.read_at(min(COPIED, stop - at) if at < stop else min(BEYOND, end - at), at)
+        raw = file.read_at(min(COPIED, stop - at) if at < stop else min(beyond, end - at), at)
+        beyond = beyond if at < stop else min(BEYOND, 2 * beyond)
         data = np.frombuffer(raw, np.uint8)
         quoted = (np.cumsum(data == _QUOTE) + inside) % 2 == 1
         first = 0
@@ -162,8 +179,11 @@ def manifest_records(file, start: int, stop: int, inside: bool) -> Iterator[str]
 # -- JSON arrays ------------------------------------------------------------------------------------------------------
 
 _LINE_END = ord("\n")
-_QUOTE, _BACK, _OPEN, _CLOSE = ord('"'), ord("\\"), np.frombuffer(b"{[", np.uint8), np.frombuffer(b"}]", np.uint8)
-_BLANKS = np.frombuffer(b" \t\r\n,[]\xef\xbb\xbf", np.uint8)
+_QUOTE, _BACK = ord('"'), ord("\\")
+_CHANGE = np.zeros(256, np.int8)  # of the depth, by byte
+_CHANGE[list(b"{[")], _CHANGE[list(b"}]")] = 1, -1
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\r\n,[]\xef\xbb\xbf")] = True
 
 
 def _quotes(data: np.ndarray, escaped: bool) -> np.ndarray:
@@ -198,15 +218,17 @@ def _escaped(file, at: int) -> bool:
 def _depths(data: np.ndarray, escaped: bool, inside: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each byte: is it outside of strings, and by how much it changes the depth; and the quotes."""
     quote = _quotes(data, escaped)
-    outside = ((np.cumsum(quote) + inside) % 2 == 0) & ~quote
-    return outside, (np.isin(data, _OPEN).astype(np.int8) - np.isin(data, _CLOSE)) * outside, quote
+    odd = np.cumsum(quote, dtype=np.uint8) & 1  # a sum that runs over is still odd or even
+    outside = (odd == inside) & ~quote
+    return outside, _CHANGE[data] * outside, quote
 
 
 def json_records(file, start: int, stop: int, inside: bool, depth: int) -> Iterator[str]:
     """The objects of the array that begin from ``start`` to ``stop``; the last one is read on to its end."""
-    end, at, held = file.size(), start, []
+    end, at, held, beyond = file.size(), start, [], min(BEYOND, LEAST_BEYOND)
     while at < end and (at < stop or held):
-        raw = file.read_at(min(RANGE, stop - at) if at < stop else min(BEYOND, end - at), at)
+        raw = file.read_at(min(RANGE, stop - at) if at < stop else min(beyond, end - at), at)
+        beyond = beyond if at < stop else min(BEYOND, 2 * beyond)
         data = np.frombuffer(raw, np.uint8)
         outside, change, quote = _depths(data, _escaped(file, at), inside)
         level = depth + np.cumsum(change, dtype=np.int64)
@@ -219,7 +241,7 @@ def json_records(file, start: int, stop: int, inside: bool, depth: int) -> Itera
                 held = []
         if at < stop:
             opening = np.flatnonzero((change > 0) & (level == 2))
-            stray = outside & (level == 1) & (change == 0) & ~np.isin(data, _BLANKS)
+            stray = outside & (level == 1) & (change == 0) & ~_BLANK[data]
             if stray.any() or (quote & (level == 1)).any() or (level < 0).any() or (data[opening] != ord("{")).any():
                 raise ValueError("an array of objects is expected")
             for first in opening.tolist():
@@ -235,29 +257,29 @@ def json_records(file, start: int, stop: int, inside: bool, depth: int) -> Itera
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str, range_bytes: int = RANGE) -> DataFrame:
-    """The objects of one JSON array (in UTF-8, with or without a mark at its start) as rows of ``schema``, in as many
-    tasks as the file has ranges. Any cut gives the same rows; elements that are no objects are an error."""
+    """The objects of one JSON array (in UTF-8, with or without a mark at its start) as rows of ``schema``, read in ranges
+    of bytes by many tasks. Any cut gives the same rows; elements that are no objects are an error."""
     system, place, _ = store_of(path)
-    size = system.get_file_info(place).size
-    n = max(1, -(-size // range_bytes))
-    ranges = spark.range(n).select("id", (F.col("id") * range_bytes).alias("start"), F.least((F.col("id") + 1) * range_bytes, F.lit(size)).alias("stop"))
+    ranges, tasks = _ranges(spark, system.get_file_info(place).size, range_bytes)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, own, _ = store_of(path)
         with store.open_input_file(own) as file:
             for batch in batches:
-                for i, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
-                    turns, change = 0, [0, 0]
+                rows = []
+                for start, stop in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                    turns, out, both = 0, 0, 0
                     for at in range(start, stop, RANGE):
                         data = np.frombuffer(file.read_at(min(RANGE, stop - at), at), np.uint8)
-                        for inside in (False, True):
-                            _, step, quote = _depths(data, _escaped(file, at), bool((turns + inside) % 2))
-                            change[inside] += int(step.sum())
+                        _, step, quote = _depths(data, _escaped(file, at), bool(turns % 2))
+                        out += int(step.sum(dtype=np.int64))
+                        both += int(_CHANGE[data].sum(dtype=np.int64))  # what is outside of strings from here, or else inside
                         turns += int(quote.sum())
-                    row = [i, start, stop, turns % 2, *change]
-                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["id", "start", "stop", "turns", "out", "ins"])
+                    rows.append((turns % 2, out, both - out))
+                found = np.array(rows, np.int64).reshape(-1, 3).T
+                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, found)], ["id", "start", "stop", "turns", "out", "ins"])
 
-    found = freeze(ranges.repartition(n, "id").mapInArrow(scanned, "id long, start long, stop long, turns long, out long, ins long"))
+    found = freeze(ranges.mapInArrow(scanned, "id long, start long, stop long, turns long, out long, ins long"))
     # one row per range
     before = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("turns").over(before), F.lit(0)) % 2
@@ -268,14 +290,8 @@ def read_json_array(spark: SparkSession, path: str, schema: str, range_bytes: in
         store, own, _ = store_of(path)
         with store.open_input_file(own) as file:
             for batch in batches:
-                for start, stop, inside, depth in zip(*(c.to_pylist() for c in batch.columns)):
-                    held: list[str] = []
-                    for record in json_records(file, start, stop, bool(inside), depth):
-                        held.append(record)
-                        if len(held) == 1_000:
-                            yield pa.RecordBatch.from_arrays([pa.array(held)], ["record"])
-                            held = []
-                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["record"])
-
-    records = known.select("start", "stop", "inside", "depth").repartition(n, "start").mapInArrow(read, "record string")
+                todo = zip(*(c.to_pylist() for c in batch.columns))
+                yield from _batches(r for start, stop, *state in todo for r in json_records(file, start, stop, bool(state[0]), state[1]))
+
+    records = known.select("start", "stop", "inside", "depth").repartition(tasks, "start").mapInArrow(read, "record string")
     return records.select(F.from_json("record", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")

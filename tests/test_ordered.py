@@ -119,3 +119,43 @@ def test_manifest_file_is_read_in_ranges(spark, tmp_path):
         read = ordered.read_manifest_file(spark, path, range_bytes=n)
         assert sorted(map(tuple, read.collect())) == whole, n
     assert len(whole) == len(rows)
+
+
+def test_short_ranges_of_large_files_do_not_make_more_tasks(spark, tmp_path):
+    most = ordered.TASKS * spark.sparkContext.defaultParallelism
+    array = tmp_path / "a.json"
+    array.write_text(json.dumps(RECORDS * 50, ensure_ascii=False), encoding="utf-8")
+    rows = ordered.read_json_array(spark, str(array), "t string, n long", range_bytes=10)
+    assert array.stat().st_size // 10 > 3 * most and rows.rdd.getNumPartitions() == most
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(((r.get("t"), r["n"]) for r in RECORDS * 50), key=str)
+    want = [(i, f"p{i}", 'two\n"lines"', "d") for i in range(500)]
+    ordered.write_manifest_file(spark.createDataFrame(want, files.MANIFEST), f"{tmp_path}/m.tsv")
+    rows = ordered.read_manifest_file(spark, f"{tmp_path}/m.tsv", range_bytes=10)
+    assert rows.rdd.getNumPartitions() == most
+    assert sorted(map(tuple, rows.collect())) == want
+
+
+def test_short_ranges_read_little_behind_their_end():
+    class File(io.BytesIO):
+        read_in_all = 0
+
+        def size(self):
+            return len(self.getvalue())
+
+        def read_at(self, n, at):
+            self.read_in_all += n
+            return self.getvalue()[at:at + n]
+
+    file = File(json.dumps([{"t": "x" * 1_000}] * 3_000).encode())
+    step, got = 60_000, 0
+    for start in range(0, file.size(), step):
+        before = file.getvalue()[:start]
+        inside = before.count(b'"') % 2 == 1
+        depth = sum(before.count(c) for c in (b"[", b"{")) - before.count(b"}")
+        got += len(list(ordered.json_records(file, start, min(start + step, file.size()), inside, depth)))
+    assert got == 3_000
+    assert file.read_in_all < 2 * file.size()  # 18 times before
+    rows = File(b"h\n" + b"".join(b"%d\t%s\n" % (i, b"x" * 1_000) for i in range(3_000)))
+    got = sum(len(list(ordered.manifest_records(rows, at, min(at + step, rows.size()), False))) for at in range(0, rows.size(), step))
+    assert got == 3_000
+    assert rows.read_in_all < 2 * rows.size()
